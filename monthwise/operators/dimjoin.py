@@ -1,0 +1,16 @@
+"""Joins against small tables, with the broadcast decision tied to a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
+    """Return ``dim`` marked for broadcast only if it has at most ``max_rows`` rows.
+
+    The check is ``limit(max_rows + 1).count()``: its cost is bounded by
+    ``max_rows`` rows, not by the table.  Beyond the bound the plain frame is
+    returned and the planner/AQE pick a shuffle join from measured sizes."""
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
