@@ -23,18 +23,62 @@ def _model(fn, p: Params = DEFAULT) -> Query:
     return run
 
 
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from monthwise.streaming.events_stream import stream_events_dedup
+    ensure_utc(spark)
+    return stream_events_dedup(spark, sf_dir)
+
+
 def queries(p: Params = DEFAULT) -> dict[str, Query]:
-    from monthwise.plans import accounts, mrr, periods, reports, staging
-
-    q: dict[str, Query] = {
-        "stg_subscriptions": _model(staging.stg_subscriptions, p),
-        "stg_invoices": _model(staging.stg_invoices, p),
-        "stg_accounts": _model(staging.stg_accounts, p),
-        "stg_users": _model(staging.stg_users, p),
-        "date_spine": _model(periods.date_spine, p),
-        "subscription_periods": _model(periods.subscription_periods, p),
-        "dim_accounts": _model(accounts.dim_accounts, p),
-        "fct_mrr": _model(mrr.fct_mrr, p),
-        "monthly_revenue": _model(reports.monthly_revenue, p),
+    from monthwise.plans import accounts, growth, loads, mrr, periods, quality_suite as qs, reports, series, staging
+
+    models = {
+        # staging (M1-M4)
+        "stg_subscriptions": staging.stg_subscriptions,
+        "stg_invoices": staging.stg_invoices,
+        "stg_accounts": staging.stg_accounts,
+        "stg_users": staging.stg_users,
+        # spine, range expansion, marts, report
+        "date_spine": periods.date_spine,
+        "subscription_periods": periods.subscription_periods,
+        "dim_accounts": accounts.dim_accounts,
+        "fct_mrr": mrr.fct_mrr,
+        "monthly_revenue": reports.monthly_revenue,
+        # movement classifier on order totals (M9)
+        "movement_classify": series.movement_series,
+        "movement_classify_corrected": series.movement_series_corrected,
+        # data quality (Q1-Q11)
+        "dq_unique": qs.dq_unique,
+        "dq_not_null": qs.dq_not_null,
+        "dq_accepted_values": qs.dq_accepted_values,
+        "dq_between": qs.dq_between,
+        "dq_no_future_dates": qs.dq_no_future_dates,
+        "dq_positive_values": qs.dq_positive_values,
+        "dq_gate_summary": qs.dq_gate_summary,
+        "dq_source_tests": qs.dq_source_tests,
+        "source_freshness": qs.source_freshness,
+        "stale_sources": qs.stale_sources,
+        "all_null_columns": qs.all_null_columns,
+        "row_counts": qs.row_counts,
+        # incremental loads
+        "incremental_extract": loads.incremental_extract,
+        "watermark_upsert": loads.watermark_upsert,
+        "load_latest_by_key": loads.load_latest_by_key,
+        "load_summary": loads.load_summary,
+        # seed generators
+        "seed_users": loads.seed_users,
+        "seed_subscriptions": loads.seed_subscriptions,
+        "seed_events": loads.seed_events,
+        # declared-only growth models
+        "nrr": growth.nrr,
+        "cohort_retention": growth.cohort_retention,
+        "trial_funnel": growth.trial_funnel,
+        "feature_adoption": growth.feature_adoption,
+        "fct_subscriptions": growth.fct_subscriptions,
+        "opportunity_stages": growth.opportunity_stages,
+        "scd2_snapshot": growth.scd2_snapshot,
+        "sessions": growth.sessions,
     }
+    q: dict[str, Query] = {k: _model(f, p) for k, f in models.items()}
+    q["stream_events_dedup"] = _stream      # X1
     return q

@@ -5,6 +5,7 @@ from monthwise.functions.scalar import (
     flag,
     hours_between_boundaries,
     month_of,
+    ntz_lit,
     ntz_to_epoch,
     surrogate_key,
     to_money,
@@ -13,6 +14,6 @@ from monthwise.functions.spine import month_sequence, one_month, month_spine, mo
 
 __all__ = [
     "SURROGATE_NULL", "cents_to_dollars", "epoch_to_ntz", "flag", "hours_between_boundaries",
-    "month_of", "ntz_to_epoch", "surrogate_key", "to_money", "month_spine", "months_between_whole",
+    "month_of", "ntz_lit", "ntz_to_epoch", "surrogate_key", "to_money", "month_spine", "months_between_whole",
     "one_month", "month_sequence",
 ]

@@ -16,6 +16,12 @@ DOLLARS = "decimal(18,2)"    # cents / 100
 TOTAL = "decimal(28,6)"      # sums of MONEY
 
 
+def ntz_lit(ts) -> Column:
+    """A TIMESTAMP_NTZ literal built from its text (independent of the driver's
+    and the session's time zones)."""
+    return F.expr(f"TIMESTAMP_NTZ '{ts:%Y-%m-%d %H:%M:%S.%f}'")
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

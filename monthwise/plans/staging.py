@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import cents_to_dollars, epoch_to_ntz, flag
+from monthwise.functions.scalar import cents_to_dollars, epoch_to_ntz, flag, ntz_lit
 from monthwise.params import CORRECTED, Params
 from monthwise.sources.registry import Sources
 
@@ -42,7 +42,7 @@ def stg_subscriptions(src: Sources, p: Params) -> DataFrame:
         epoch_to_ntz("canceled_at").alias("canceled_at"),
         epoch_to_ntz("ended_at").alias("ended_at"),
         F.col("cancel_at_period_end").alias("is_cancel_at_period_end"),
-        flag(F.col("trial_end").isNotNull() & (epoch_to_ntz("trial_end") > F.lit(p.as_of)))
+        flag(F.col("trial_end").isNotNull() & (epoch_to_ntz("trial_end") > ntz_lit(p.as_of)))
         .alias("is_in_trial"),
         F.col("_fivetran_synced").alias("_fivetran_synced_at"),
     )

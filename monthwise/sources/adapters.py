@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import ntz_to_epoch
+from monthwise.functions.scalar import ntz_lit, ntz_to_epoch
 from monthwise.operators.dimjoin import bounded_broadcast
 from monthwise.params import DEFAULT, Params
 from monthwise.sources import schemas
@@ -50,7 +50,7 @@ def _pick(values, idx: Column) -> Column:
 
 
 def _hours_before(ts: dt.datetime, hours: Column) -> Column:
-    return F.lit(ts) - F.make_dt_interval(F.lit(0), hours.cast("int"))
+    return ntz_lit(ts) - F.make_dt_interval(F.lit(0), hours.cast("int"))
 
 
 def _days_after(ts: Column, days: Column) -> Column:
@@ -136,7 +136,7 @@ def stripe_customers(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> D
     df = read_table(spark, sf_dir, "customer").select(
         _s("cus_", c).alias("id"),
         F.concat(F.lit("user_"), c.cast("string"), F.lit("@company.example")).alias("email"),
-        ntz_to_epoch(_days_after(F.lit(USERS_EPOCH), c % 700)).alias("created"),
+        ntz_to_epoch(_days_after(ntz_lit(USERS_EPOCH), c % 700)).alias("created"),
         F.lit(False).alias("_fivetran_deleted"),
         _hours_before(p.as_of, STRIPE_SYNC_LAG_H + c % 48).alias("_fivetran_synced"),
     )
@@ -166,7 +166,7 @@ def salesforce_account(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) ->
     # nation is a fixed 25-row table in the TPC-H schema; broadcast only after a bounded check
     j = cust.join(bounded_broadcast(nation, 10_000), cust.c_nationkey == nation.n_nationkey, "left")
     c = F.col("c_custkey")
-    created = _days_after(F.lit(USERS_EPOCH), c % 700)
+    created = _days_after(ntz_lit(USERS_EPOCH), c % 700)
     employees = (F.when(c % 97 == 0, F.lit(None))
                  .when(c % 4 == 0, c % 10)
                  .when(c % 4 == 1, 10 + c % 190)
@@ -223,7 +223,7 @@ def salesforce_contact(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) ->
 # --------------------------------------------------------------------------- app db
 def app_users(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
     c = F.col("c_custkey")
-    created = _days_after(F.lit(USERS_EPOCH), c % 700)
+    created = _days_after(ntz_lit(USERS_EPOCH), c % 700)
     df = read_table(spark, sf_dir, "customer").select(
         c.alias("id"),
         F.concat(F.lit(" User_"), c.cast("string"), F.lit("@Company.example ")).alias("email"),

@@ -53,9 +53,13 @@ class Sources:
 
         def sessions():
             from monthwise.operators.sessions import app_sessions
-            return app_sessions(src("app_db", "events"), params)
+            return schemas.conform(app_sessions(src("app_db", "events"), params), schemas.APP_SESSIONS)
 
         src.register("app_db", "sessions", sessions)
+        # the order log itself (change history for N7, order totals for M9)
+        from monthwise.sources.adapters import read_table
+        for t in ("orders", "customer"):
+            src.register("tpch", t, lambda t=t: read_table(spark, sf_dir, t))
         return src
 
     @classmethod
