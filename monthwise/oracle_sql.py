@@ -59,6 +59,7 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
            CASE WHEN o_orderstatus = 'F' THEN 'paid' WHEN o_orderstatus = 'O' THEN 'open' ELSE 'draft' END AS status,
            {_arr(A.BILLING_REASONS)}[o_orderkey % 3 + 1] AS billing_reason,
            CAST(round(o_totalprice * 100) AS BIGINT) AS total,
+           CAST(round(o_totalprice * 100) AS BIGINT) AS amount_due,
            CAST(round(o_totalprice * 100) AS BIGINT) // 10 AS tax,
            CASE WHEN o_orderstatus = 'F' THEN CAST(round(o_totalprice * 100) AS BIGINT) ELSE 0 END AS amount_paid,
            'usd' AS currency,
@@ -108,9 +109,31 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
     FROM customer""", [])
     c["raw_app_events"] = (f"""
     SELECT event_id, user_id, CAST(NULL AS VARCHAR) AS session_id, event_type AS event_name,
+           '{{"source":"web","feature":"'
+             || {_arr(A.FEATURES)}[CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 + 1]
+             || '","k":' || CAST(json_extract_string(props, '$.k') AS BIGINT) || '}}' AS event_properties,
            {_arr(A.FEATURES)}[CAST(json_extract_string(props, '$.k') AS BIGINT) % 4 + 1] AS feature,
            ts AS occurred_at, ts + INTERVAL 1 HOUR AS _loaded_at
     FROM events""", [])
+    c["raw_stripe_customers"] = ("SELECT 'cus_' || c_custkey AS id FROM customer", [])
+    c["raw_stripe_charges"] = ("SELECT 'ch_' || o_orderkey AS id FROM orders", [])
+    c["raw_salesforce_contact"] = ("SELECT '003' || c_custkey AS id FROM customer", [])
+    c["raw_app_subscriptions"] = ("SELECT o_orderkey AS id FROM orders", [])
+    c["app_sessions"] = ("""
+    SELECT user_id, session_index, min(occurred_at) AS started_at, max(occurred_at) AS ended_at,
+           count(*) AS events_count
+    FROM (SELECT *, CAST(sum(is_new) OVER (PARTITION BY user_id ORDER BY occurred_at
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS BIGINT) AS session_index
+          FROM (SELECT user_id, occurred_at,
+                       CASE WHEN occurred_at - lag(occurred_at) OVER (PARTITION BY user_id ORDER BY occurred_at)
+                                 <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS is_new
+                FROM raw_app_events WHERE user_id IS NOT NULL AND occurred_at IS NOT NULL))
+    GROUP BY 1, 2""", ["raw_app_events"])
+    c["raw_app_sessions"] = ("""
+    SELECT md5(coalesce(CAST(user_id AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
+               coalesce(CAST(started_at AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS session_id,
+           user_id, started_at, ended_at, events_count
+    FROM app_sessions""", ["app_sessions"])
     c["raw_salesforce_opportunity"] = (f"""
     SELECT 'op_' || o_orderkey AS id, 'a_' || o_custkey AS accountid,
            {_arr(A.OPPORTUNITY_STAGES)}[o_orderkey % 6 + 1] AS stage_name,
@@ -288,4 +311,355 @@ def oracle_sql(p: Params = DEFAULT) -> dict[str, str]:
     FROM (SELECT min(CAST(date_trunc('month', period_start_at) AS DATE)) AS lo FROM stg_subscriptions) b,
          generate_series(CAST(b.lo AS TIMESTAMP), {_ts(p.spine_end)}, INTERVAL 1 MONTH) t(g)""",
                                 ["stg_subscriptions"], p)
+    q.update(_movement_sql(p))
+    q.update(_quality_sql(p))
+    q.update(_load_sql(p))
+    q.update(_seed_sql(p))
+    q.update(_growth_sql(p))
+    return q
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"CASE WHEN ({den}) <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END"
+
+
+# ------------------------------------------------------------------- movement
+def _movement_sql(p: Params) -> dict[str, str]:
+    end = _ts(p.series_end)
+    base = f"""
+    WITH monthly AS (
+        SELECT o_custkey AS customer_key, CAST(date_trunc('month', o_orderdate) AS DATE) AS m,
+               sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
+        FROM orders WHERE o_orderdate < {end} + INTERVAL 1 MONTH GROUP BY 1, 2),
+    firsts AS (SELECT customer_key, min(m) AS first_m FROM monthly GROUP BY 1),
+    calendar AS (SELECT CAST(g AS DATE) AS month_start
+                 FROM generate_series((SELECT CAST(min(first_m) AS TIMESTAMP) FROM firsts), {end},
+                                      INTERVAL 1 MONTH) t(g)),
+    series AS (
+        SELECT f.customer_key, c.month_start, CAST(coalesce(mo.cents, 0) AS BIGINT) AS order_cents
+        FROM firsts f JOIN calendar c ON c.month_start >= f.first_m
+        LEFT JOIN monthly mo ON mo.customer_key = f.customer_key AND mo.m = c.month_start),
+    lagged AS (SELECT *, lag(order_cents) OVER (PARTITION BY customer_key ORDER BY month_start) AS prior_cents
+               FROM series)"""
+    exact = f"""{base}
+    SELECT customer_key, month_start, order_cents, prior_cents,
+           order_cents - coalesce(prior_cents, 0) AS cents_change,
+           CASE WHEN prior_cents IS NULL OR prior_cents = 0 THEN 'new'
+                WHEN order_cents > prior_cents THEN 'expansion'
+                WHEN order_cents < prior_cents AND order_cents > 0 THEN 'contraction'
+                WHEN order_cents = 0 AND prior_cents > 0 THEN 'churn'
+                WHEN prior_cents = 0 AND order_cents > 0 THEN 'reactivation'
+                ELSE 'retained' END AS movement
+    FROM lagged"""
+    corrected = f"""{base}
+    SELECT * FROM (
+    SELECT customer_key, month_start, order_cents, prior_cents,
+           order_cents - coalesce(prior_cents, 0) AS cents_change,
+           CASE WHEN prior_cents IS NULL AND order_cents > 0 THEN 'new'
+                WHEN prior_cents IS NULL OR (prior_cents = 0 AND order_cents = 0) THEN 'inactive'
+                WHEN prior_cents = 0 AND order_cents > 0 THEN 'reactivation'
+                WHEN order_cents > prior_cents THEN 'expansion'
+                WHEN order_cents = 0 AND prior_cents > 0 THEN 'churn'
+                WHEN order_cents < prior_cents THEN 'contraction'
+                ELSE 'retained' END AS movement
+    FROM lagged) WHERE movement <> 'inactive'"""
+    return {"movement_classify": exact, "movement_classify_corrected": corrected}
+
+
+# -------------------------------------------------------------------- quality
+_CHECK_TABLE = {
+    "stripe.subscriptions": "raw_stripe_subscriptions", "stripe.invoices": "raw_stripe_invoices",
+    "stripe.customers": "raw_stripe_customers", "stripe.charges": "raw_stripe_charges",
+    "salesforce.account": "raw_salesforce_account", "salesforce.opportunity": "raw_salesforce_opportunity",
+    "salesforce.contact": "raw_salesforce_contact", "app_db.users": "raw_app_users",
+    "app_db.subscriptions": "raw_app_subscriptions", "app_db.events": "raw_app_events",
+    "app_db.sessions": "raw_app_sessions", "fct_mrr": "fct_mrr", "dim_accounts": "dim_accounts",
+    "rpt_monthly_revenue": "monthly_revenue",
+}
+
+
+def _check_count_sql(ch) -> str:
+    t, c = _CHECK_TABLE[ch.model], ch.column
+    where = f"WHERE {ch.where}" if ch.where else ""
+    if ch.test == "unique":
+        return f"(SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))"
+    if ch.test == "not_null":
+        return f"(SELECT count(*) FROM {t} WHERE {c} IS NULL)"
+    if ch.test == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in ch.values)
+        return f"(SELECT count(*) FROM (SELECT {c} AS v FROM {t} {where} GROUP BY {c}) WHERE v NOT IN ({vals}))"
+    if ch.test == "between":
+        return f"(SELECT count(*) FROM {t} WHERE NOT ({c} >= {ch.min_value} AND {c} <= {ch.max_value}))"
+    raise ValueError(ch.test)
+
+
+def _suite_sql(checks, p: Params) -> str:
+    rows = [f"SELECT '{ch.model}' AS model, '{ch.column}' AS column_name, '{ch.test}' AS test_name, "
+            f"CAST({_check_count_sql(ch)} AS BIGINT) AS failures" for ch in checks]
+    body = "\n    UNION ALL ".join(rows)
+    needs = sorted({_CHECK_TABLE[ch.model] for ch in checks})
+    return with_ctes(f"SELECT *, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM (\n    {body})",
+                     needs, p)
+
+
+def _quality_sql(p: Params) -> dict[str, str]:
+    from monthwise.plans import quality_suite as QS
+    from monthwise.sources.incremental import APP_TABLES  # noqa: F401
+    q = {}
+    for kind, name in [("unique", "dq_unique"), ("not_null", "dq_not_null"),
+                       ("accepted_values", "dq_accepted_values"), ("between", "dq_between")]:
+        q[name] = _suite_sql([c for c in QS.ALL_CHECKS if c.test == kind], p)
+    q["dq_gate_summary"] = _suite_sql(QS.MART_CHECKS, p)
+    q["dq_source_tests"] = _suite_sql(QS.SOURCE_CHECKS, p)
+    q["dq_no_future_dates"] = with_ctes(f"""
+    SELECT canceled_at, count(*) AS num_records FROM stg_subscriptions
+    WHERE canceled_at > {_ts(p.as_of)} GROUP BY 1 HAVING count(*) > 0""", ["stg_subscriptions"], p)
+    q["dq_positive_values"] = with_ctes("""
+    SELECT subscription_id, plan_amount_dollars FROM stg_subscriptions WHERE plan_amount_dollars <= 0""",
+                                        ["stg_subscriptions"], p)
+
+    fresh_cols = {"stripe": "_fivetran_synced", "salesforce": "_fivetran_synced", "app_db": "_loaded_at"}
+    raw_sync = {  # loaded-at expressions of the raw tables not spelled out as CTEs above
+        ("stripe", "customers"): (f"{_ts(p.as_of)} - to_hours(CAST({A.STRIPE_SYNC_LAG_H} + c_custkey % 48 AS INTEGER))",
+                                  "customer"),
+        ("stripe", "charges"): (f"{_ts(p.as_of)} - to_hours(CAST({A.STRIPE_SYNC_LAG_H} + o_orderkey % 48 AS INTEGER))",
+                                "orders"),
+        ("salesforce", "opportunity"): (
+            f"{_ts(p.as_of)} - to_hours(CAST({A.SALESFORCE_SYNC_LAG_H} + o_orderkey % 60 AS INTEGER))", "orders"),
+        ("salesforce", "contact"): (
+            f"{_ts(p.as_of)} - to_hours(CAST({A.SALESFORCE_SYNC_LAG_H} + c_custkey % 60 AS INTEGER))", "customer"),
+        ("app_db", "subscriptions"): (f"{_ts(p.as_of)} - to_hours({A.APP_LOAD_LAG_H})", "orders"),
+    }
+    cte_tables = {("stripe", "subscriptions"): "raw_stripe_subscriptions",
+                  ("stripe", "invoices"): "raw_stripe_invoices",
+                  ("salesforce", "account"): "raw_salesforce_account",
+                  ("app_db", "users"): "raw_app_users", ("app_db", "events"): "raw_app_events"}
+
+    def max_loaded(system, table):
+        col = fresh_cols[system]
+        if (system, table) in cte_tables:
+            return f"(SELECT max({col}) FROM {cte_tables[(system, table)]})", [cte_tables[(system, table)]]
+        if (system, table) == ("app_db", "sessions"):
+            return "(SELECT max(occurred_at + INTERVAL 1 HOUR) FROM raw_app_events)", ["raw_app_events"]
+        expr, base = raw_sync[(system, table)]
+        return f"(SELECT max({expr}) FROM {base})", []
+
+    def clock(system, table):
+        return p.events_as_of if (system, table) in {("app_db", "events"), ("app_db", "sessions")} else p.as_of
+
+    rows, needs = [], set()
+    for system, (_, warn_h, err_h, tables) in QS.FRESHNESS.items():
+        for t in tables:
+            m, n = max_loaded(system, t)
+            needs.update(n)
+            now = _ts(clock(system, t))
+            age = f"date_diff('second', {m}, {now})"
+            rows.append(f"""SELECT '{system}' AS source_name, '{t}' AS table_name, {m} AS max_loaded_at,
+               {now} AS snapshotted_at, {age} AS age_seconds, {warn_h} AS warn_after_hours,
+               {err_h} AS error_after_hours,
+               CASE WHEN {m} IS NULL OR {age} > {err_h * 3600} THEN 'error'
+                    WHEN {age} > {warn_h * 3600} THEN 'warn' ELSE 'pass' END AS status""")
+    q["source_freshness"] = with_ctes("\n    UNION ALL ".join(rows), sorted(needs), p)
+
+    rows, needs = [], set()
+    for system, table, max_h in QS.STALE_PROBE:
+        m, n = max_loaded(system, table)
+        needs.update(n)
+        hours = f"date_diff('hour', {m}, {_ts(clock(system, table))})"
+        rows.append(f"""SELECT '{system}.{table}' AS table_name, {m} AS latest_sync, {hours} AS hours_old,
+               {max_h} AS max_hours, ({m} IS NULL OR {hours} > {max_h}) AS is_stale""")
+    q["stale_sources"] = with_ctes("\n    UNION ALL ".join(rows), sorted(needs), p)
+
+    ev_cols = ["event_id", "user_id", "session_id", "event_name", "event_properties", "occurred_at", "_loaded_at"]
+    user_cols = ["id", "email", "first_name", "last_name", "organization_id", "stripe_customer_id", "role", "status",
+                 "signup_source", "referral_code", "created_at", "updated_at", "last_login_at", "email_verified_at",
+                 "_loaded_at"]
+
+    def profile(table, src_sql, cols):
+        parts = [f"SELECT '{table}' AS table_name, '{c}' AS column_name, count({c}) AS non_null_count, "
+                 f"count(*) AS batch_rows, (count({c}) = 0 AND count(*) > 0) AS is_all_null, "
+                 f"count(*) = 0 AS is_empty_batch FROM {src_sql}" for c in cols]
+        return "\n    UNION ALL ".join(parts)
+    batch = (f"(SELECT event_id, user_id, session_id, event_name, event_properties, occurred_at, "
+             f"{_ts(p.events_as_of)} AS _loaded_at FROM raw_app_events WHERE occurred_at > {_ts(p.events_mark)})")
+    q["all_null_columns"] = with_ctes(profile("events", batch, ev_cols) + "\n    UNION ALL "
+                                      + profile("users", "raw_app_users", user_cols),
+                                      ["raw_app_events", "raw_app_users"], p)
+    q["row_counts"] = with_ctes("""
+    SELECT 'users' AS tbl, count(*) AS row_count FROM raw_app_users
+    UNION ALL SELECT 'subscriptions', count(*) FROM raw_app_subscriptions
+    UNION ALL SELECT 'events', count(*) FROM raw_app_events""",
+                                ["raw_app_users", "raw_app_subscriptions", "raw_app_events"], p)
+    return q
+
+
+# ---------------------------------------------------------------------- loads
+def _load_sql(p: Params) -> dict[str, str]:
+    q = {}
+    mark, ev_now, now = _ts(p.events_mark), _ts(p.events_as_of), _ts(p.as_of)
+    q["incremental_extract"] = with_ctes(f"""
+    SELECT event_id AS "EVENT_ID", user_id AS "USER_ID", session_id AS "SESSION_ID", event_name AS "EVENT_NAME",
+           event_properties AS "EVENT_PROPERTIES", occurred_at AS "OCCURRED_AT", {ev_now} AS "_LOADED_AT"
+    FROM raw_app_events WHERE occurred_at > {mark}""", ["raw_app_events"], p)
+    counts = {
+        "users": ("(SELECT count(*) FROM raw_app_users)", now),
+        "subscriptions": ("(SELECT count(*) FROM raw_app_subscriptions)", now),
+        "events": (f"(SELECT count(*) FROM raw_app_events WHERE occurred_at > {mark})", ev_now),
+        "sessions": ("(SELECT count(*) FROM app_sessions)", ev_now),
+    }
+    needs = ["raw_app_users", "raw_app_subscriptions", "raw_app_events", "app_sessions"]
+    q["load_summary"] = with_ctes("\n    UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'success' AS status, {c} AS rows_loaded, CAST(NULL AS VARCHAR) AS error"
+        for t, (c, _) in counts.items()), needs, p)
+    ups = "\n        UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {clk} AS last_extracted, {c} AS rows_extracted, {clk} AS updated_at"
+        for t, (c, clk) in counts.items())
+    q["watermark_upsert"] = with_ctes(f"""
+    SELECT table_name, last_extracted, rows_extracted, updated_at FROM (
+        SELECT 'events' AS table_name, {mark} AS last_extracted,
+               (SELECT count(*) FROM raw_app_events WHERE occurred_at <= {mark}) AS rows_extracted,
+               {mark} AS updated_at
+        UNION ALL {ups})
+    QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY updated_at DESC) = 1""", needs, p)
+    q["load_latest_by_key"] = with_ctes(f"""
+    SELECT event_id, user_id, session_id, event_name, event_properties, occurred_at, _loaded_at FROM (
+        SELECT event_id, user_id, session_id, event_name, event_properties, occurred_at, {mark} AS _loaded_at
+        FROM raw_app_events WHERE occurred_at <= {mark}
+        UNION ALL
+        SELECT event_id, user_id, session_id, event_name, event_properties, occurred_at, {ev_now} AS _loaded_at
+        FROM raw_app_events WHERE occurred_at > {mark} - INTERVAL 1 DAY)
+    QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY _loaded_at DESC) = 1""", ["raw_app_events"], p)
+    q["stream_events_dedup"] = """
+    SELECT event_id, user_id, event_type AS event_name, props AS event_properties, ts AS occurred_at
+    FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1"""
+    return q
+
+
+# ---------------------------------------------------------------------- seeds
+def _seed_sql(p: Params) -> dict[str, str]:
+    from monthwise.sources import seedgen as S
+    now = _ts(p.as_of)
+
+    def frac(salt):
+        return f"(CAST(((i + {salt}) * {S.HASH_MULT}) % {S.HASH_MOD} AS DOUBLE) / {S.HASH_MOD})"
+
+    def before(salt, days):
+        return f"{now} - to_seconds(CAST(floor({frac(salt)} * {days} * 86400) AS BIGINT))"
+
+    def pick(values, expr="i"):
+        return f"{_arr(values)}[{expr} % {len(values)} + 1]"
+
+    def uuid_like(prefix):
+        h = f"md5('{prefix}' || CAST(i AS VARCHAR))"
+        return (f"substring({h}, 1, 8) || '-' || substring({h}, 9, 4) || '-' || substring({h}, 13, 4) || '-' || "
+                f"substring({h}, 17, 4) || '-' || substring({h}, 21, 12)")
+    org = f"CAST(ceil(i / {S.USERS_PER_ORG}) AS BIGINT)"
+    q = {}
+    q["seed_users"] = f"""
+    SELECT i AS id, 'user_' || i || '@company_' || {org} || '.com' AS email,
+           {pick(S.FIRST_NAMES)} AS first_name, {pick(S.LAST_NAMES)} AS last_name, {org} AS organization_id,
+           'cus_' || md5(CAST(i AS VARCHAR)) AS stripe_customer_id,
+           CASE WHEN i % 5 = 0 THEN 'admin' ELSE 'member' END AS role,
+           CASE WHEN i % 20 = 0 THEN 'deactivated' ELSE 'active' END AS status,
+           {pick(S.SIGNUP_SOURCES)} AS signup_source,
+           {before(1, 730)} AS created_at, {before(2, 30)} AS updated_at,
+           {before(3, 7)} AS last_login_at, {before(4, 700)} AS email_verified_at
+    FROM (SELECT c_custkey + 1 AS i FROM customer)"""
+    q["seed_subscriptions"] = f"""
+    SELECT i AS id, CAST(i * {S.USERS_PER_ORG} AS BIGINT) AS user_id, i AS organization_id,
+           'sub_' || md5(CAST(i AS VARCHAR)) AS stripe_sub_id, {pick(S.PLAN_NAMES)} AS plan_name,
+           CASE WHEN i % 3 = 0 THEN 'annual' ELSE 'monthly' END AS plan_type,
+           CASE WHEN i % 15 = 0 THEN 'canceled' ELSE 'active' END AS status,
+           CAST({pick(S.PRICES_CENTS)} AS BIGINT) AS amount_cents, {before(5, 600)} AS started_at
+    FROM (SELECT c_custkey // {S.USERS_PER_ORG} + 1 AS i FROM customer WHERE c_custkey % {S.USERS_PER_ORG} = 0)"""
+    q["seed_events"] = f"""
+    SELECT {uuid_like('e')} AS event_id, CAST(i % {S.SEED_USERS} + 1 AS BIGINT) AS user_id,
+           {uuid_like('s')} AS session_id, {pick(S.EVENT_NAMES)} AS event_name,
+           '{{"source": "web", "feature": "' || {pick(S.FEATURES)} || '"}}' AS event_properties,
+           {before(6, 90)} AS occurred_at
+    FROM (SELECT o_orderkey + 1 AS i FROM orders)"""
+    return q
+
+
+# --------------------------------------------------------------------- growth
+def _growth_sql(p: Params) -> dict[str, str]:
+    q = {}
+    cm = """
+    cm AS (SELECT customer_id, month_start, sum(mrr) AS mrr FROM fct_mrr WHERE customer_id IS NOT NULL
+           GROUP BY 1, 2 HAVING sum(mrr) > 0)"""
+    q["nrr"] = with_ctes(f"""
+    , {cm.strip()}
+    SELECT CAST(c1.month_start + INTERVAL 12 MONTH AS DATE) AS month_start, count(*) AS cohort_customers,
+           count(c2.mrr) AS retained_customers, CAST(sum(c1.mrr) AS DECIMAL(28,6)) AS starting_mrr,
+           CAST(sum(coalesce(c2.mrr, 0)) AS DECIMAL(28,6)) AS retained_mrr,
+           {_ratio('CAST(sum(coalesce(c2.mrr, 0)) AS DECIMAL(28,6))', 'CAST(sum(c1.mrr) AS DECIMAL(28,6))')} AS nrr
+    FROM cm c1 LEFT JOIN cm c2
+      ON c2.customer_id = c1.customer_id AND c2.month_start = CAST(c1.month_start + INTERVAL 12 MONTH AS DATE)
+    WHERE CAST(c1.month_start + INTERVAL 12 MONTH AS DATE) <= {_d(p.spine_end)}
+    GROUP BY 1""", ["fct_mrr"], p).replace(")\n    , cm AS", "),\n    cm AS", 1)
+    q["cohort_retention"] = with_ctes(f"""
+    , {cm.strip()},
+    c AS (SELECT *, min(month_start) OVER (PARTITION BY customer_id) AS cohort_month FROM cm),
+    a AS (SELECT cohort_month, CAST(date_diff('month', cohort_month, month_start) AS INTEGER) AS months_since,
+                 count(customer_id) AS active_customers FROM c GROUP BY 1, 2)
+    SELECT *, {_ratio('active_customers', 'cohort_size')} AS retention_rate FROM (
+      SELECT *, max(CASE WHEN months_since = 0 THEN active_customers END)
+                  OVER (PARTITION BY cohort_month) AS cohort_size FROM a)""", ["fct_mrr"], p
+                                      ).replace(")\n    , cm AS", "),\n    cm AS", 1)
+    now = _ts(p.as_of)
+    q["trial_funnel"] = with_ctes(f"""
+    SELECT *, {_ratio('trials_converted', 'trials_ended')} AS conversion_rate FROM (
+    SELECT CAST(date_trunc('month', trial_start_at) AS DATE) AS month_start, acquisition_channel,
+           count(*) AS trials_started,
+           count(*) FILTER (WHERE trial_end_at <= {now}) AS trials_ended,
+           count(*) FILTER (WHERE trial_end_at <= {now} AND plan_amount_dollars > 0
+                            AND (canceled_at IS NULL OR canceled_at > trial_end_at)) AS trials_converted,
+           count(*) FILTER (WHERE is_in_trial) AS in_trial
+    FROM stg_subscriptions WHERE trial_start_at IS NOT NULL GROUP BY 1, 2)""", ["stg_subscriptions"], p)
+    q["feature_adoption"] = with_ctes(f"""
+    SELECT f.*, a.active_users, {_ratio('f.feature_users', 'a.active_users')} AS adoption_rate FROM (
+      SELECT CAST(date_trunc('month', occurred_at) AS DATE) AS month_start,
+             json_extract_string(event_properties, '$.feature') AS feature,
+             count(DISTINCT user_id) AS feature_users, count(*) AS feature_events
+      FROM raw_app_events GROUP BY 1, 2) f
+    JOIN (SELECT CAST(date_trunc('month', occurred_at) AS DATE) AS month_start,
+                 count(DISTINCT user_id) AS active_users FROM raw_app_events GROUP BY 1) a
+      ON f.month_start = a.month_start""", ["raw_app_events"], p)
+    end = _d(p.spine_end)
+    q["fct_subscriptions"] = with_ctes(f"""
+    SELECT s.subscription_id, s.customer_id, s.plan_id, s.subscription_status, s.billing_cycle,
+           s.acquisition_channel, s.created_at, s.canceled_at,
+           a.first_active_month, a.last_active_month, coalesce(a.tenure, 0) AS tenure_months,
+           CAST(CASE WHEN s.billing_cycle = 'annual' THEN s.plan_amount_dollars / 12.0
+                     ELSE s.plan_amount_dollars END AS DECIMAL(18,6)) AS mrr,
+           CAST(CASE WHEN a.last_active_month = {end} THEN a.mrr ELSE 0 END AS DECIMAL(18,6)) AS current_mrr,
+           CAST(coalesce(a.lifetime, 0) AS DECIMAL(28,6)) AS lifetime_mrr,
+           coalesce(a.last_active_month = {end}, false) AS is_active
+    FROM stg_subscriptions s LEFT JOIN (
+        SELECT subscription_id, min(month_start) AS first_active_month, max(month_start) AS last_active_month,
+               count(*) AS tenure, sum(mrr) AS lifetime, max(mrr) AS mrr
+        FROM subscription_periods GROUP BY 1) a ON s.subscription_id = a.subscription_id""",
+                                       ["stg_subscriptions", "subscription_periods"], p)
+    q["opportunity_stages"] = with_ctes(f"""
+    SELECT *, {_ratio('won', 'won + lost')} AS win_rate FROM (
+      SELECT *, sum(CASE WHEN stage_name = 'Closed Won' THEN opportunity_count ELSE 0 END)
+                  OVER (PARTITION BY month_start) AS won,
+                sum(CASE WHEN stage_name = 'Closed Lost' THEN opportunity_count ELSE 0 END)
+                  OVER (PARTITION BY month_start) AS lost
+      FROM (SELECT CAST(date_trunc('month', createddate) AS DATE) AS month_start, stage_name,
+                   count(*) AS opportunity_count, CAST(sum(amount) AS DECIMAL(28,2)) AS pipeline_amount
+            FROM raw_salesforce_opportunity WHERE isdeleted = false GROUP BY 1, 2))""",
+                                        ["raw_salesforce_opportunity"], p)
+    q["opportunity_stages"] = (
+        "SELECT month_start, stage_name, opportunity_count, pipeline_amount, win_rate FROM ("
+        + q["opportunity_stages"] + ")")
+    q["scd2_snapshot"] = """
+    SELECT md5(CAST(o_custkey AS VARCHAR) || '-' || CAST(o_orderkey AS VARCHAR)) AS scd_id,
+           o_custkey AS customer_key, o_orderkey AS order_key, o_orderpriority AS order_priority,
+           o_orderdate AS valid_from,
+           lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS valid_to,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS version_number,
+           lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) IS NULL AS is_current
+    FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL"""
+    q["sessions"] = with_ctes("SELECT * FROM app_sessions", ["app_sessions"], p)
     return q
