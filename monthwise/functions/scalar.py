@@ -35,6 +35,23 @@ def to_money(c) -> Column:
     return _c(c).cast(MONEY)
 
 
+MICROS = 1_000_000
+
+
+def money_micros(c) -> Column:
+    """A MONEY (DECIMAL(18,6)) value as its exact unscaled long (micro-units).
+    Summing longs is several times cheaper than summing wide decimals; use it
+    where the sum of one group is bounded (per customer and month), then widen
+    with :func:`micros_sum_to_money` over the already-reduced rows."""
+    return (_c(c) * F.lit(MICROS)).cast("bigint")
+
+
+def micros_sum_to_money(c) -> Column:
+    """``sum`` of micro-unit longs as an exact DECIMAL(28,6), summed in DECIMAL
+    so large group totals cannot overflow."""
+    return (F.sum(_c(c).cast("decimal(20,0)")) / F.lit(MICROS)).cast(TOTAL)
+
+
 def epoch_to_ntz(c) -> Column:
     """``to_timestamp(epoch)::timestamp_ntz``.  Needs session time zone UTC."""
     return F.timestamp_seconds(_c(c)).cast("timestamp_ntz")

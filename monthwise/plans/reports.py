@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import TOTAL
+from monthwise.functions.scalar import micros_sum_to_money, money_micros
 from monthwise.operators.movement import CHURN, CONTRACTION, EXPANSION, NEW, REACTIVATION
 from monthwise.params import Params
 from monthwise.plans.mrr import fct_mrr
@@ -20,7 +20,7 @@ REPORT_COLUMNS = [
 
 
 def _when_type(t: str, v: str) -> Column:
-    return F.when(F.col("mrr_type") == t, F.col(v)).otherwise(F.lit(0))
+    return F.when(F.col("mrr_type") == t, money_micros(v)).otherwise(F.lit(0))
 
 
 def safe_ratio(num: Column, den: Column) -> Column:
@@ -35,9 +35,13 @@ def monthly_revenue_from_fact(fact: DataFrame) -> DataFrame:
       churn" flags.  It is combined map-side, so a hot customer shrinks to one row
       per map task before the shuffle, and no ``Expand`` multiplies the fact.
     * level 2 groups ~one row per customer into (month, segment): distinct
-      customer counts become plain counts of non-NULL customer ids."""
+      customer counts become plain counts of non-NULL customer ids.
+
+    Level 1 sums exact micro-unit longs (a customer's monthly MRR is far below
+    the long range; ANSI mode would raise, not wrap, on overflow); level 2 sums
+    in DECIMAL, so the totals are exact at any size."""
     lvl1 = fact.groupBy("month_start", "account_segment", "customer_id").agg(
-        F.sum("mrr").alias("mrr"),
+        F.sum(money_micros("mrr")).alias("mrr"),
         F.sum(_when_type(NEW, "mrr")).alias("new_mrr"),
         F.sum(_when_type(EXPANSION, "mrr_change")).alias("expansion_mrr"),
         F.sum(_when_type(CONTRACTION, "mrr_change")).alias("contraction_mrr"),
@@ -46,15 +50,14 @@ def monthly_revenue_from_fact(fact: DataFrame) -> DataFrame:
         F.max((F.col("mrr_type") == NEW).cast("int")).alias("any_new"),
         F.max((F.col("mrr_type") == CHURN).cast("int")).alias("any_churn"),
     )
-    total = F.sum("mrr")
     rep = lvl1.groupBy("month_start", "account_segment").agg(
-        total.cast(TOTAL).alias("total_mrr"),
-        (total * 12).cast(TOTAL).alias("total_arr"),
-        F.sum("new_mrr").cast(TOTAL).alias("new_mrr"),
-        F.sum("expansion_mrr").cast(TOTAL).alias("expansion_mrr"),
-        F.sum("contraction_mrr").cast(TOTAL).alias("contraction_mrr"),
-        F.sum("churned_mrr").cast(TOTAL).alias("churned_mrr"),
-        F.sum("reactivation_mrr").cast(TOTAL).alias("reactivation_mrr"),
+        micros_sum_to_money("mrr").alias("total_mrr"),
+        micros_sum_to_money(F.col("mrr") * 12).alias("total_arr"),
+        micros_sum_to_money("new_mrr").alias("new_mrr"),
+        micros_sum_to_money("expansion_mrr").alias("expansion_mrr"),
+        micros_sum_to_money("contraction_mrr").alias("contraction_mrr"),
+        micros_sum_to_money("churned_mrr").alias("churned_mrr"),
+        micros_sum_to_money("reactivation_mrr").alias("reactivation_mrr"),
         F.count("customer_id").alias("active_customer_count"),
         F.count(F.when(F.col("any_new") == 1, F.col("customer_id"))).alias("new_customer_count"),
         F.count(F.when(F.col("any_churn") == 1, F.col("customer_id"))).alias("churned_customer_count"),

@@ -24,12 +24,14 @@ SESSION_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "monthwise") -> SparkSession:
+                  app_name: str = "monthwise", driver_memory: str | None = None) -> SparkSession:
     """Local/test session.  On a cluster use the existing session and call
     :func:`configure` instead."""
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+    if driver_memory:
+        b = b.config("spark.driver.memory", driver_memory)
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in SESSION_CONF.items():
         b = b.config(k, v)
