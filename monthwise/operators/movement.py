@@ -47,8 +47,13 @@ def movement_classify(df: DataFrame, key: list[str], period: str, value: str,
     reference).  The window needs ``df`` clustered by ``key``; callers that
     pre-partition on ``key`` (or a subset of it) avoid a shuffle here."""
     w = Window.partitionBy(*key).orderBy(period)
-    prior = F.lag(value).over(w)
-    out = df.withColumn(prior_col, prior)
+    out = df.withColumn(prior_col, F.lag(value).over(w))
+    return add_movement(out, value, prior_col, change_col, type_col, mode, change_type)
+
+
+def add_movement(out: DataFrame, value: str, prior_col: str, change_col: str = "value_change",
+                 type_col: str = "movement", mode: str = EXACT, change_type: str | None = None) -> DataFrame:
+    """Change and movement class from a value and its (already known) prior."""
     change = F.col(value) - F.coalesce(F.col(prior_col), F.lit(0))
     if change_type:
         change = change.cast(change_type)

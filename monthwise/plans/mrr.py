@@ -9,20 +9,22 @@ Plan shape (the fact is ~months x subscriptions, by far the largest table):
    AQE broadcasts the dimension when its measured size is small and keeps a
    shuffle join (with skew splitting) otherwise.
 2. subscription rows are hash-partitioned by ``subscription_id``; the month
-   expansion keeps that partitioning, so the ``lag`` window sorts locally and
-   never shuffles the expanded rows.
-3. the window is keyed on (subscription, account): a duplicated CRM customer id
+   expansion keeps that partitioning, so nothing downstream shuffles the
+   expanded rows.
+3. ``lag`` is keyed on (subscription, account): a duplicated CRM customer id
    fans a subscription out into one copy per account, and each copy keeps the
-   per-subscription ``lag`` the reference computes before its join.
+   per-subscription ``lag`` the reference computes before its join.  For a pair
+   with one source row the lag follows from the month position (no sort); only
+   pairs with several source rows go through the ``lag`` window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthwise.functions.scalar import MONEY, surrogate_key
-from monthwise.operators.movement import movement_classify
+from monthwise.operators.movement import add_movement, movement_classify
 from monthwise.operators.range_expand import expand_months
 from monthwise.params import Params
 from monthwise.plans.accounts import dim_accounts
@@ -45,12 +47,26 @@ def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
                    F.col("stripe_customer_id").alias("__dim_key"))
     pre = subs.join(d, subs["customer_id"] == d["__dim_key"], "left").drop("__dim_key")
     n = p.expand_partitions or default_parallelism(src.spark)
-    ex = expand_months(pre, F.col("__lo"), F.col("__hi"), p.spine_start, p.spine_end,
-                       partition_by=["subscription_id"], num_partitions=n)
-    ex = with_month_flags(ex, p)
-    m = movement_classify(ex, key=["subscription_id", "account_id"], period="month_start", value="mrr",
-                          prior_col="prior_month_mrr", change_col="mrr_change", type_col="mrr_type",
-                          mode=p.mode, change_type=MONEY)
+    key = ["subscription_id", "account_id"]
+    # one row per subscription moves here; everything below stays in these partitions
+    pre = pre.repartition(n, "subscription_id")
+    # source rows per (subscription, account): a window over the pre-expansion
+    # rows, already clustered by subscription, so no shuffle
+    pre = pre.withColumn("__copies", F.count(F.lit(1)).over(Window.partitionBy(*key)))
+    ex = expand_months(pre, F.col("__lo"), F.col("__hi"), p.spine_start, p.spine_end, position="__pos")
+    ex = with_month_flags(ex.withColumn("__base_mrr", F.col("mrr")), p)
+    kw = dict(prior_col="prior_month_mrr", change_col="mrr_change", type_col="mrr_type", mode=p.mode,
+              change_type=MONEY)
+    # A single source row expands into consecutive months, so the previous row of
+    # month k is month k-1 of the same expansion: lag() is the row's own MRR
+    # except at the first month - no sort of the expanded rows is needed.
+    single = ex.filter(F.col("__copies") == 1).withColumn(
+        "prior_month_mrr", F.when(F.col("__pos") > 0, F.col("__base_mrr")))
+    single = add_movement(single, "mrr", **kw)
+    # Several source rows for one pair (a broken unique key upstream): the
+    # exact lag() window, sorting only those rows.
+    multi = movement_classify(ex.filter(F.col("__copies") > 1), key=key, period="month_start", value="mrr", **kw)
+    m = single.unionByName(multi)
     return m.select(
         surrogate_key(F.col("subscription_id"), F.col("month_start")).alias("mrr_id"),
         "month_start", "subscription_id", "customer_id", "plan_id", "plan_type", "billing_cycle",

@@ -131,10 +131,13 @@ def test_fact_plan_has_no_nested_loop_or_python(spark):
     plan = _plan(df)
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
-    # the window sorts locally after the expansion: one exchange (by subscription) feeds it
+    # main branch: the expanded rows are neither sorted nor shuffled (lag by position)
     txt = df._jdf.queryExecution().executedPlan().treeString()
-    window_part = txt.split("Window")[1].split("Exchange")[0]
-    assert "Generate" in window_part
+    top = txt.split("Generate")[0]
+    assert "Sort" not in top and "Exchange" not in top and "Window" not in top
+    # below the expansion: one exchange by subscription, then only pre-expansion work
+    below = txt.split("Generate")[1].split("Exchange")[0]
+    assert "Window" in below and "Sort" in below
 
 
 def test_filters_and_columns_reach_the_scan(spark):

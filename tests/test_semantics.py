@@ -100,6 +100,19 @@ def test_duplicate_crm_customer_fans_out_but_keeps_lag(spark):
         assert types == ["new", "retained", "retained", "retained"]
 
 
+def test_duplicated_subscription_id_follows_lag_over_all_rows(spark):
+    # two source rows for one id with disjoint ranges: lag() links them
+    rows = [raw_sub(1, dt.datetime(2001, 1, 3), cancel=dt.datetime(2001, 4, 2), amount=9900),
+            raw_sub(1, dt.datetime(2001, 5, 3), cancel=dt.datetime(2001, 8, 2), amount=4900),
+            raw_sub(2, dt.datetime(2001, 11, 3))]
+    out = mrr.fct_mrr(subs_source(spark, rows), DEFAULT).orderBy("subscription_id", "month_start").collect()
+    s1 = [(r.month_start.month, r.prior_month_mrr, r.mrr_type) for r in out if r.subscription_id == "sub_1"]
+    assert s1 == [(1, None, "new"), (2, Decimal("99"), "retained"), (3, Decimal("99"), "retained"),
+                  (5, Decimal("99"), "contraction"), (6, Decimal("49"), "retained"), (7, Decimal("49"), "retained")]
+    s2 = [(r.month_start, r.mrr_type) for r in out if r.subscription_id == "sub_2"]
+    assert s2 == [(dt.date(2001, 11, 1), "new"), (dt.date(2001, 12, 1), "retained"), (dt.date(2002, 1, 1), "retained")]
+
+
 def test_null_employee_count_segment(spark):
     accts = [account(1, "cus_1", None)]
     src = subs_source(spark, [], accts)
