@@ -74,3 +74,19 @@ def build_all(spark: SparkSession, src: Sources, p: Params, root: str | None = N
     if run_gate:
         gate(summary)
     return out
+
+
+def run_daily(spark: SparkSession, src: Sources, p: Params, root: str | None = None, target: str = "prod",
+              default_schema: str = "analytics", load=None) -> dict[str, DataFrame]:
+    """The schedule's order: stale-source probe (warns, never blocks) -> optional
+    app-table load (``load()``, e.g. :func:`monthwise.sources.incremental.run_loads`)
+    -> layered build -> gate on marts + reporting -> source freshness.  Each step
+    returns a small control DataFrame; a failed gate raises."""
+    from monthwise.plans.quality_suite import source_freshness, stale_sources
+
+    out: dict[str, DataFrame] = {"stale_sources": stale_sources(src, p)}
+    if load is not None:
+        out["load_summary"] = load()
+    out.update(build_all(spark, src, p, root, target, default_schema, run_gate=True))
+    out["source_freshness"] = source_freshness(src, p)
+    return out

@@ -121,6 +121,14 @@ def test_build_all_writes_tables_and_gate_catches_null_segment(spark, workdir):
     assert out["fct_mrr"].count() > 0 and out["rpt_monthly_revenue"].count() > 0
 
 
+def test_seed_csv_load_with_explicit_schema(spark, workdir):
+    from monthwise.sources.seeds_csv import load_seed_csv
+    path = os.path.join(workdir, "nation_csv")
+    spark.read.parquet(f"{SF_SMALL}/nation.parquet").write.option("header", True).csv(path)
+    df = load_seed_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
+    assert df.count() == 25 and dict(df.dtypes)["n_nationkey"] == "int"
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
