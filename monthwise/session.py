@@ -59,13 +59,19 @@ def shared_dir(spark: SparkSession) -> str:
 
     Uses the cluster's ``spark.checkpoint.dir``.  Only when it is unset (local
     runs, tests) a fresh temporary folder is made and registered."""
-    base = spark.sparkContext.getCheckpointDir()
+    try:
+        base = spark.sparkContext.getCheckpointDir()
+    except Exception:        # no SparkContext on this client
+        base = None
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="monthwise-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+            base = spark.sparkContext.getCheckpointDir() or base
+        except Exception:
+            spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 

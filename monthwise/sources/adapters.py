@@ -56,10 +56,12 @@ def spread_single_split(spark: SparkSession, df: DataFrame, path: str, min_bytes
     local = path[5:] if path.startswith("file:") else path
     if not os.path.isfile(local) or os.path.getsize(local) < min_bytes:
         return df
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:        # no RDD API (e.g. a Spark Connect session): leave the scan as is
         return df
-    return df.repartition(slots)
+    return df if splits >= slots else df.repartition(slots)
 
 
 def _pick(values, idx: Column) -> Column:

@@ -121,6 +121,17 @@ def test_build_all_writes_tables_and_gate_catches_null_segment(spark, workdir):
     assert out["fct_mrr"].count() > 0 and out["rpt_monthly_revenue"].count() > 0
 
 
+def test_sources_from_paths_reads_contract_tables(spark, workdir):
+    from monthwise.plans.reports import monthly_revenue
+    test_src = Sources.from_test_tables(spark, SF_SMALL, DEFAULT)
+    for system, table in [("stripe", "subscriptions"), ("salesforce", "account"), ("app_db", "users")]:
+        test_src(system, table).write.parquet(os.path.join(workdir, system, table))
+    prod_src = Sources.from_paths(spark, workdir)
+    a = monthly_revenue(prod_src, DEFAULT)
+    b = monthly_revenue(test_src, DEFAULT)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
 def test_seed_csv_load_with_explicit_schema(spark, workdir):
     from monthwise.sources.seeds_csv import load_seed_csv
     path = os.path.join(workdir, "nation_csv")
