@@ -14,10 +14,24 @@ from monthwise.sources.registry import Sources
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_SOURCES: dict[tuple, Sources] = {}
+
+
+def test_sources(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Sources:
+    """The raw sources of one test directory, registered once per session: the
+    adapter DataFrames are immutable lazy plans, so every query reuses them (as
+    views are defined once) instead of rebuilding the same expressions."""
+    key = (id(spark), sf_dir.rstrip("/"), p)
+    src = _SOURCES.get(key)
+    if src is None or src.spark is not spark:
+        src = _SOURCES[key] = Sources.from_test_tables(spark, sf_dir, p)
+    return src
+
+
 def _model(fn, p: Params = DEFAULT) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
-        return fn(Sources.from_test_tables(spark, sf_dir, p), p)
+        return fn(test_sources(spark, sf_dir, p), p)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run

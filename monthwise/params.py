@@ -4,7 +4,7 @@ so that a build is deterministic and testable."""
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 EXACT = "exact"          # reproduce the reference's behaviour, quirks included
 CORRECTED = "corrected"  # opt-in fixes (see README, "Semantics")
@@ -27,7 +27,6 @@ class Params:
     mode: str = EXACT
     # partitions for the month expansion; None = spark.sql.shuffle.partitions
     expand_partitions: int | None = None
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

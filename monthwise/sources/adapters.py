@@ -11,10 +11,9 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import ntz_lit, ntz_to_epoch
 from monthwise.operators.dimjoin import bounded_broadcast
 from monthwise.params import DEFAULT, Params
 from monthwise.sources import schemas
@@ -64,119 +63,121 @@ def spread_single_split(spark: SparkSession, df: DataFrame, path: str, min_bytes
     return df if splits >= slots else df.repartition(slots)
 
 
-def _pick(values, idx: Column) -> Column:
-    """``values[idx]`` with a 0-based index column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+def _lits(values) -> str:
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
 
 
-def _hours_before(ts: dt.datetime, hours: Column) -> Column:
-    return ntz_lit(ts) - F.make_dt_interval(F.lit(0), hours.cast("int"))
+def _pick(values, idx: str) -> str:
+    """SQL for ``values[idx]`` with a 0-based index expression."""
+    return f"element_at(array({_lits(values)}), CAST(({idx}) + 1 AS INT))"
 
 
-def _days_after(ts: Column, days: Column) -> Column:
-    return ts + F.make_dt_interval(days.cast("int"))
+def _ntz(ts: dt.datetime) -> str:
+    return f"TIMESTAMP_NTZ '{ts:%Y-%m-%d %H:%M:%S.%f}'"
 
 
-def _s(prefix: str, c: Column) -> Column:
-    return F.concat(F.lit(prefix), c.cast("string"))
+def _hours_before(ts: dt.datetime, hours: str) -> str:
+    return f"{_ntz(ts)} - make_dt_interval(0, CAST({hours} AS INT))"
 
 
+def _days_after(ts: str, days: str) -> str:
+    return f"{ts} + make_dt_interval(CAST({days} AS INT))"
+
+
+def _epoch(ts: str) -> str:
+    return f"unix_seconds(CAST({ts} AS TIMESTAMP))"
+
+
+def _project(df: DataFrame, exprs: dict[str, str], schema) -> DataFrame:
+    """One ``selectExpr`` (parsed JVM-side) per adapter, conformed to the contract."""
+    return schemas.conform(df.selectExpr(*[f"{e} AS `{n}`" for n, e in exprs.items()]), schema)
+
+
+# Projections are written as Spark SQL expressions: one client call per column,
+# whatever its complexity.
 # --------------------------------------------------------------------------- stripe
 def stripe_subscriptions(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    k, st = F.col("o_orderkey"), F.col("o_orderstatus")
-    created = ntz_to_epoch(F.col("o_orderdate"))
-    canceled = F.when(st == "F", created + ((k * 37) % 900) * DAY)
-    meta = F.to_json(F.struct(
-        _pick(PLAN_TYPES, k % 4).alias("plan_type"),
-        _pick(CYCLES, k % 3).alias("billing_cycle"),
-        F.when(k % 13 != 0, _pick(CHANNELS, k % 4)).alias("acquisition_channel"),
-    ))
-    df = o.select(
-        _s("sub_", k).alias("id"),
-        _s("cus_", F.col("o_custkey")).alias("customer"),
-        _s("plan_", k % 4).alias("plan_id"),
-        F.when(st == "F", "canceled").when(st == "O", "active")
-         .when((st == "P") & (k % 2 == 0), "trialing").when(st == "P", "past_due")
-         .otherwise("incomplete").alias("status"),
-        meta.alias("metadata"),
-        F.when(k % 20 == 0, F.lit(0)).otherwise(_pick(PRICES_CENTS, k % 4)).alias("plan_amount"),
-        created.alias("created"),
-        created.alias("current_period_start"),
-        (created + 30 * DAY).alias("current_period_end"),
-        F.when(st == "P", created).alias("trial_start"),
-        F.when(st == "P", created + ((k * 13) % 400) * DAY).alias("trial_end"),
-        canceled.alias("canceled_at"),
-        canceled.alias("ended_at"),
-        (k % 7 == 0).alias("cancel_at_period_end"),
-        (k % 50 == 0).alias("_fivetran_deleted"),
-        _hours_before(p.as_of, STRIPE_SYNC_LAG_H + k % 48).alias("_fivetran_synced"),
-    )
-    return schemas.conform(df, schemas.STRIPE_SUBSCRIPTIONS)
+    created = _epoch("o_orderdate")
+    canceled = f"CASE WHEN o_orderstatus = 'F' THEN {created} + ((o_orderkey * 37) % 900) * {DAY} END"
+    return _project(read_table(spark, sf_dir, "orders"), {
+        "id": "concat('sub_', o_orderkey)",
+        "customer": "concat('cus_', o_custkey)",
+        "plan_id": "concat('plan_', o_orderkey % 4)",
+        "status": "CASE WHEN o_orderstatus = 'F' THEN 'canceled' WHEN o_orderstatus = 'O' THEN 'active' "
+                  "WHEN o_orderstatus = 'P' AND o_orderkey % 2 = 0 THEN 'trialing' "
+                  "WHEN o_orderstatus = 'P' THEN 'past_due' ELSE 'incomplete' END",
+        "metadata": f"to_json(named_struct('plan_type', {_pick(PLAN_TYPES, 'o_orderkey % 4')}, "
+                    f"'billing_cycle', {_pick(CYCLES, 'o_orderkey % 3')}, 'acquisition_channel', "
+                    f"CASE WHEN o_orderkey % 13 <> 0 THEN {_pick(CHANNELS, 'o_orderkey % 4')} END))",
+        "plan_amount": f"CASE WHEN o_orderkey % 20 = 0 THEN 0 ELSE {_pick(PRICES_CENTS, 'o_orderkey % 4')} END",
+        "created": created,
+        "current_period_start": created,
+        "current_period_end": f"{created} + 30 * {DAY}",
+        "trial_start": f"CASE WHEN o_orderstatus = 'P' THEN {created} END",
+        "trial_end": f"CASE WHEN o_orderstatus = 'P' THEN {created} + ((o_orderkey * 13) % 400) * {DAY} END",
+        "canceled_at": canceled,
+        "ended_at": canceled,
+        "cancel_at_period_end": "o_orderkey % 7 = 0",
+        "_fivetran_deleted": "o_orderkey % 50 = 0",
+        "_fivetran_synced": _hours_before(p.as_of, f"{STRIPE_SYNC_LAG_H} + o_orderkey % 48"),
+    }, schemas.STRIPE_SUBSCRIPTIONS)
 
 
 def stripe_invoices(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    k, st = F.col("o_orderkey"), F.col("o_orderstatus")
-    created = ntz_to_epoch(F.col("o_orderdate"))
-    total = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    tax = F.floor(total / 10).cast("bigint")
-    paid_amt = F.when(st == "F", total).otherwise(F.lit(0))
-    df = o.select(
-        _s("in_", k).alias("id"),
-        _s("sub_", k).alias("subscription"),
-        _s("cus_", F.col("o_custkey")).alias("customer"),
-        _s("ch_", k).alias("charge"),
-        _s("INV-", k).alias("number"),
-        F.when(st == "F", "paid").when(st == "O", "open").otherwise("draft").alias("status"),
-        _pick(BILLING_REASONS, k % 3).alias("billing_reason"),
-        total.alias("amount_due"),
-        paid_amt.alias("amount_paid"),
-        (total - paid_amt).alias("amount_remaining"),
-        (total - tax).alias("subtotal"),
-        tax.alias("tax"),
-        total.alias("total"),
-        F.lit("usd").alias("currency"),
-        created.alias("created"),
-        created.alias("period_start"),
-        (created + 30 * DAY).alias("period_end"),
-        (created + 30 * DAY).alias("due_date"),
-        F.when(st == "F", created + (k % 5) * DAY).alias("paid_at"),
-        (st == "F").alias("paid"),
-        (st != "P").alias("attempted"),
-        (k % 97 == 0).alias("forgiven"),
-        (k % 50 == 0).alias("_fivetran_deleted"),
-        _hours_before(p.as_of, STRIPE_SYNC_LAG_H + k % 48).alias("_fivetran_synced"),
-    )
-    return schemas.conform(df, schemas.STRIPE_INVOICES)
+    created = _epoch("o_orderdate")
+    total = "CAST(round(o_totalprice * 100) AS BIGINT)"
+    tax = f"CAST(floor({total} / 10) AS BIGINT)"
+    paid = f"CASE WHEN o_orderstatus = 'F' THEN {total} ELSE 0 END"
+    return _project(read_table(spark, sf_dir, "orders"), {
+        "id": "concat('in_', o_orderkey)",
+        "subscription": "concat('sub_', o_orderkey)",
+        "customer": "concat('cus_', o_custkey)",
+        "charge": "concat('ch_', o_orderkey)",
+        "number": "concat('INV-', o_orderkey)",
+        "status": "CASE WHEN o_orderstatus = 'F' THEN 'paid' WHEN o_orderstatus = 'O' THEN 'open' ELSE 'draft' END",
+        "billing_reason": _pick(BILLING_REASONS, "o_orderkey % 3"),
+        "amount_due": total,
+        "amount_paid": paid,
+        "amount_remaining": f"{total} - {paid}",
+        "subtotal": f"{total} - {tax}",
+        "tax": tax,
+        "total": total,
+        "currency": "'usd'",
+        "created": created,
+        "period_start": created,
+        "period_end": f"{created} + 30 * {DAY}",
+        "due_date": f"{created} + 30 * {DAY}",
+        "paid_at": f"CASE WHEN o_orderstatus = 'F' THEN {created} + (o_orderkey % 5) * {DAY} END",
+        "paid": "o_orderstatus = 'F'",
+        "attempted": "o_orderstatus <> 'P'",
+        "forgiven": "o_orderkey % 97 = 0",
+        "_fivetran_deleted": "o_orderkey % 50 = 0",
+        "_fivetran_synced": _hours_before(p.as_of, f"{STRIPE_SYNC_LAG_H} + o_orderkey % 48"),
+    }, schemas.STRIPE_INVOICES)
 
 
 def stripe_customers(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    c = F.col("c_custkey")
-    df = read_table(spark, sf_dir, "customer").select(
-        _s("cus_", c).alias("id"),
-        F.concat(F.lit("user_"), c.cast("string"), F.lit("@company.example")).alias("email"),
-        ntz_to_epoch(_days_after(ntz_lit(USERS_EPOCH), c % 700)).alias("created"),
-        F.lit(False).alias("_fivetran_deleted"),
-        _hours_before(p.as_of, STRIPE_SYNC_LAG_H + c % 48).alias("_fivetran_synced"),
-    )
-    return schemas.conform(df, schemas.STRIPE_CUSTOMERS)
+    return _project(read_table(spark, sf_dir, "customer"), {
+        "id": "concat('cus_', c_custkey)",
+        "email": "concat('user_', c_custkey, '@company.example')",
+        "created": _epoch(_days_after(_ntz(USERS_EPOCH), "c_custkey % 700")),
+        "_fivetran_deleted": "false",
+        "_fivetran_synced": _hours_before(p.as_of, f"{STRIPE_SYNC_LAG_H} + c_custkey % 48"),
+    }, schemas.STRIPE_CUSTOMERS)
 
 
 def stripe_charges(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    k, st = F.col("o_orderkey"), F.col("o_orderstatus")
-    df = o.select(
-        _s("ch_", k).alias("id"),
-        _s("cus_", F.col("o_custkey")).alias("customer"),
-        _s("in_", k).alias("invoice"),
-        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("amount"),
-        F.when(st == "F", "succeeded").when(st == "O", "pending").otherwise("failed").alias("status"),
-        ntz_to_epoch(F.col("o_orderdate")).alias("created"),
-        F.lit(False).alias("_fivetran_deleted"),
-        _hours_before(p.as_of, STRIPE_SYNC_LAG_H + k % 48).alias("_fivetran_synced"),
-    )
-    return schemas.conform(df, schemas.STRIPE_CHARGES)
+    return _project(read_table(spark, sf_dir, "orders"), {
+        "id": "concat('ch_', o_orderkey)",
+        "customer": "concat('cus_', o_custkey)",
+        "invoice": "concat('in_', o_orderkey)",
+        "amount": "CAST(round(o_totalprice * 100) AS BIGINT)",
+        "status": "CASE WHEN o_orderstatus = 'F' THEN 'succeeded' WHEN o_orderstatus = 'O' THEN 'pending' "
+                  "ELSE 'failed' END",
+        "created": _epoch("o_orderdate"),
+        "_fivetran_deleted": "false",
+        "_fivetran_synced": _hours_before(p.as_of, f"{STRIPE_SYNC_LAG_H} + o_orderkey % 48"),
+    }, schemas.STRIPE_CHARGES)
 
 
 # ----------------------------------------------------------------------- salesforce
@@ -184,125 +185,104 @@ def salesforce_account(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) ->
     cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation is a fixed 25-row table in the TPC-H schema; broadcast only after a bounded check
-    j = cust.join(bounded_broadcast(nation, 10_000), cust.c_nationkey == nation.n_nationkey, "left")
-    c = F.col("c_custkey")
-    created = _days_after(ntz_lit(USERS_EPOCH), c % 700)
-    employees = (F.when(c % 97 == 0, F.lit(None))
-                 .when(c % 4 == 0, c % 10)
-                 .when(c % 4 == 1, 10 + c % 190)
-                 .when(c % 4 == 2, 200 + c % 800)
-                 .otherwise(1000 + c))
-    df = j.select(
-        _s("a_", c).alias("id"),
-        F.when(c % 11 != 0, _s("cus_", c)).alias("stripe_customer_id__c"),
-        F.col("c_name").alias("name"),
-        _pick(ACCOUNT_TYPES, c % 3).alias("type"),
-        F.col("c_mktsegment").alias("industry"),
-        employees.alias("numberofemployees"),
-        (F.col("c_acctbal") * 1000).alias("annualrevenue"),
-        F.col("n_name").alias("billingcountry"),
-        _s("S", c % 50).alias("billingstate"),
-        _s("005", c % 7).alias("ownerid"),
-        created.alias("createddate"),
-        _days_after(created, c % 300).alias("lastmodifieddate"),
-        _hours_before(p.as_of, SALESFORCE_SYNC_LAG_H + c % 60).alias("_fivetran_synced"),
-        (c % 40 == 0).alias("isdeleted"),
-    )
-    return schemas.conform(df, schemas.SALESFORCE_ACCOUNT)
+    j = cust.join(bounded_broadcast(nation, 10_000), F.expr("c_nationkey = n_nationkey"), "left")
+    created = _days_after(_ntz(USERS_EPOCH), "c_custkey % 700")
+    return _project(j, {
+        "id": "concat('a_', c_custkey)",
+        "stripe_customer_id__c": "CASE WHEN c_custkey % 11 <> 0 THEN concat('cus_', c_custkey) END",
+        "name": "c_name",
+        "type": _pick(ACCOUNT_TYPES, "c_custkey % 3"),
+        "industry": "c_mktsegment",
+        "numberofemployees": "CASE WHEN c_custkey % 97 = 0 THEN NULL WHEN c_custkey % 4 = 0 THEN c_custkey % 10 "
+                             "WHEN c_custkey % 4 = 1 THEN 10 + c_custkey % 190 "
+                             "WHEN c_custkey % 4 = 2 THEN 200 + c_custkey % 800 ELSE 1000 + c_custkey END",
+        "annualrevenue": "c_acctbal * 1000",
+        "billingcountry": "n_name",
+        "billingstate": "concat('S', c_custkey % 50)",
+        "ownerid": "concat('005', c_custkey % 7)",
+        "createddate": created,
+        "lastmodifieddate": _days_after(created, "c_custkey % 300"),
+        "_fivetran_synced": _hours_before(p.as_of, f"{SALESFORCE_SYNC_LAG_H} + c_custkey % 60"),
+        "isdeleted": "c_custkey % 40 = 0",
+    }, schemas.SALESFORCE_ACCOUNT)
 
 
 def salesforce_opportunity(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    stage = _pick(OPPORTUNITY_STAGES, k % 6)
-    df = o.select(
-        _s("op_", k).alias("id"),
-        _s("a_", F.col("o_custkey")).alias("accountid"),
-        stage.alias("stage_name"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
-        F.col("o_orderdate").alias("createddate"),
-        F.when(k % 6 >= 4, _days_after(F.col("o_orderdate"), k % 60)).alias("closedate"),
-        F.lit(False).alias("isdeleted"),
-        _hours_before(p.as_of, SALESFORCE_SYNC_LAG_H + k % 60).alias("_fivetran_synced"),
-    )
-    return schemas.conform(df, schemas.SALESFORCE_OPPORTUNITY)
+    return _project(read_table(spark, sf_dir, "orders"), {
+        "id": "concat('op_', o_orderkey)",
+        "accountid": "concat('a_', o_custkey)",
+        "stage_name": _pick(OPPORTUNITY_STAGES, "o_orderkey % 6"),
+        "amount": "CAST(o_totalprice AS DECIMAL(18,2))",
+        "createddate": "o_orderdate",
+        "closedate": f"CASE WHEN o_orderkey % 6 >= 4 THEN {_days_after('o_orderdate', 'o_orderkey % 60')} END",
+        "isdeleted": "false",
+        "_fivetran_synced": _hours_before(p.as_of, f"{SALESFORCE_SYNC_LAG_H} + o_orderkey % 60"),
+    }, schemas.SALESFORCE_OPPORTUNITY)
 
 
 def salesforce_contact(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    c = F.col("c_custkey")
-    df = read_table(spark, sf_dir, "customer").select(
-        _s("003", c).alias("id"),
-        _s("a_", c).alias("accountid"),
-        F.concat(F.lit("contact_"), c.cast("string"), F.lit("@company.example")).alias("email"),
-        (c % 40 == 0).alias("isdeleted"),
-        _hours_before(p.as_of, SALESFORCE_SYNC_LAG_H + c % 60).alias("_fivetran_synced"),
-    )
-    return schemas.conform(df, schemas.SALESFORCE_CONTACT)
+    return _project(read_table(spark, sf_dir, "customer"), {
+        "id": "concat('003', c_custkey)",
+        "accountid": "concat('a_', c_custkey)",
+        "email": "concat('contact_', c_custkey, '@company.example')",
+        "isdeleted": "c_custkey % 40 = 0",
+        "_fivetran_synced": _hours_before(p.as_of, f"{SALESFORCE_SYNC_LAG_H} + c_custkey % 60"),
+    }, schemas.SALESFORCE_CONTACT)
 
 
 # --------------------------------------------------------------------------- app db
 def app_users(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    c = F.col("c_custkey")
-    created = _days_after(ntz_lit(USERS_EPOCH), c % 700)
-    df = read_table(spark, sf_dir, "customer").select(
-        c.alias("id"),
-        F.concat(F.lit(" User_"), c.cast("string"), F.lit("@Company.example ")).alias("email"),
-        F.when(c % 17 != 0, _pick(FIRST_NAMES, c % 8)).alias("first_name"),
-        _pick(LAST_NAMES, c % 8).alias("last_name"),
-        F.when(c % 25 != 0, F.floor(c / 4) + 1).alias("organization_id"),
-        _s("cus_", c).alias("stripe_customer_id"),
-        F.when(c % 5 == 0, "admin").otherwise("member").alias("role"),
-        F.when(c % 20 == 0, "deactivated").when(c % 20 == 1, "invited").otherwise("active").alias("status"),
-        _pick(CHANNELS, c % 4).alias("signup_source"),
-        F.lit(None).cast("string").alias("referral_code"),
-        created.alias("created_at"),
-        _days_after(created, c % 50).alias("updated_at"),
-        _days_after(created, c % 90).alias("last_login_at"),
-        F.when(c % 9 != 0, _days_after(created, F.lit(1))).alias("email_verified_at"),
-        _hours_before(p.as_of, APP_LOAD_LAG_H + c % 10).alias("_loaded_at"),
-    )
-    return schemas.conform(df, schemas.APP_USERS)
+    created = _days_after(_ntz(USERS_EPOCH), "c_custkey % 700")
+    return _project(read_table(spark, sf_dir, "customer"), {
+        "id": "c_custkey",
+        "email": "concat(' User_', c_custkey, '@Company.example ')",
+        "first_name": f"CASE WHEN c_custkey % 17 <> 0 THEN {_pick(FIRST_NAMES, 'c_custkey % 8')} END",
+        "last_name": _pick(LAST_NAMES, "c_custkey % 8"),
+        "organization_id": "CASE WHEN c_custkey % 25 <> 0 THEN floor(c_custkey / 4) + 1 END",
+        "stripe_customer_id": "concat('cus_', c_custkey)",
+        "role": "CASE WHEN c_custkey % 5 = 0 THEN 'admin' ELSE 'member' END",
+        "status": "CASE WHEN c_custkey % 20 = 0 THEN 'deactivated' WHEN c_custkey % 20 = 1 THEN 'invited' "
+                  "ELSE 'active' END",
+        "signup_source": _pick(CHANNELS, "c_custkey % 4"),
+        "referral_code": "CAST(NULL AS STRING)",
+        "created_at": created,
+        "updated_at": _days_after(created, "c_custkey % 50"),
+        "last_login_at": _days_after(created, "c_custkey % 90"),
+        "email_verified_at": f"CASE WHEN c_custkey % 9 <> 0 THEN {_days_after(created, '1')} END",
+        "_loaded_at": _hours_before(p.as_of, f"{APP_LOAD_LAG_H} + c_custkey % 10"),
+    }, schemas.APP_USERS)
 
 
 def app_subscriptions(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
-    k, st = F.col("o_orderkey"), F.col("o_orderstatus")
-    canceled = F.when(st == "F", _days_after(F.col("o_orderdate"), (k * 37) % 900))
-    df = o.select(
-        k.alias("id"),
-        F.col("o_custkey").alias("user_id"),
-        (F.floor(F.col("o_custkey") / 4) + 1).alias("organization_id"),
-        _s("sub_", k).alias("stripe_sub_id"),
-        _pick(PLAN_NAMES, k % 4).alias("plan_name"),
-        F.when(k % 3 == 0, "annual").otherwise("monthly").alias("plan_type"),
-        F.when(st == "F", "canceled").otherwise("active").alias("status"),
-        F.when(k % 20 == 0, F.lit(0)).otherwise(_pick(PRICES_CENTS, k % 4)).alias("amount_cents"),
-        F.col("o_orderdate").alias("started_at"),
-        canceled.alias("canceled_at"),
-        F.coalesce(canceled, F.col("o_orderdate")).alias("updated_at"),
-        _hours_before(p.as_of, F.lit(APP_LOAD_LAG_H)).alias("_loaded_at"),
-    )
-    return schemas.conform(df, schemas.APP_SUBSCRIPTIONS)
-
-
-def _event_k(props: Column) -> Column:
-    return F.get_json_object(props, "$.k").cast("bigint")
+    canceled = f"CASE WHEN o_orderstatus = 'F' THEN {_days_after('o_orderdate', '(o_orderkey * 37) % 900')} END"
+    return _project(read_table(spark, sf_dir, "orders"), {
+        "id": "o_orderkey",
+        "user_id": "o_custkey",
+        "organization_id": "floor(o_custkey / 4) + 1",
+        "stripe_sub_id": "concat('sub_', o_orderkey)",
+        "plan_name": _pick(PLAN_NAMES, "o_orderkey % 4"),
+        "plan_type": "CASE WHEN o_orderkey % 3 = 0 THEN 'annual' ELSE 'monthly' END",
+        "status": "CASE WHEN o_orderstatus = 'F' THEN 'canceled' ELSE 'active' END",
+        "amount_cents": f"CASE WHEN o_orderkey % 20 = 0 THEN 0 ELSE {_pick(PRICES_CENTS, 'o_orderkey % 4')} END",
+        "started_at": "o_orderdate",
+        "canceled_at": canceled,
+        "updated_at": f"coalesce({canceled}, o_orderdate)",
+        "_loaded_at": _hours_before(p.as_of, str(APP_LOAD_LAG_H)),
+    }, schemas.APP_SUBSCRIPTIONS)
 
 
 def app_events(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
-    k = _event_k(F.col("props"))
-    df = e.select(
-        F.col("event_id"),
-        F.col("user_id"),
-        F.lit(None).cast("string").alias("session_id"),
-        F.col("event_type").alias("event_name"),
-        F.to_json(F.struct(F.lit("web").alias("source"), _pick(FEATURES, k % 4).alias("feature"),
-                           k.alias("k"))).alias("event_properties"),
-        F.col("ts").alias("occurred_at"),
-        (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("_loaded_at"),
-    )
-    return schemas.conform(df, schemas.APP_EVENTS)
+    k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+    return _project(read_table(spark, sf_dir, "events"), {
+        "event_id": "event_id",
+        "user_id": "user_id",
+        "session_id": "CAST(NULL AS STRING)",
+        "event_name": "event_type",
+        "event_properties": f"to_json(named_struct('source', 'web', 'feature', {_pick(FEATURES, k + ' % 4')}, "
+                            f"'k', {k}))",
+        "occurred_at": "ts",
+        "_loaded_at": "ts + INTERVAL 1 HOUR",
+    }, schemas.APP_EVENTS)
 
 
 ADAPTERS = {

@@ -100,6 +100,7 @@ RAW = {
 
 
 def conform(df, schema: T.StructType):
-    """Project ``df`` onto a contract: same column order, explicit casts."""
-    from pyspark.sql import functions as F
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Project ``df`` onto a contract: same column order, explicit casts (one
+    ``selectExpr``)."""
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                           for f in schema.fields])
