@@ -3,7 +3,7 @@ movement class.  The reusable core of the MRR fact."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthwise.params import CORRECTED, EXACT
@@ -15,25 +15,26 @@ INACTIVE = "inactive"   # corrected mode: 0 -> 0, dropped from the output
 MOVEMENTS = [NEW, EXPANSION, CONTRACTION, CHURN, REACTIVATION, RETAINED]
 
 
-def classify(value: Column, prior: Column, mode: str = EXACT) -> Column:
+def classify_sql(v: str, prior: str, mode: str = EXACT) -> str:
     """The CASE of the reference, arm order included (``mode='exact'``): its
     first arm takes ``prior = 0``, so ``reactivation`` is unreachable and 0 -> 0
     is ``new``.  ``mode='corrected'`` tests reactivation first and marks 0 -> 0
     as ``inactive``."""
     if mode == CORRECTED:
-        return (F.when(prior.isNull() & (value > 0), NEW)
-                .when(prior.isNull() | ((prior == 0) & (value == 0)), INACTIVE)
-                .when((prior == 0) & (value > 0), REACTIVATION)
-                .when(value > prior, EXPANSION)
-                .when((value == 0) & (prior > 0), CHURN)
-                .when(value < prior, CONTRACTION)
-                .otherwise(RETAINED))
-    return (F.when(prior.isNull() | (prior == 0), NEW)
-            .when(value > prior, EXPANSION)
-            .when((value < prior) & (value > 0), CONTRACTION)
-            .when((value == 0) & (prior > 0), CHURN)
-            .when((prior == 0) & (value > 0), REACTIVATION)
-            .otherwise(RETAINED))
+        arms = [(f"{prior} IS NULL AND {v} > 0", NEW),
+                (f"{prior} IS NULL OR ({prior} = 0 AND {v} = 0)", INACTIVE),
+                (f"{prior} = 0 AND {v} > 0", REACTIVATION),
+                (f"{v} > {prior}", EXPANSION),
+                (f"{v} = 0 AND {prior} > 0", CHURN),
+                (f"{v} < {prior}", CONTRACTION)]
+    else:
+        arms = [(f"{prior} IS NULL OR {prior} = 0", NEW),
+                (f"{v} > {prior}", EXPANSION),
+                (f"{v} < {prior} AND {v} > 0", CONTRACTION),
+                (f"{v} = 0 AND {prior} > 0", CHURN),
+                (f"{prior} = 0 AND {v} > 0", REACTIVATION)]
+    whens = " ".join(f"WHEN {c} THEN '{t}'" for c, t in arms)
+    return f"CASE {whens} ELSE '{RETAINED}' END"
 
 
 def movement_classify(df: DataFrame, key: list[str], period: str, value: str,
@@ -54,11 +55,10 @@ def movement_classify(df: DataFrame, key: list[str], period: str, value: str,
 def add_movement(out: DataFrame, value: str, prior_col: str, change_col: str = "value_change",
                  type_col: str = "movement", mode: str = EXACT, change_type: str | None = None) -> DataFrame:
     """Change and movement class from a value and its (already known) prior."""
-    change = F.col(value) - F.coalesce(F.col(prior_col), F.lit(0))
+    change = f"{value} - coalesce({prior_col}, 0)"
     if change_type:
-        change = change.cast(change_type)
-    out = out.withColumn(change_col, change)
-    out = out.withColumn(type_col, classify(F.col(value), F.col(prior_col), mode))
+        change = f"CAST({change} AS {change_type})"
+    out = out.withColumns({change_col: F.expr(change), type_col: F.expr(classify_sql(value, prior_col, mode))})
     if mode == CORRECTED:
-        out = out.filter(F.col(type_col) != INACTIVE)
+        out = out.where(f"{type_col} <> '{INACTIVE}'")
     return out

@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import MONEY, surrogate_key
+from monthwise.functions import sql as S
+from monthwise.functions.scalar import MONEY
 from monthwise.operators.movement import add_movement, movement_classify
 from monthwise.operators.range_expand import expand_months
 from monthwise.params import Params
@@ -43,9 +44,9 @@ FACT_COLUMNS = [
 def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
     subs = billable_subscriptions(src, p)
     dim = dim if dim is not None else dim_accounts(src, p)
-    d = dim.select("account_id", "account_name", "account_segment", "industry", "billing_country",
-                   F.col("stripe_customer_id").alias("__dim_key"))
-    pre = subs.join(d, subs["customer_id"] == d["__dim_key"], "left").drop("__dim_key")
+    d = dim.selectExpr("account_id", "account_name", "account_segment", "industry", "billing_country",
+                       "stripe_customer_id AS __dim_key")
+    pre = subs.join(d, F.expr("customer_id = __dim_key"), "left").drop("__dim_key")
     n = p.expand_partitions or default_parallelism(src.spark)
     key = ["subscription_id", "account_id"]
     # one row per subscription moves here; everything below stays in these partitions
@@ -53,24 +54,24 @@ def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
     # source rows per (subscription, account): a window over the pre-expansion
     # rows, already clustered by subscription, so no shuffle
     pre = pre.withColumn("__copies", F.count(F.lit(1)).over(Window.partitionBy(*key)))
-    ex = expand_months(pre, F.col("__lo"), F.col("__hi"), p.spine_start, p.spine_end, position="__pos")
+    ex = expand_months(pre, "__lo", "__hi", p.spine_start, p.spine_end, position="__pos")
     ex = with_month_flags(ex.withColumn("__base_mrr", F.col("mrr")), p)
     kw = dict(prior_col="prior_month_mrr", change_col="mrr_change", type_col="mrr_type", mode=p.mode,
               change_type=MONEY)
     # A single source row expands into consecutive months, so the previous row of
     # month k is month k-1 of the same expansion: lag() is the row's own MRR
     # except at the first month - no sort of the expanded rows is needed.
-    single = ex.filter(F.col("__copies") == 1).withColumn(
-        "prior_month_mrr", F.when(F.col("__pos") > 0, F.col("__base_mrr")))
+    single = ex.where("__copies = 1").withColumn(
+        "prior_month_mrr", F.expr("CASE WHEN __pos > 0 THEN __base_mrr END"))
     single = add_movement(single, "mrr", **kw)
     # Several source rows for one pair (a broken unique key upstream): the
     # exact lag() window, sorting only those rows.
-    multi = movement_classify(ex.filter(F.col("__copies") > 1), key=key, period="month_start", value="mrr", **kw)
+    multi = movement_classify(ex.where("__copies > 1"), key=key, period="month_start", value="mrr", **kw)
     m = single.unionByName(multi)
-    return m.select(
-        surrogate_key(F.col("subscription_id"), F.col("month_start")).alias("mrr_id"),
+    return m.selectExpr(
+        f"{S.surrogate_key('subscription_id', 'month_start')} AS mrr_id",
         "month_start", "subscription_id", "customer_id", "plan_id", "plan_type", "billing_cycle",
         "subscription_status", "account_id", "account_name", "account_segment", "industry",
         "billing_country", "mrr", "prior_month_mrr", "mrr_change", "mrr_type", "is_first_month",
-        "is_churn_month", (F.col("mrr") * 12).cast(MONEY).alias("arr"),
+        f"is_churn_month", f"CAST(mrr * 12 AS {MONEY}) AS arr",
     )

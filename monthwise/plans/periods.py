@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import MONEY, flag, month_of
+from monthwise.functions import sql as S
+from monthwise.functions.scalar import MONEY
 from monthwise.operators.range_expand import expand_months
 from monthwise.params import CORRECTED, Params
 from monthwise.plans.staging import stg_subscriptions
@@ -18,40 +19,43 @@ PERIOD_COLUMNS = [
 ]
 
 
-def normalised_mrr(cycle: F.Column, dollars: F.Column) -> F.Column:
+def normalised_mrr_sql(cycle: str, dollars: str) -> str:
     """Annual plans / 12, monthly as is, anything else falls back to monthly."""
-    return (F.when(cycle == "annual", dollars / F.lit(12))
-            .when(cycle == "monthly", dollars)
-            .otherwise(dollars)).cast(MONEY)
+    return (f"CAST(CASE WHEN {cycle} = 'annual' THEN {dollars} / 12 WHEN {cycle} = 'monthly' THEN {dollars} "
+            f"ELSE {dollars} END AS {MONEY})")
+
+
+def normalised_mrr(cycle: str, dollars: str) -> F.Column:
+    return F.expr(normalised_mrr_sql(cycle, dollars))
 
 
 def billable_subscriptions(src: Sources, p: Params) -> DataFrame:
     """Subscriptions with a positive amount, their MRR and active-month bounds
     (``__lo`` inclusive, ``__hi`` exclusive), one row per subscription."""
-    s = stg_subscriptions(src, p).filter(F.col("plan_amount_dollars") > 0)
-    lo = month_of(F.col("period_start_at"))
-    hi = F.coalesce(month_of(F.col("canceled_at")), F.lit(p.open_end))
+    s = stg_subscriptions(src, p).where("plan_amount_dollars > 0")
+    hi = f"coalesce({S.month_of('canceled_at')}, {S.date(p.open_end)})"
     if p.mode == CORRECTED:
         # keep the cancel month itself, as a zero-MRR churn row
-        hi = F.when(F.col("canceled_at").isNotNull(), F.add_months(hi, 1)).otherwise(hi)
-    return (s.withColumn("mrr", normalised_mrr(F.col("billing_cycle"), F.col("plan_amount_dollars")))
-             .withColumn("__lo", lo).withColumn("__hi", hi))
+        hi = f"CASE WHEN canceled_at IS NOT NULL THEN add_months({hi}, 1) ELSE {hi} END"
+    return s.withColumns({
+        "mrr": normalised_mrr("billing_cycle", "plan_amount_dollars"),
+        "__lo": F.expr(S.month_of("period_start_at")),
+        "__hi": F.expr(hi),
+    })
 
 
 def with_month_flags(df: DataFrame, p: Params) -> DataFrame:
-    cancel_month = month_of(F.col("canceled_at"))
-    out = df.withColumn("is_first_month", flag(month_of(F.col("period_start_at")) == F.col("month_start")))
-    out = out.withColumn("is_churn_month", flag(F.col("canceled_at").isNotNull()
-                                                & (cancel_month == F.col("month_start"))))
+    first = S.flag(f"{S.month_of('period_start_at')} = month_start")
+    churn = S.flag(f"canceled_at IS NOT NULL AND {S.month_of('canceled_at')} = month_start")
+    cols = {"is_first_month": F.expr(first), "is_churn_month": F.expr(churn)}
     if p.mode == CORRECTED:
-        out = out.withColumn("mrr", F.when(F.col("is_churn_month"), F.lit(0).cast(MONEY))
-                             .otherwise(F.col("mrr")))
-    return out
+        cols["mrr"] = F.expr(f"CASE WHEN {churn} THEN CAST(0 AS {MONEY}) ELSE mrr END")
+    return df.withColumns(cols)
 
 
 def subscription_periods(src: Sources, p: Params) -> DataFrame:
     subs = billable_subscriptions(src, p)
-    ex = expand_months(subs, F.col("__lo"), F.col("__hi"), p.spine_start, p.spine_end)
+    ex = expand_months(subs, "__lo", "__hi", p.spine_start, p.spine_end)
     return with_month_flags(ex, p).select(*PERIOD_COLUMNS)
 
 
@@ -59,6 +63,5 @@ def date_spine(src: Sources, p: Params) -> DataFrame:
     """H11 calendar spine spanning the subscriptions' start months up to the
     current (as_of) month.  Bounds come from one global min aggregate; the spine
     itself is bounded by the calendar, not by the data."""
-    from monthwise.functions.spine import month_sequence
-    lo = stg_subscriptions(src, p).agg(F.min(month_of(F.col("period_start_at"))).alias("lo"))
-    return lo.select(F.explode(month_sequence(F.col("lo"), F.lit(p.spine_end))).alias("month_start"))
+    lo = stg_subscriptions(src, p).agg(F.expr(f"min({S.month_of('period_start_at')})").alias("lo"))
+    return lo.selectExpr(f"explode(sequence(lo, {S.date(p.spine_end)}, INTERVAL 1 MONTH)) AS month_start")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import micros_sum_to_money, money_micros
+from monthwise.functions import sql as S
 from monthwise.operators.movement import CHURN, CONTRACTION, EXPANSION, NEW, REACTIVATION
 from monthwise.params import Params
 from monthwise.plans.mrr import fct_mrr
@@ -19,8 +19,8 @@ REPORT_COLUMNS = [
 ]
 
 
-def _when_type(t: str, v: str) -> Column:
-    return F.when(F.col("mrr_type") == t, money_micros(v)).otherwise(F.lit(0))
+def _sum_when_type(t: str, v: str) -> Column:
+    return F.expr(f"sum(CASE WHEN mrr_type = '{t}' THEN {S.money_micros(v)} ELSE 0 END)")
 
 
 def safe_ratio(num: Column, den: Column) -> Column:
@@ -28,6 +28,10 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
+def safe_ratio_sql(num: str, den: str) -> str:
+    return f"CASE WHEN {den} <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END"
+
+
 def monthly_revenue_from_fact(fact: DataFrame) -> DataFrame:
     """Two aggregation levels instead of three ``count(distinct)``s:
 
@@ -41,33 +45,30 @@ def monthly_revenue_from_fact(fact: DataFrame) -> DataFrame:
     the long range; ANSI mode would raise, not wrap, on overflow); level 2 sums
     in DECIMAL, so the totals are exact at any size."""
     lvl1 = fact.groupBy("month_start", "account_segment", "customer_id").agg(
-        F.sum(money_micros("mrr")).alias("mrr"),
-        F.sum(_when_type(NEW, "mrr")).alias("new_mrr"),
-        F.sum(_when_type(EXPANSION, "mrr_change")).alias("expansion_mrr"),
-        F.sum(_when_type(CONTRACTION, "mrr_change")).alias("contraction_mrr"),
-        F.sum(_when_type(CHURN, "prior_month_mrr")).alias("churned_mrr"),
-        F.sum(_when_type(REACTIVATION, "mrr")).alias("reactivation_mrr"),
-        F.max((F.col("mrr_type") == NEW).cast("int")).alias("any_new"),
-        F.max((F.col("mrr_type") == CHURN).cast("int")).alias("any_churn"),
+        F.expr(f"sum({S.money_micros('mrr')})").alias("mrr"),
+        _sum_when_type(NEW, "mrr").alias("new_mrr"),
+        _sum_when_type(EXPANSION, "mrr_change").alias("expansion_mrr"),
+        _sum_when_type(CONTRACTION, "mrr_change").alias("contraction_mrr"),
+        _sum_when_type(CHURN, "prior_month_mrr").alias("churned_mrr"),
+        _sum_when_type(REACTIVATION, "mrr").alias("reactivation_mrr"),
+        F.expr(f"max(CAST(mrr_type = '{NEW}' AS INT))").alias("any_new"),
+        F.expr(f"max(CAST(mrr_type = '{CHURN}' AS INT))").alias("any_churn"),
     )
     rep = lvl1.groupBy("month_start", "account_segment").agg(
-        micros_sum_to_money("mrr").alias("total_mrr"),
-        micros_sum_to_money(F.col("mrr") * 12).alias("total_arr"),
-        micros_sum_to_money("new_mrr").alias("new_mrr"),
-        micros_sum_to_money("expansion_mrr").alias("expansion_mrr"),
-        micros_sum_to_money("contraction_mrr").alias("contraction_mrr"),
-        micros_sum_to_money("churned_mrr").alias("churned_mrr"),
-        micros_sum_to_money("reactivation_mrr").alias("reactivation_mrr"),
-        F.count("customer_id").alias("active_customer_count"),
-        F.count(F.when(F.col("any_new") == 1, F.col("customer_id"))).alias("new_customer_count"),
-        F.count(F.when(F.col("any_churn") == 1, F.col("customer_id"))).alias("churned_customer_count"),
+        F.expr(S.micros_sum_to_money("mrr")).alias("total_mrr"),
+        F.expr(S.micros_sum_to_money("mrr * 12")).alias("total_arr"),
+        *[F.expr(S.micros_sum_to_money(c)).alias(c) for c in
+          ("new_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr", "reactivation_mrr")],
+        F.expr("count(customer_id)").alias("active_customer_count"),
+        F.expr("count(CASE WHEN any_new = 1 THEN customer_id END)").alias("new_customer_count"),
+        F.expr("count(CASE WHEN any_churn = 1 THEN customer_id END)").alias("churned_customer_count"),
     )
-    rep = rep.withColumn("arpu", safe_ratio(F.col("total_mrr"), F.col("active_customer_count")))
     # one lag, reused for the growth rate (the reference writes it three times)
     w = Window.partitionBy("account_segment").orderBy("month_start")
-    rep = rep.withColumn("prior_month_mrr", F.lag("total_mrr").over(w))
+    rep = rep.withColumns({"arpu": F.expr(safe_ratio_sql("total_mrr", "active_customer_count")),
+                           "prior_month_mrr": F.lag("total_mrr").over(w)})
     rep = rep.withColumn("mom_growth_rate",
-                         safe_ratio(F.col("total_mrr") - F.col("prior_month_mrr"), F.col("prior_month_mrr")))
+                         F.expr(safe_ratio_sql("total_mrr - prior_month_mrr", "prior_month_mrr")))
     return rep.select(*REPORT_COLUMNS).orderBy(F.desc("month_start"), F.asc_nulls_last("account_segment"))
 
 

@@ -1,12 +1,12 @@
 """Staging models (M1-M4): rename, type, soft-delete filter.  Narrow projections
-only: no shuffle; filters reach the parquet scan."""
+only: no shuffle; filters reach the parquet scan.  Written as SQL projections
+(``selectExpr``), like the models they restate."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import cents_to_dollars, epoch_to_ntz, flag, ntz_lit
+from monthwise.functions import sql as S
 from monthwise.params import CORRECTED, Params
 from monthwise.sources.registry import Sources
 
@@ -16,118 +16,116 @@ SEGMENT_ELSE = "Strategic"
 SEGMENT_UNKNOWN = "Unknown"   # corrected mode only
 
 
-def not_deleted(flag_col: str):
+def not_deleted(flag_col: str) -> str:
     """``where flag = false``: NULL flags are dropped as in SQL."""
-    return F.col(flag_col) == F.lit(False)
+    return f"{flag_col} = false"
+
+
+def _select(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{e} AS `{n}`" for n, e in exprs.items()])
 
 
 def stg_subscriptions(src: Sources, p: Params) -> DataFrame:
-    raw = src("stripe", "subscriptions")
-    meta = F.col("metadata")
-    return raw.filter(not_deleted("_fivetran_deleted")).select(
-        F.col("id").alias("subscription_id"),
-        F.col("customer").alias("customer_id"),
-        F.col("plan_id"),
-        F.col("status").alias("subscription_status"),
-        F.get_json_object(meta, "$.plan_type").alias("plan_type"),
-        F.get_json_object(meta, "$.billing_cycle").alias("billing_cycle"),
-        F.get_json_object(meta, "$.acquisition_channel").alias("acquisition_channel"),
-        F.col("plan_amount").alias("plan_amount_cents"),
-        cents_to_dollars("plan_amount").alias("plan_amount_dollars"),
-        epoch_to_ntz("created").alias("created_at"),
-        epoch_to_ntz("current_period_start").alias("period_start_at"),
-        epoch_to_ntz("current_period_end").alias("period_end_at"),
-        epoch_to_ntz("trial_start").alias("trial_start_at"),
-        epoch_to_ntz("trial_end").alias("trial_end_at"),
-        epoch_to_ntz("canceled_at").alias("canceled_at"),
-        epoch_to_ntz("ended_at").alias("ended_at"),
-        F.col("cancel_at_period_end").alias("is_cancel_at_period_end"),
-        flag(F.col("trial_end").isNotNull() & (epoch_to_ntz("trial_end") > ntz_lit(p.as_of)))
-        .alias("is_in_trial"),
-        F.col("_fivetran_synced").alias("_fivetran_synced_at"),
-    )
+    raw = src("stripe", "subscriptions").where(not_deleted("_fivetran_deleted"))
+    return _select(raw, {
+        "subscription_id": "id",
+        "customer_id": "customer",
+        "plan_id": "plan_id",
+        "subscription_status": "status",
+        "plan_type": "get_json_object(metadata, '$.plan_type')",
+        "billing_cycle": "get_json_object(metadata, '$.billing_cycle')",
+        "acquisition_channel": "get_json_object(metadata, '$.acquisition_channel')",
+        "plan_amount_cents": "plan_amount",
+        "plan_amount_dollars": S.cents_to_dollars("plan_amount"),
+        "created_at": S.epoch_to_ntz("created"),
+        "period_start_at": S.epoch_to_ntz("current_period_start"),
+        "period_end_at": S.epoch_to_ntz("current_period_end"),
+        "trial_start_at": S.epoch_to_ntz("trial_start"),
+        "trial_end_at": S.epoch_to_ntz("trial_end"),
+        "canceled_at": S.epoch_to_ntz("canceled_at"),
+        "ended_at": S.epoch_to_ntz("ended_at"),
+        "is_cancel_at_period_end": "cancel_at_period_end",
+        "is_in_trial": S.flag(f"trial_end IS NOT NULL AND {S.epoch_to_ntz('trial_end')} > {S.ntz(p.as_of)}"),
+        "_fivetran_synced_at": "_fivetran_synced",
+    })
 
 
 def stg_invoices(src: Sources, p: Params) -> DataFrame:
-    raw = src("stripe", "invoices")
-    return raw.filter(not_deleted("_fivetran_deleted")).select(
-        F.col("id").alias("invoice_id"),
-        F.col("subscription").alias("subscription_id"),
-        F.col("customer").alias("customer_id"),
-        F.col("charge").alias("charge_id"),
-        F.col("number").alias("invoice_number"),
-        F.col("status").alias("invoice_status"),
-        F.col("billing_reason"),
-        cents_to_dollars("amount_due").alias("amount_due_dollars"),
-        cents_to_dollars("amount_paid").alias("amount_paid_dollars"),
-        cents_to_dollars("amount_remaining").alias("amount_remaining_dollars"),
-        cents_to_dollars("subtotal").alias("subtotal_dollars"),
-        cents_to_dollars("tax").alias("tax_dollars"),
-        cents_to_dollars("total").alias("total_dollars"),
-        F.upper("currency").alias("currency_code"),
-        epoch_to_ntz("created").alias("created_at"),
-        epoch_to_ntz("period_start").alias("period_start_at"),
-        epoch_to_ntz("period_end").alias("period_end_at"),
-        epoch_to_ntz("due_date").alias("due_at"),
-        epoch_to_ntz("paid_at").alias("paid_at"),
-        F.col("paid").alias("is_paid"),
-        F.col("attempted").alias("is_attempted"),
-        F.col("forgiven").alias("is_forgiven"),
-        F.col("_fivetran_synced").alias("_fivetran_synced_at"),
-    )
-
-
-def account_segment(employees, mode: str) -> F.Column:
-    e = F.col(employees) if isinstance(employees, str) else employees
-    expr = None
-    for bound, name in SEGMENTS:
-        expr = F.when(e < bound, name) if expr is None else expr.when(e < bound, name)
+    raw = src("stripe", "invoices").where(not_deleted("_fivetran_deleted"))
+    return _select(raw, {
+        "invoice_id": "id",
+        "subscription_id": "subscription",
+        "customer_id": "customer",
+        "charge_id": "charge",
+        "invoice_number": "number",
+        "invoice_status": "status",
+        "billing_reason": "billing_reason",
+        "amount_due_dollars": S.cents_to_dollars("amount_due"),
+        "amount_paid_dollars": S.cents_to_dollars("amount_paid"),
+        "amount_remaining_dollars": S.cents_to_dollars("amount_remaining"),
+        "subtotal_dollars": S.cents_to_dollars("subtotal"),
+        "tax_dollars": S.cents_to_dollars("tax"),
+        "total_dollars": S.cents_to_dollars("total"),
+        "currency_code": "upper(currency)",
+        "created_at": S.epoch_to_ntz("created"),
+        "period_start_at": S.epoch_to_ntz("period_start"),
+        "period_end_at": S.epoch_to_ntz("period_end"),
+        "due_at": S.epoch_to_ntz("due_date"),
+        "paid_at": S.epoch_to_ntz("paid_at"),
+        "is_paid": "paid",
+        "is_attempted": "attempted",
+        "is_forgiven": "forgiven",
+        "_fivetran_synced_at": "_fivetran_synced",
+    })
+
+
+def account_segment(employees: str, mode: str) -> str:
+    arms = " ".join(f"WHEN {employees} < {bound} THEN '{name}'" for bound, name in SEGMENTS)
     if mode == CORRECTED:
-        expr = expr.when(e.isNull(), SEGMENT_UNKNOWN)
-    return expr.otherwise(SEGMENT_ELSE)
+        arms += f" WHEN {employees} IS NULL THEN '{SEGMENT_UNKNOWN}'"
+    return f"CASE {arms} ELSE '{SEGMENT_ELSE}' END"
 
 
 def stg_accounts(src: Sources, p: Params) -> DataFrame:
-    raw = src("salesforce", "account")
-    return raw.filter(not_deleted("isdeleted")).select(
-        F.col("id").alias("account_id"),
-        F.col("stripe_customer_id__c").alias("stripe_customer_id"),
-        F.col("name").alias("account_name"),
-        F.col("type").alias("account_type"),
-        F.col("industry"),
-        F.col("numberofemployees").alias("employee_count"),
-        F.col("annualrevenue").alias("annual_revenue_dollars"),
-        account_segment("numberofemployees", p.mode).alias("account_segment"),
-        F.col("billingcountry").alias("billing_country"),
-        F.col("billingstate").alias("billing_state"),
-        F.col("ownerid").alias("account_owner_id"),
-        F.col("createddate").cast("timestamp_ntz").alias("created_at"),
-        F.col("lastmodifieddate").cast("timestamp_ntz").alias("updated_at"),
-        F.col("_fivetran_synced").alias("_fivetran_synced_at"),
-        F.col("isdeleted"),
-    )
+    raw = src("salesforce", "account").where(not_deleted("isdeleted"))
+    return _select(raw, {
+        "account_id": "id",
+        "stripe_customer_id": "stripe_customer_id__c",
+        "account_name": "name",
+        "account_type": "type",
+        "industry": "industry",
+        "employee_count": "numberofemployees",
+        "annual_revenue_dollars": "annualrevenue",
+        "account_segment": account_segment("numberofemployees", p.mode),
+        "billing_country": "billingcountry",
+        "billing_state": "billingstate",
+        "account_owner_id": "ownerid",
+        "created_at": "CAST(createddate AS TIMESTAMP_NTZ)",
+        "updated_at": "CAST(lastmodifieddate AS TIMESTAMP_NTZ)",
+        "_fivetran_synced_at": "_fivetran_synced",
+        "isdeleted": "isdeleted",
+    })
 
 
 def stg_users(src: Sources, p: Params) -> DataFrame:
-    raw = src("app_db", "users")
-    return raw.select(
-        F.col("id").alias("user_id"),
-        F.col("stripe_customer_id"),
-        F.col("organization_id"),
-        F.col("email"),
-        F.md5(F.lower(F.trim(F.col("email")))).alias("email_hash"),
-        F.col("first_name"),
-        F.col("last_name"),
-        F.concat(F.col("first_name"), F.lit(" "), F.col("last_name")).alias("full_name"),
-        F.col("role").alias("user_role"),
-        F.col("status").alias("user_status"),
-        F.col("signup_source"),
-        F.col("referral_code"),
-        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
-        F.col("updated_at").cast("timestamp_ntz").alias("updated_at"),
-        F.col("last_login_at").cast("timestamp_ntz").alias("last_login_at"),
-        F.col("email_verified_at").cast("timestamp_ntz").alias("email_verified_at"),
-        flag(F.col("email_verified_at").isNotNull()).alias("is_email_verified"),
-        flag(F.col("status") == "active").alias("is_active"),
-        F.col("_loaded_at"),
-    )
+    return _select(src("app_db", "users"), {
+        "user_id": "id",
+        "stripe_customer_id": "stripe_customer_id",
+        "organization_id": "organization_id",
+        "email": "email",
+        "email_hash": "md5(lower(trim(email)))",
+        "first_name": "first_name",
+        "last_name": "last_name",
+        "full_name": "concat(first_name, ' ', last_name)",
+        "user_role": "role",
+        "user_status": "status",
+        "signup_source": "signup_source",
+        "referral_code": "referral_code",
+        "created_at": "CAST(created_at AS TIMESTAMP_NTZ)",
+        "updated_at": "CAST(updated_at AS TIMESTAMP_NTZ)",
+        "last_login_at": "CAST(last_login_at AS TIMESTAMP_NTZ)",
+        "email_verified_at": "CAST(email_verified_at AS TIMESTAMP_NTZ)",
+        "is_email_verified": S.flag("email_verified_at IS NOT NULL"),
+        "is_active": S.flag("status = 'active'"),
+        "_loaded_at": "_loaded_at",
+    })
