@@ -47,9 +47,13 @@ def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
     d = dim.selectExpr("account_id", "account_name", "account_segment", "industry", "billing_country",
                        "stripe_customer_id AS __dim_key")
     pre = subs.join(d, F.expr("customer_id = __dim_key"), "left").drop("__dim_key")
-    n = p.expand_partitions or default_parallelism(src.spark)
     key = ["subscription_id", "account_id"]
-    # one row per subscription moves here; everything below stays in these partitions
+    # One row per subscription moves here; everything below stays in these
+    # partitions.  The count is explicit (``expand_partitions``, else the
+    # session's shuffle partitions): AQE would size this shuffle by its bytes,
+    # but the stage reading it does ~months-per-subscription times more work
+    # after the expansion, so byte-based coalescing under-partitions it.
+    n = p.expand_partitions or default_parallelism(src.spark)
     pre = pre.repartition(n, "subscription_id")
     # source rows per (subscription, account): a window over the pre-expansion
     # rows, already clustered by subscription, so no shuffle
