@@ -113,6 +113,17 @@ def test_duplicated_subscription_id_follows_lag_over_all_rows(spark):
     assert s2 == [(dt.date(2001, 11, 1), "new"), (dt.date(2001, 12, 1), "retained"), (dt.date(2002, 1, 1), "retained")]
 
 
+def test_hot_customer_does_not_skew_the_expanded_fact(spark):
+    # 40% of subscriptions belong to one customer (also matched by the CRM)
+    rows = [raw_sub(i, dt.datetime(1999, 1 + i % 12, 2), customer="cus_hot" if i % 5 < 2 else None)
+            for i in range(600)]
+    src = subs_source(spark, rows, [account(0, "cus_hot", 50)])
+    fact = mrr.fct_mrr(src, DEFAULT.with_(expand_partitions=8))
+    sizes = [r["n"] for r in fact.groupBy(F.spark_partition_id().alias("pid")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == fact.count() and len(sizes) == 8
+    assert max(sizes) < 2 * (sum(sizes) / len(sizes))      # spread by subscription, not by customer
+
+
 def test_null_employee_count_segment(spark):
     accts = [account(1, "cus_1", None)]
     src = subs_source(spark, [], accts)
