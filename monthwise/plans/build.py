@@ -69,6 +69,14 @@ def build_all(spark: SparkSession, src: Sources, p: Params, root: str | None = N
     rpt = materialize_table(spark, reports.monthly_revenue_from_fact(fact), root, "reporting",
                             "rpt_monthly_revenue", target, default_schema, run_id)
     out.update({"dim_accounts": dim, "fct_mrr": fact, "rpt_monthly_revenue": rpt})
+    # growth marts and reports, from the written fact (computed once per build)
+    from monthwise.plans import growth
+    for layer, name, df in [("marts", "fct_subscriptions", growth.fct_subscriptions(src, p)),
+                            ("reporting", "rpt_nrr", growth.nrr(src, p, fact)),
+                            ("reporting", "rpt_cohort_retention", growth.cohort_retention(src, p, fact)),
+                            ("reporting", "rpt_trial_funnel", growth.trial_funnel(src, p)),
+                            ("reporting", "rpt_feature_adoption", growth.feature_adoption(src, p))]:
+        out[name] = materialize_table(spark, df, root, layer, name, target, default_schema, run_id)
     summary = run_checks({"dim_accounts": dim, "fct_mrr": fact, "rpt_monthly_revenue": rpt}, MART_CHECKS, p.as_of)
     out["dq_summary"] = summary
     if run_gate:
