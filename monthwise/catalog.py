@@ -91,6 +91,7 @@ def queries(p: Params = DEFAULT) -> dict[str, Query]:
         "fct_subscriptions": growth.fct_subscriptions,
         "opportunity_stages": growth.opportunity_stages,
         "scd2_snapshot": growth.scd2_snapshot,
+        "scd2_incremental": growth.scd2_incremental,
         "sessions": growth.sessions,
     }
     q: dict[str, Query] = {k: _model(f, p) for k, f in models.items()}

@@ -404,7 +404,6 @@ def _suite_sql(checks, p: Params) -> str:
 
 def _quality_sql(p: Params) -> dict[str, str]:
     from monthwise.plans import quality_suite as QS
-    from monthwise.sources.incremental import APP_TABLES  # noqa: F401
     q = {}
     for kind, name in [("unique", "dq_unique"), ("not_null", "dq_not_null"),
                        ("accepted_values", "dq_accepted_values"), ("between", "dq_between")]:
@@ -661,5 +660,7 @@ def _growth_sql(p: Params) -> dict[str, str]:
            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS version_number,
            lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) IS NULL AS is_current
     FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL"""
+    # the incremental snapshot must reproduce the full-history snapshot
+    q["scd2_incremental"] = q["scd2_snapshot"]
     q["sessions"] = with_ctes("SELECT * FROM app_sessions", ["app_sessions"], p)
     return q

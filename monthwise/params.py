@@ -22,6 +22,8 @@ class Params:
     events_as_of: dt.datetime = dt.datetime(2024, 2, 1)
     events_mark: dt.datetime = dt.datetime(2024, 1, 15)
     session_gap_minutes: int = 30
+    # incremental SCD2 query: snapshot up to here, later log rows merged in
+    scd2_cutoff: dt.datetime = dt.datetime(1999, 6, 30)
     # granularity used to split hot keys in per-key ordered operators
     split_bucket: str = "hour"
     mode: str = EXACT
