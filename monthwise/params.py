@@ -27,6 +27,8 @@ class Params:
     # granularity used to split hot keys in per-key ordered operators
     split_bucket: str = "hour"
     mode: str = EXACT
+    # CRM account id = prefix || app organization id (the reference's guessed key)
+    account_key_prefix: str = "a_"
     # partitions for the month expansion; None = spark.sql.shuffle.partitions
     expand_partitions: int | None = None
 

@@ -27,7 +27,9 @@ from monthwise.functions import sql as S
 from monthwise.functions.scalar import MONEY
 from monthwise.operators.movement import add_movement, movement_classify
 from monthwise.operators.range_expand import expand_months
-from monthwise.params import Params
+from monthwise.params import CORRECTED, Params
+
+UNASSIGNED = "Unassigned"   # corrected mode: segment of subscriptions without a CRM account
 from monthwise.plans.accounts import dim_accounts
 from monthwise.plans.periods import billable_subscriptions, with_month_flags
 from monthwise.session import default_parallelism
@@ -47,6 +49,9 @@ def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
     d = dim.selectExpr("account_id", "account_name", "account_segment", "industry", "billing_country",
                        "stripe_customer_id AS __dim_key")
     pre = subs.join(d, F.expr("customer_id = __dim_key"), "left").drop("__dim_key")
+    if p.mode == CORRECTED:
+        # unmatched subscriptions get a segment label instead of NULL
+        pre = pre.withColumn("account_segment", F.expr(f"coalesce(account_segment, '{UNASSIGNED}')"))
     key = ["subscription_id", "account_id"]
     # One row per subscription moves here; everything below stays in these
     # partitions.  The count is explicit (``expand_partitions``, else the

@@ -39,13 +39,16 @@ def billable_subscriptions(src: Sources, p: Params) -> DataFrame:
         hi = f"CASE WHEN canceled_at IS NOT NULL THEN add_months({hi}, 1) ELSE {hi} END"
     return s.withColumns({
         "mrr": normalised_mrr("billing_cycle", "plan_amount_dollars"),
-        "__lo": F.expr(S.month_of("period_start_at")),
+        # exact: the current billing period's start (earlier history is lost);
+        # corrected: the subscription's creation
+        "__lo": F.expr(S.month_of("created_at" if p.mode == CORRECTED else "period_start_at")),
         "__hi": F.expr(hi),
     })
 
 
 def with_month_flags(df: DataFrame, p: Params) -> DataFrame:
-    first = S.flag(f"{S.month_of('period_start_at')} = month_start")
+    start = "created_at" if p.mode == CORRECTED else "period_start_at"
+    first = S.flag(f"{S.month_of(start)} = month_start")
     churn = S.flag(f"canceled_at IS NOT NULL AND {S.month_of('canceled_at')} = month_start")
     cols = {"is_first_month": F.expr(first), "is_churn_month": F.expr(churn)}
     if p.mode == CORRECTED:

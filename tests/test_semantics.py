@@ -71,6 +71,30 @@ def test_corrected_mode_emits_churn_row(spark):
     assert out[-1].mrr == Decimal("0") and out[-1].is_churn_month
 
 
+def test_corrected_start_from_creation_unassigned_segment_and_key_prefix(spark):
+    p = DEFAULT.with_(mode=CORRECTED)
+    row = list(raw_sub(1, dt.datetime(2001, 10, 5), customer="cus_x"))
+    row[6] = ep(dt.datetime(2001, 8, 20))                 # created two months before the current period
+    out = mrr.fct_mrr(subs_source(spark, [tuple(row)], p=p), p).orderBy("month_start").collect()
+    assert [r.month_start.month for r in out][:3] == [8, 9, 10] and out[0].is_first_month
+    assert {r.account_segment for r in out} == {"Unassigned"}
+    # exact mode: starts at the current period, segment stays NULL
+    ex = mrr.fct_mrr(subs_source(spark, [tuple(row)]), DEFAULT).orderBy("month_start").collect()
+    assert ex[0].month_start == dt.date(2001, 10, 1) and ex[0].account_segment is None
+    # the CRM key prefix is a parameter
+    users = [(1, "u@x", "A", "B", 7, "cus_1", "member", "active", "organic", None, dt.datetime(2000, 1, 1),
+              None, None, None, dt.datetime(2001, 12, 31))]
+    accts = [account(7, "cus_7", 5)]
+    acct = [account(0, "cus_0", 5)]
+    acct[0] = tuple(["org-7"] + list(acct[0][1:]))
+    from monthwise.plans import accounts
+    pp = DEFAULT.with_(account_key_prefix="org-")
+    d = accounts.dim_accounts(subs_source(spark, [], acct, users, p=pp), pp).first()
+    assert d.account_id == "org-7" and d.total_user_count == 1
+    d2 = accounts.dim_accounts(subs_source(spark, [], accts, users), DEFAULT).first()
+    assert d2.account_id == "a_7" and d2.total_user_count == 1
+
+
 def test_annual_mrr_and_spine_clipping(spark):
     p = DEFAULT
     rows = [raw_sub(1, dt.datetime(1990, 3, 1), amount=4900, cycle="annual")]
