@@ -127,6 +127,22 @@ def test_events_stream_is_idempotent(spark, workdir):
     assert spark.read.parquet(sink).select("event_id").distinct().count() == n
 
 
+def test_events_stream_hot_copy_group(spark, workdir):
+    from monthwise.streaming.events_stream import first_copies, run_events_load
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    hot = ev.limit(1)
+    copies = hot.withColumn("__n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("__n")  # 3000 copies
+    srcdir = os.path.join(workdir, "in")
+    ev.unionByName(copies).repartition(4).write.parquet(srcdir)
+    sink, ckpt = os.path.join(workdir, "sink"), os.path.join(workdir, "ckpt")
+    run_events_load(spark, srcdir, sink, ckpt, file_glob="*.parquet")
+    out = spark.read.parquet(sink)
+    assert out.count() == ev.count() == out.select("event_id").distinct().count()
+    # the stateless pre-step alone keeps one copy per id within a partition
+    batches = [pd.DataFrame({"event_id": [1, 1, 2]}), pd.DataFrame({"event_id": [1, 3, 3]})]
+    assert [b.event_id.tolist() for b in first_copies(iter(batches))] == [[1, 2], [3]]
+
+
 def test_build_all_writes_tables_and_gate_catches_null_segment(spark, workdir):
     from monthwise.operators.quality import GateFailed
     from monthwise.plans.build import build_all, schema_name
