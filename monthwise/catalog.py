@@ -17,7 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _SOURCES: dict[tuple, Sources] = {}
 
 
-def test_sources(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Sources:
+def registered_test_sources(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Sources:
     """The raw sources of one test directory, registered once per session: the
     adapter DataFrames are immutable lazy plans, so every query reuses them (as
     views are defined once) instead of rebuilding the same expressions."""
@@ -31,7 +31,7 @@ def test_sources(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Sourc
 def _model(fn, p: Params = DEFAULT) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
-        return fn(test_sources(spark, sf_dir, p), p)
+        return fn(registered_test_sources(spark, sf_dir, p), p)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
