@@ -12,54 +12,49 @@ bounded by the number of buckets, not by the number of events."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import surrogate_key
+from monthwise.functions import sql as S
 from monthwise.params import Params
 
 
-def _bucket(ts, unit: str):
-    return F.date_trunc(unit, ts).cast("timestamp_ntz")
-
-
 def sessionize(events: DataFrame, user: str, ts: str, gap_seconds: int, bucket: str = "hour",
                extra_aggs: list | None = None) -> DataFrame:
-    """Gap comparison is in microseconds.  Returns one row per (user, session): session_index (0-based per user),
-    started_at, ended_at, events_count (+ extra aggregates)."""
+    """One row per (user, session): ``session_index`` (0-based per user),
+    ``started_at``, ``ended_at``, ``events_count`` (+ extra aggregates).  A new
+    session starts after a gap of more than ``gap_seconds`` (compared in
+    microseconds)."""
     gap = gap_seconds * 1_000_000
-    e = events.filter(F.col(user).isNotNull() & F.col(ts).isNotNull()) \
-              .withColumn("__b", _bucket(F.col(ts), bucket)) \
-              .withColumn("__t", F.unix_micros(F.col(ts).cast("timestamp")))
+    e = events.where(f"{user} IS NOT NULL AND {ts} IS NOT NULL").selectExpr(
+        "*", f"CAST(date_trunc('{bucket}', {ts}) AS TIMESTAMP_NTZ) AS __b",
+        f"unix_micros(CAST({ts} AS TIMESTAMP)) AS __t")
     # 1. local sessions inside (user, bucket)
-    wb = Window.partitionBy(user, "__b").orderBy("__t")
-    e = e.withColumn("__new", F.coalesce((F.col("__t") - F.lag("__t").over(wb)) > gap, F.lit(True)))
-    e = e.withColumn("__local", F.sum(F.col("__new").cast("int")).over(
-        wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1)
+    wb = f"PARTITION BY {user}, __b ORDER BY __t"
+    e = e.withColumn("__new", F.expr(f"coalesce(__t - lag(__t) OVER ({wb}) > {gap}, true)"))
+    e = e.withColumn("__local", F.expr(
+        f"sum(CAST(__new AS INT)) OVER ({wb} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1"))
     # 2. bucket summaries, stitched per user (bounded by the number of buckets)
-    s = e.groupBy(user, "__b").agg(F.min("__t").alias("__first"), F.max("__t").alias("__last"),
-                                   F.max("__local").alias("__nloc"))
-    wu = Window.partitionBy(user).orderBy("__b")
-    cont = F.coalesce((F.col("__first") - F.lag("__last").over(wu)) <= gap, F.lit(False))
-    s = s.withColumn("__cont", cont.cast("int"))
-    run = wu.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s = e.groupBy(user, "__b").agg(F.expr("min(__t)").alias("__first"), F.expr("max(__t)").alias("__last"),
+                                   F.expr("max(__local)").alias("__nloc"))
+    wu = f"PARTITION BY {user} ORDER BY __b"
+    s = s.withColumn("__cont", F.expr(f"CAST(coalesce(__first - lag(__last) OVER ({wu}) <= {gap}, false) AS INT)"))
+    run = f"{wu} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     # sessions opened by earlier buckets minus merges up to and including this one
-    s = s.withColumn("__base", F.sum(F.col("__nloc") + 1).over(run) - (F.col("__nloc") + 1)
-                     - F.sum("__cont").over(run))
+    s = s.withColumn("__base", F.expr(f"sum(__nloc + 1) OVER ({run}) - (__nloc + 1) - sum(__cont) OVER ({run})"))
     # 3. session id per event, aggregated (map-side combined)
     j = e.join(s.select(user, "__b", "__base"), [user, "__b"])
-    j = j.withColumn("session_index", (F.col("__base") + F.col("__local")).cast("bigint"))
-    aggs = [F.min(ts).alias("started_at"), F.max(ts).alias("ended_at"),
-            F.count(F.lit(1)).alias("events_count")] + list(extra_aggs or [])
+    j = j.withColumn("session_index", F.expr("CAST(__base + __local AS BIGINT)"))
+    aggs = [F.expr(f"min({ts})").alias("started_at"), F.expr(f"max({ts})").alias("ended_at"),
+            F.expr("count(1)").alias("events_count")] + list(extra_aggs or [])
     return j.groupBy(user, "session_index").agg(*aggs)
 
 
 def app_sessions(events: DataFrame, p: Params) -> DataFrame:
     """The ``app_db.sessions`` table: sessions of the app events (30-minute gap)."""
     s = sessionize(events, "user_id", "occurred_at", p.session_gap_minutes * 60, p.split_bucket,
-                   [F.count(F.when(F.col("event_name") == "view", 1)).alias("page_views"),
-                    F.max("_loaded_at").alias("_loaded_at")])
-    return s.select(
-        F.substring(surrogate_key(F.col("user_id"), F.col("started_at")), 1, 32).alias("session_id"),
-        "user_id", "started_at", "ended_at", "page_views", "events_count", "_loaded_at",
-        "session_index")
+                   [F.expr("count(CASE WHEN event_name = 'view' THEN 1 END)").alias("page_views"),
+                    F.expr("max(_loaded_at)").alias("_loaded_at")])
+    return s.selectExpr(
+        f"substring({S.surrogate_key('user_id', 'started_at')}, 1, 32) AS session_id",
+        "user_id", "started_at", "ended_at", "page_views", "events_count", "_loaded_at", "session_index")
