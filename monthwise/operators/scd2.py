@@ -10,34 +10,34 @@ number of versions before each bucket."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthwise.functions.scalar import surrogate_key
+from monthwise.functions import sql as S
 
 
 def scd2_history(df: DataFrame, key: str, updated_at: str, tiebreak: str, attrs: list[str],
                  bucket: str = "day") -> DataFrame:
-    d = df.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull()) \
-          .select(key, updated_at, tiebreak, *attrs) \
-          .withColumn("__b", F.date_trunc(bucket, F.col(updated_at)).cast("timestamp_ntz"))
-    wb = Window.partitionBy(key, "__b").orderBy(updated_at, tiebreak)
-    d = (d.withColumn("__next_local", F.lead(updated_at).over(wb))
-          .withColumn("__idx", F.row_number().over(wb) - 1))
-    s = d.groupBy(key, "__b").agg(F.min(updated_at).alias("__first"), F.count(F.lit(1)).alias("__n"))
-    wk = Window.partitionBy(key).orderBy("__b")
-    s = (s.withColumn("__next_bucket", F.lead("__first").over(wk))
-          .withColumn("__base", F.sum("__n").over(wk.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                      - F.col("__n")))
+    d = df.where(f"{key} IS NOT NULL AND {updated_at} IS NOT NULL").selectExpr(
+        key, updated_at, tiebreak, *attrs, f"CAST(date_trunc('{bucket}', {updated_at}) AS TIMESTAMP_NTZ) AS __b")
+    wb = f"PARTITION BY {key}, __b ORDER BY {updated_at}, {tiebreak}"
+    d = d.withColumns({"__next_local": F.expr(f"lead({updated_at}) OVER ({wb})"),
+                       "__idx": F.expr(f"row_number() OVER ({wb}) - 1")})
+    s = d.groupBy(key, "__b").agg(F.expr(f"min({updated_at})").alias("__first"), F.expr("count(1)").alias("__n"))
+    wk = f"PARTITION BY {key} ORDER BY __b"
+    s = s.withColumns({
+        "__next_bucket": F.expr(f"lead(__first) OVER ({wk})"),
+        "__base": F.expr(f"sum(__n) OVER ({wk} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - __n"),
+    })
     j = d.join(s.select(key, "__b", "__next_bucket", "__base"), [key, "__b"])
-    valid_to = F.coalesce(F.col("__next_local"), F.col("__next_bucket"))
-    return j.select(
-        surrogate_key(F.col(key), F.col(tiebreak)).alias("scd_id"),
+    valid_to = "coalesce(__next_local, __next_bucket)"
+    return j.selectExpr(
+        f"{S.surrogate_key(key, tiebreak)} AS scd_id",
         key, tiebreak, *attrs,
-        F.col(updated_at).alias("valid_from"),
-        valid_to.alias("valid_to"),
-        (F.col("__base") + F.col("__idx") + 1).cast("bigint").alias("version_number"),
-        valid_to.isNull().alias("is_current"),
+        f"{updated_at} AS valid_from",
+        f"{valid_to} AS valid_to",
+        "CAST(__base + __idx + 1 AS BIGINT) AS version_number",
+        f"{valid_to} IS NULL AS is_current",
     )
 
 
