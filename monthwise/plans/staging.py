@@ -22,7 +22,9 @@ def not_deleted(flag_col: str) -> str:
 
 
 def _select(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*[f"{e} AS `{n}`" for n, e in exprs.items()])
+    # a bare column stays bare: a same-name alias would make otherwise equal
+    # subplans differ (and block exchange reuse between branches of one query)
+    return df.selectExpr(*[f"`{n}`" if e == n else f"{e} AS `{n}`" for n, e in exprs.items()])
 
 
 def stg_subscriptions(src: Sources, p: Params) -> DataFrame:

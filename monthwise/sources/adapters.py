@@ -90,7 +90,8 @@ def _epoch(ts: str) -> str:
 
 def _project(df: DataFrame, exprs: dict[str, str], schema) -> DataFrame:
     """One ``selectExpr`` (parsed JVM-side) per adapter, conformed to the contract."""
-    return schemas.conform(df.selectExpr(*[f"{e} AS `{n}`" for n, e in exprs.items()]), schema)
+    return schemas.conform(df.selectExpr(*[f"`{n}`" if e == n else f"{e} AS `{n}`" for n, e in exprs.items()]),
+                           schema)
 
 
 # Projections are written as Spark SQL expressions: one client call per column,

@@ -100,7 +100,10 @@ RAW = {
 
 
 def conform(df, schema: T.StructType):
-    """Project ``df`` onto a contract: same column order, explicit casts (one
-    ``selectExpr``)."""
-    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+    """Project ``df`` onto a contract: same column order, explicit casts where
+    the type differs (one ``selectExpr``; columns already of the right type stay
+    bare, so equal subplans stay equal for exchange reuse)."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.selectExpr(*[f"`{f.name}`" if have.get(f.name) == f.dataType
+                           else f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
                            for f in schema.fields])
