@@ -30,7 +30,7 @@ from monthwise.operators.range_expand import expand_months
 from monthwise.params import CORRECTED, Params
 
 UNASSIGNED = "Unassigned"   # corrected mode: segment of subscriptions without a CRM account
-from monthwise.plans.accounts import dim_accounts
+from monthwise.plans.staging import stg_accounts
 from monthwise.plans.periods import billable_subscriptions, with_month_flags
 from monthwise.session import default_parallelism
 from monthwise.sources.registry import Sources
@@ -45,7 +45,12 @@ FACT_COLUMNS = [
 
 def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
     subs = billable_subscriptions(src, p)
-    dim = dim if dim is not None else dim_accounts(src, p)
+    if dim is None:
+        # The fact uses only account columns, and dim_accounts carries the CRM
+        # staging rows one-to-one (its app-user rollup matches at most one row
+        # per account: the key prefix || org id is injective).  So the same
+        # columns come straight from staging, without the rollup's shuffles.
+        dim = stg_accounts(src, p)
     d = dim.selectExpr("account_id", "account_name", "account_segment", "industry", "billing_country",
                        "stripe_customer_id AS __dim_key")
     pre = subs.join(d, F.expr("customer_id = __dim_key"), "left").drop("__dim_key")

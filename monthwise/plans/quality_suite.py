@@ -108,7 +108,7 @@ def _tables(src: Sources, p: Params, checks: list[Check]) -> dict[str, DataFrame
         dim = dim_accounts(src, p)
         out["dim_accounts"] = dim
     if models & {"fct_mrr", "rpt_monthly_revenue"}:
-        fact = fct_mrr(src, p, dim)
+        fact = fct_mrr(src, p)
         out["fct_mrr"] = fact
         out["rpt_monthly_revenue"] = monthly_revenue_from_fact(fact)
     return out
