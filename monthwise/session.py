@@ -57,8 +57,9 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and written tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when it is unset (local
-    runs, tests) a fresh temporary folder is made and registered."""
+    Uses the cluster's ``spark.checkpoint.dir``.  Only a local-mode session
+    (tests, local runs) without one gets a fresh temporary folder; on a cluster a
+    machine-local folder would not survive a lost executor, so it is an error."""
     try:
         base = spark.sparkContext.getCheckpointDir()
     except Exception:        # no SparkContext on this client
@@ -66,6 +67,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                               "distributed file system) before running jobs that write scratch data")
         base = tempfile.mkdtemp(prefix="monthwise-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(base)
