@@ -167,6 +167,25 @@ def test_sources_from_paths_reads_contract_tables(spark, workdir):
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
 
 
+def test_command_line_query_and_list(spark, workdir, capsys):
+    from monthwise.__main__ import main
+    assert main(["list"]) == 0
+    assert "monthly_revenue" in capsys.readouterr().out.split()
+    out = os.path.join(workdir, "rpt")
+    assert main(["query", "monthly_revenue", "--sf-dir", SF_SMALL, "--out", out]) == 0
+    assert spark.read.parquet(out).count() > 0
+    # the daily build over contract-shaped raw tables in a folder
+    src = Sources.from_test_tables(spark, SF_SMALL, DEFAULT)
+    raw = os.path.join(workdir, "raw")
+    from monthwise.sources.schemas import RAW
+    for system, table in RAW:
+        src(system, table).write.parquet(os.path.join(raw, system, table))
+    wh = os.path.join(workdir, "wh")
+    assert main(["build", "--raw-root", raw, "--out", wh, "--as-of", "2002-01-01T00:00:00", "--no-gate"]) == 0
+    assert "fct_mrr.mrr_id unique: 0 (pass)" in capsys.readouterr().out
+    assert spark.read.parquet(os.path.join(wh, "analytics_marts", "fct_mrr")).count() > 0
+
+
 def test_seed_csv_load_with_explicit_schema(spark, workdir):
     from monthwise.sources.seeds_csv import load_seed_csv
     path = os.path.join(workdir, "nation_csv")
