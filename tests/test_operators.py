@@ -194,6 +194,30 @@ def test_seed_csv_load_with_explicit_schema(spark, workdir):
     assert df.count() == 25 and dict(df.dtypes)["n_nationkey"] == "int"
 
 
+def test_run_daily_probes_then_builds_then_gates(spark, workdir):
+    from monthwise.operators.quality import GateFailed
+    from monthwise.plans.build import run_daily
+    src = Sources.from_test_tables(spark, SF_SMALL, DEFAULT)
+    calls = []
+
+    def load():
+        calls.append("load")
+        return spark.createDataFrame([("users", "success", 1, None)],
+                                     "table_name string, status string, rows_loaded bigint, error string")
+    with pytest.raises(GateFailed):                      # NULL segments fail the report's not_null test
+        run_daily(spark, src, DEFAULT, root=workdir, load=load)
+    assert calls == ["load"]
+
+
+def test_single_split_inputs_are_spread(spark):
+    from monthwise.sources.adapters import read_table
+    big = read_table(spark, "/root/testdata/sf0.1", "orders")            # one row group, > 1 MB
+    small = read_table(spark, "/root/testdata/sf0.1", "nation")          # tiny: left as is
+    slots = spark.sparkContext.defaultParallelism
+    assert big.rdd.getNumPartitions() == slots
+    assert small.rdd.getNumPartitions() == 1
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
