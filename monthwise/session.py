@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -90,10 +89,5 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return p[5:] if p.startswith("file:") else p
-
-
 __all__ = ["build_session", "configure", "ensure_utc", "shared_dir", "new_work_path",
-           "default_parallelism", "local_path", "SESSION_CONF", "os"]
+           "default_parallelism", "SESSION_CONF"]
