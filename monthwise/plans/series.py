@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from monthwise.functions.scalar import month_of
 from monthwise.functions.spine import month_sequence
-from monthwise.operators.movement import movement_classify
+from monthwise.operators.movement import add_movement
 from monthwise.params import CORRECTED, Params
 from monthwise.sources.registry import Sources
 
 
 def zero_filled_monthly_totals(orders: DataFrame, p: Params) -> DataFrame:
-    """(customer_key, month_start, order_cents) with a zero row for every month
-    without orders between the customer's first month and ``series_end``.
+    """(customer_key, month_start, order_cents, prior_cents) with a zero row for
+    every month without orders between the customer's first month and
+    ``series_end``; ``prior_cents`` is the previous row of that series.
 
     Totals are aggregated first (map-side combined, so a hot customer shrinks to
     one row per month per task); the gaps are then filled by expanding each
@@ -29,18 +30,30 @@ def zero_filled_monthly_totals(orders: DataFrame, p: Params) -> DataFrame:
         F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"))
     w = Window.partitionBy("customer_key").orderBy("month_start")
     fill_to = F.coalesce(F.add_months(F.lead("month_start").over(w), -1), end)
-    g = monthly.withColumn("__to", fill_to)
-    g = g.select("customer_key", "cents", F.posexplode(month_sequence(F.col("month_start"), F.col("__to")))
-                 .alias("__pos", "month_start"))
-    return g.select("customer_key", "month_start",
-                    F.when(F.col("__pos") == 0, F.col("cents")).otherwise(F.lit(0)).cast("bigint")
-                    .alias("order_cents"))
+    # the row before this month in the zero-filled series: NULL at the first
+    # month, the previous total when that month is adjacent, else a filled zero
+    prior_first = F.expr("CASE WHEN lag(month_start) OVER (PARTITION BY customer_key ORDER BY month_start) "
+                         "IS NULL THEN NULL WHEN lag(month_start) OVER (PARTITION BY customer_key ORDER BY "
+                         "month_start) = add_months(month_start, -1) THEN lag(cents) OVER (PARTITION BY "
+                         "customer_key ORDER BY month_start) ELSE 0 END")
+    g = monthly.withColumns({"__to": fill_to, "__prior0": prior_first})
+    g = g.select("customer_key", "cents", "__prior0",
+                 F.posexplode(month_sequence(F.col("month_start"), F.col("__to"))).alias("__pos", "month_start"))
+    # lag over the zero-filled series, from the position: pos 0 -> __prior0,
+    # pos 1 -> this month's total, later filled months -> 0
+    return g.selectExpr(
+        "customer_key", "month_start",
+        "CAST(CASE WHEN __pos = 0 THEN cents ELSE 0 END AS BIGINT) AS order_cents",
+        "CAST(CASE WHEN __pos = 0 THEN __prior0 WHEN __pos = 1 THEN cents ELSE 0 END AS BIGINT) AS prior_cents")
 
 
 def movement_series(src: Sources, p: Params) -> DataFrame:
+    """Movement classes over the zero-filled series.  ``lag`` over a month
+    series is fixed by the expansion (see :func:`zero_filled_monthly_totals`),
+    so only the monthly totals are ordered - never the filled rows."""
     s = zero_filled_monthly_totals(src("tpch", "orders"), p)
-    return movement_classify(s, ["customer_key"], "month_start", "order_cents", prior_col="prior_cents",
-                             change_col="cents_change", type_col="movement", mode=p.mode)
+    return add_movement(s, "order_cents", "prior_cents", change_col="cents_change", type_col="movement",
+                        mode=p.mode)
 
 
 def movement_series_corrected(src: Sources, p: Params) -> DataFrame:
