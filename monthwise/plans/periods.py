@@ -43,13 +43,16 @@ def billable_subscriptions(src: Sources, p: Params) -> DataFrame:
         # corrected: the subscription's creation
         "__lo": F.expr(S.month_of("created_at" if p.mode == CORRECTED else "period_start_at")),
         "__hi": F.expr(hi),
+        "__cancel_month": F.expr(S.month_of("canceled_at")),
     })
 
 
 def with_month_flags(df: DataFrame, p: Params) -> DataFrame:
-    start = "created_at" if p.mode == CORRECTED else "period_start_at"
-    first = S.flag(f"{S.month_of(start)} = month_start")
-    churn = S.flag(f"canceled_at IS NOT NULL AND {S.month_of('canceled_at')} = month_start")
+    """First-month and churn-month flags of expanded rows.  Both months are
+    per-subscription constants computed before the expansion (``__lo`` is the
+    start month in either mode), so each expanded row only compares dates."""
+    first = S.flag("__lo = month_start")
+    churn = S.flag("__cancel_month = month_start")
     cols = {"is_first_month": F.expr(first), "is_churn_month": F.expr(churn)}
     if p.mode == CORRECTED:
         cols["mrr"] = F.expr(f"CASE WHEN {churn} THEN CAST(0 AS {MONEY}) ELSE mrr END")
