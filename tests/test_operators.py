@@ -218,6 +218,29 @@ def test_single_split_inputs_are_spread(spark):
     assert small.rdd.getNumPartitions() == 1
 
 
+def test_shared_dir_never_falls_back_to_local_folder_on_a_cluster():
+    from monthwise.session import shared_dir
+
+    class Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class NoContext:
+        def __init__(self, values):
+            self.conf = Conf(values)
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no context on this client")
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(NoContext({"spark.master": "yarn"}))
+    assert shared_dir(NoContext({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///ckpt"})) == "hdfs:///ckpt"
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
