@@ -11,7 +11,7 @@ the sum over its pre-tokens of (frequency x pieces of that pre-token).  Three st
 3. pieces x frequency is summed per document.
 
 Hot keys: a pre-token held by ``hot_docs`` or more documents of a block is counted
-in place, once for that block (a salted key with the block as its salt), so no
+in place, once for the task (a salted key with the task as its salt), so no
 pre-token's documents pile up in one task; only the long tail is shuffled.
 
 Pre-tokens are cut by the tokenizer's own pattern.  Where a text has only characters
@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 
 from monthwise.llm.common import fresh
 
-HOT_DOCS = 24
-BLOCK_BATCHES = 1 << 13    # documents of a block, at most
-BLOCK_CHARS = 64 << 20     # characters of a block, at most (one longer text is a block)
+HOT_DOCS = 8
+BLOCK_DOCS = 2048          # documents of a block, at most
+BLOCK_CHARS = 8 << 20      # characters of a block, at most (one longer text is a block)
 
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 # The byte-level BPE pattern, alternatives in an order that tries words first (they
@@ -53,6 +53,9 @@ class Splitter:
     """Cuts texts to pre-tokens as the tokenizer in ``path`` does, and counts pieces."""
 
     def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"        # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -106,6 +109,7 @@ def frequencies(path: str, hot_docs: int, block_docs: int, block_chars: int):
     place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(path)
+        known: dict[str, int] = {}
         for rows, texts in blocks(batches, block_docs, block_chars):
             holders: dict[str, list[int]] = defaultdict(list)     # pre-token -> doc, count, doc, count, ...
             done = [0] * len(rows)
@@ -114,15 +118,17 @@ def frequencies(path: str, hot_docs: int, block_docs: int, block_chars: int):
                 for pretoken, n in Counter(pretokens).items():
                     holders[pretoken] += (i, n)
             hot = [p for p, h in holders.items() if len(h) >= 2 * hot_docs]
-            for pretoken, n in zip(hot, splitter.pieces(hot)):
-                places = holders.pop(pretoken)
+            new = [p for p in hot if p not in known]
+            known.update(zip(new, splitter.pieces(new)))
+            for pretoken in hot:
+                n, places = known[pretoken], holders.pop(pretoken)
                 for i, times in zip(places[::2], places[1::2]):
                     done[i] += n * times
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(rows), pa.string()), pa.array([[r] for r in rows], POSTINGS.field("rows").type),
                  pa.nulls(len(rows), POSTINGS.field("counts").type), pa.array(done, pa.int64())], schema=POSTINGS)
             tail = iter(holders.items())
-            while some := list(itertools.islice(tail, 50_000)):
+            while some := list(itertools.islice(tail, 10_000)):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p for p, _ in some], pa.string()),
                      pa.array([[rows[i] for i in h[::2]] for _, h in some], POSTINGS.field("rows").type),
@@ -155,7 +161,7 @@ def resolve(path: str):
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 hot_docs: int = HOT_DOCS, block_docs: int = BLOCK_BATCHES,
+                 hot_docs: int = HOT_DOCS, block_docs: int = BLOCK_DOCS,
                  block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: its id, ``n_bytes`` (UTF-8) and ``n_tokens``.
 

@@ -1,0 +1,184 @@
+"""Every operator on awkward rows: NULLs, empty and very long texts, repeated rows,
+ties, clashing extra columns, and empty tables."""
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from monthwise.llm import (decontaminate, langid, licenses, line_dedup, mixing, quality, simhash, token_counts, topk,
+                           warc)
+from monthwise.llm.common import fold_of
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+CLASH = {"fp": 1, "__row": 2, "n_lines": 3, "component": 4, "tokens": 5, "domain": "x", "score": 0.5, "row": 6}
+LONG = ("word " * 60_000) + "all rights reserved\n" + "x" * 200_000
+
+
+def awkward(spark):
+    rows = [
+        (1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, " \n\t\r\n ", None, None, None),
+        (4, "All rights reserved", "en", "b", 19), (4, "All rights reserved", "en", "b", 19),
+        (None, "no id here, and some words", "fr", "c", 26), (None, None, None, None, None),
+        (5, LONG, "en", "a", len(LONG)), (6, "日本語 текст ﬁn ½   <|endoftext|>'s", "xx", "a", 10),
+        (7, "!!! 123 ???", "en", "d", 11), (8, "same line\nsame line\n\nsame line", "en", "e", 30),
+    ]
+    df = spark.createDataFrame(rows, DOCS)
+    for name, value in CLASH.items():
+        df = df.withColumn(name, F.lit(value))
+    return df
+
+
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    df = awkward(spark).coalesce(1).cache()
+    df.count()
+    return df
+
+
+def rows(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=lambda r: tuple((x is None, str(x)) for x in r))
+
+
+def test_line_dedup(spark, docs):
+    out = line_dedup.remove_boilerplate(docs, min_sites=1).collect()
+    by = {r.doc_id: r for r in out if r.doc_id is not None}
+    assert len(out) == 11 and by[1].text is None and by[2].text == "" and by[3].text == " \n\t\r\n "
+    assert by[8].text == "same line\n" and by[8].n_lines == 3 and by[8].n_removed == 2
+    assert [r.text for r in out if r.doc_id == 4] == ["All rights reserved"] * 2      # tie: both hold the first copy
+    assert len([r for r in out if r.doc_id is None]) == 2
+    assert by[5]["__row"] == 2 and by[5].component == 4
+    assert line_dedup.remove_boilerplate(empty(spark)).count() == 0
+
+
+def test_licenses(spark, docs):
+    out = licenses.scan(docs).collect()
+    assert len(out) == 11
+    for r in out:
+        if r.doc_id == 4:
+            assert [tuple(p) for p in r.base] == [(0, "reserved")] and r.labels == ["reserved"] and 0 < r.score < 1
+        if r.doc_id == 5:
+            assert r.n_words == 60_004 and r.base[0].word == 60_000
+        if r.doc_id in (1, 2, 3):
+            assert r.n_words == 0 and r.base == [] and r.score == 0.0
+    assert licenses.scan(empty(spark)).count() == 0
+
+
+def test_token_counts(spark, docs, tokenizer):
+    path, library = tokenizer
+    out = token_counts.token_counts(docs, path, hot_docs=2)
+    want = [(r.doc_id, len((r.text or "").encode()), len(library.encode(r.text or "", add_special_tokens=False).ids))
+            for r in docs.collect()]
+    assert rows(out, "doc_id", "n_bytes", "n_tokens") == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
+    assert token_counts.token_counts(empty(spark), path).count() == 0
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+    path = public.path("byte_bpe_50k.json")
+    return path, Tokenizer.from_file(path)
+
+
+def test_decontaminate(spark, docs):
+    bench = spark.createDataFrame([(1, "all rights reserved"), (1, "ALL rights, reserved!"), (2, None), (3, ""),
+                                   (None, "some words"), (4, "?!")], "item_id bigint, text string")
+    out = rows(decontaminate.leaks(docs, bench), "doc_id", "item_id", "edit_distance")
+    assert out == sorted([(4, 1, 0)] * 4 + [(5, 1, 0)] * 2 + [(None, None, 0)],
+                         key=lambda r: tuple((x is None, str(x)) for x in r))
+    left = decontaminate.drop_contaminated(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 2, 3, 6, 7, 8]
+    assert decontaminate.leaks(empty(spark), bench).count() == 0
+    assert decontaminate.leaks(docs, bench.where("false")).count() == 0
+    assert decontaminate.drop_contaminated(docs, bench.where("false")).count() == 11
+    # many blocks of items find the same
+    assert rows(decontaminate.leaks(docs, bench, block_bytes=10), "doc_id", "item_id", "edit_distance") == out
+
+
+def test_langid(spark, docs):
+    model = langid.train(docs, F.lit(True))
+    assert model[0] == ["en", "fr", "xx"]
+    out = langid.predict(docs, *model).collect()
+    assert len(out) == 11
+    for r in out:
+        if r.doc_id in (1, 2, 3, 7):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+        assert 0 <= r.score <= 1
+    none = langid.train(empty(spark), fold_of() != 1)
+    assert none[0] == [] and {r.lang_pred for r in langid.predict(docs, *none).collect()} == {"und"}
+    assert langid.predict(empty(spark), *model).count() == 0
+    with pytest.raises(Exception, match="more than 1 labels"):
+        langid.train(docs, F.lit(True), max_languages=1)
+
+
+def test_simhash(spark, docs):
+    out = simhash.component_ids(docs)
+    want = brute.simhash_components([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert rows(out, "doc_id", "fingerprint", "component_id") == sorted(
+        want, key=lambda r: tuple((x is None, str(x)) for x in r))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted({str(c) for _, _, c in want})
+    assert simhash.component_ids(empty(spark)).count() == 0
+    assert simhash.keep_one(empty(spark)).count() == 0
+
+
+def test_mixing(spark, docs):
+    out = mixing.mixed(docs, mixing.Mix(budget=(1, 1)))
+    assert set(out.columns) == set(docs.columns) | {"epoch"}
+    got = out.collect()
+    assert {r.epoch for r in got} <= {1, 2, 3, 4}
+    assert sum(r.tokens for r in got) <= sum(len((r.text or "").split()) + 10 for r in docs.collect())
+    assert mixing.mixed(empty(spark)).count() == 0
+
+
+def test_quality(spark, docs):
+    labels = spark.createDataFrame([(4, 1, 0), (7, 0, 0), (7, 0, 0), (8, None, 1), (None, 1, 0), (5, 7, 0)],
+                                   "doc_id bigint, quality int, toxic int")
+    weights = quality.train(docs, labels, F.lit(True))
+    out = quality.score(docs, weights).collect()
+    assert len(out) == 11 and all(0 <= r.score <= 1 for r in out)
+    assert len({r.score for r in out if r.doc_id in (1, 2, 3)}) == 1           # no words: the intercept
+    kept = quality.keep_good(docs, weights)
+    assert kept.columns == docs.columns and kept.count() == sum(r.score >= 0.5 for r in out)
+    unlabelled = quality.train(docs, labels.where("false"), F.lit(True))
+    assert {r.score for r in quality.score(docs, unlabelled).collect()} == {0.5}
+    assert quality.score(empty(spark), weights).count() == 0
+
+
+def test_topk_edges(spark):
+    inf, nan = float("inf"), float("nan")
+    vecs = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [nan, 1.0]),
+            (5, [inf, 1.0]), (6, [None, 1.0]), (7, []), (None, [9.0, 9.0]), (8, [-1.0, 0.01]), (20, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(vecs, "vec_id bigint, embedding array<float>").withColumn("cell", F.lit(1))
+    got = rows(topk.top_k(df, F.col("vec_id") % 20 == 0, k=2), "query_id", "rank", "vec_id", "score")
+    assert got == [(0, 1, 1, 4096), (0, 2, 2, 4096)]                           # 20 has no partner of its length
+    assert topk.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+    assert topk.top_k(df.where("vec_id = 1"), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_warc_edges(spark, workdir):
+    pages = spark.createDataFrame(
+        [(1, "http://a/x?q", "same"), (2, "http://b", "same"), (2, "http://b", "same"), (3, None, None), (4, "http://c", ""),
+         (None, "http://d\r\nX: y", "WARC/1.1\r\nContent-Length: 3\r\n\r\n\r\n\r\nWARC/1.1"), (5, "u", "é" * 50_000)],
+        "page_id bigint, url string, html string").coalesce(1).withColumn("hash", F.lit(1))
+    warc.write_archives(pages, workdir + "/w", records_per_file=4)
+    got = warc.assemble(warc.read_records(spark, workdir + "/w")).collect()
+    assert len(got) == 7 and all(len(r.requests) == 1 and len(r.metadata) == 1 for r in got)
+    kinds = sorted((r.metadata[0].fields.strip(), r.type) for r in got)
+    assert kinds == [("", "response"), ("page-id: 1", "revisit"), ("page-id: 2", "response"), ("page-id: 2", "revisit"),
+                     ("page-id: 3", "revisit"), ("page-id: 4", "response"), ("page-id: 5", "response")]
+    payload = {r.metadata[0].fields.strip(): bytes(r.response.payload).decode() for r in got if r.response}
+    assert payload["page-id: 5"] == "é" * 50_000 and payload[""].endswith("WARC/1.1")
+    for r in got:
+        if r.response:
+            assert r.response.digest == brute.payload_digest(bytes(r.response.payload).decode()) == r.digest[5:]
+    warc.write_archives(pages, workdir + "/big", min_bytes=5)                  # small payloads all get a response
+    assert warc.read_records(spark, workdir + "/big").where("type = 'revisit'").count() == 0
+    warc.write_archives(pages.where("false"), workdir + "/none")
+    assert warc.assemble(warc.read_records(spark, workdir + "/none")).count() == 0
