@@ -58,14 +58,14 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "capture", "type", "digest", "refers_to", "response.bytes", F.col("response.digest").alias("computed"),
         F.size("requests").alias("n_requests"),
         F.regexp_extract(F.col("metadata")[0]["fields"], r"page-id: (-?\d+)", 1).try_cast("long").alias("page_id"))
-    # A revisit has no payload of its own: size and digest are those of the response it refers to.
+    # A revisit has no payload of its own: size and digest are those of the response it refers
+    # to (a response stands for itself, so no key gathers the rows that refer to nothing).
     originals = captures.where("type = 'response'").select(
-        F.col("capture").alias("refers_to"), F.col("page_id").alias("to_page"), F.col("bytes").alias("to_bytes"),
-        F.col("computed").alias("to_digest"))
-    return captures.join(originals, "refers_to", "left").select(
-        "page_id", F.coalesce("bytes", "to_bytes").alias("payload_bytes"),
-        F.coalesce("computed", "to_digest").alias("payload_digest"), F.col("type").alias("record_type"),
-        F.col("to_page").alias("refers_to"))
+        F.col("capture").alias("origin"), F.col("page_id").alias("to_page"), "bytes", "computed")
+    return captures.select("page_id", "type", F.coalesce("refers_to", "capture").alias("origin")).join(
+        originals, "origin", "left").select(
+        "page_id", F.col("bytes").alias("payload_bytes"), F.col("computed").alias("payload_digest"),
+        F.col("type").alias("record_type"), F.when(F.col("type") == "revisit", F.col("to_page")).alias("refers_to"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
