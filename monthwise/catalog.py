@@ -7,31 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthwise.params import DEFAULT, Params
+from monthwise.fixture import FIXTURE
+from monthwise.params import Params
 from monthwise.session import ensure_utc
 from monthwise.sources.registry import Sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_SOURCES: dict[tuple, Sources] = {}
-
-
-def registered_test_sources(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Sources:
-    """The raw sources of one test directory, registered once per session: the
-    adapter DataFrames are immutable lazy plans, so every query reuses them (as
-    views are defined once) instead of rebuilding the same expressions."""
-    key = (id(spark), sf_dir.rstrip("/"), p)
-    src = _SOURCES.get(key)
-    if src is None or src.spark is not spark:
-        src = _SOURCES[key] = Sources.from_test_tables(spark, sf_dir, p)
-    return src
-
-
-def _model(fn, p: Params = DEFAULT) -> Query:
+def _model(fn, p: Params = FIXTURE) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
-        return fn(registered_test_sources(spark, sf_dir, p), p)
+        return fn(Sources.from_test_tables(spark, sf_dir, p), p)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run
@@ -43,8 +30,8 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_events_dedup(spark, sf_dir)
 
 
-def queries(p: Params = DEFAULT) -> dict[str, Query]:
-    from monthwise.plans import accounts, growth, loads, mrr, periods, quality_suite as qs, reports, series, staging
+def queries(p: Params = FIXTURE) -> dict[str, Query]:
+    from monthwise.plans import accounts, build, growth, loads, mrr, periods, quality_suite as qs, reports, series, staging
 
     models = {
         # staging (M1-M4)
@@ -57,10 +44,13 @@ def queries(p: Params = DEFAULT) -> dict[str, Query]:
         "subscription_periods": periods.subscription_periods,
         "dim_accounts": accounts.dim_accounts,
         "fct_mrr": mrr.fct_mrr,
+        "fct_mrr_transfers": mrr.fct_mrr_transfers,
         "monthly_revenue": reports.monthly_revenue,
+        "monthly_revenue_corrected": reports.monthly_revenue_corrected,
         # movement classifier on order totals (M9)
         "movement_classify": series.movement_series,
         "movement_classify_corrected": series.movement_series_corrected,
+        "movement_waterfall": series.movement_waterfall,
         # data quality (Q1-Q11)
         "dq_unique": qs.dq_unique,
         "dq_not_null": qs.dq_not_null,
@@ -79,6 +69,9 @@ def queries(p: Params = DEFAULT) -> dict[str, Query]:
         "watermark_upsert": loads.watermark_upsert,
         "load_latest_by_key": loads.load_latest_by_key,
         "load_summary": loads.load_summary,
+        "loader_roundtrip": loads.loader_roundtrip,
+        # layered build
+        "build_monthly_revenue": build.build_monthly_revenue,
         # seed generators
         "seed_users": loads.seed_users,
         "seed_subscriptions": loads.seed_subscriptions,
@@ -86,10 +79,12 @@ def queries(p: Params = DEFAULT) -> dict[str, Query]:
         # declared-only growth models
         "nrr": growth.nrr,
         "cohort_retention": growth.cohort_retention,
+        "trial_conversions": growth.trial_conversions,
         "trial_funnel": growth.trial_funnel,
         "feature_adoption": growth.feature_adoption,
         "fct_subscriptions": growth.fct_subscriptions,
         "opportunity_stages": growth.opportunity_stages,
+        "opportunity_velocity": growth.opportunity_velocity,
         "scd2_snapshot": growth.scd2_snapshot,
         "scd2_incremental": growth.scd2_incremental,
         "sessions": growth.sessions,

@@ -1,19 +0,0 @@
-from monthwise.functions.scalar import (
-    SURROGATE_NULL,
-    cents_to_dollars,
-    epoch_to_ntz,
-    flag,
-    hours_between_boundaries,
-    month_of,
-    ntz_lit,
-    ntz_to_epoch,
-    surrogate_key,
-    to_money,
-)
-from monthwise.functions.spine import month_sequence, one_month, month_spine, months_between_whole
-
-__all__ = [
-    "SURROGATE_NULL", "cents_to_dollars", "epoch_to_ntz", "flag", "hours_between_boundaries",
-    "month_of", "ntz_lit", "ntz_to_epoch", "surrogate_key", "to_money", "month_spine", "months_between_whole",
-    "one_month", "month_sequence",
-]

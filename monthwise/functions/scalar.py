@@ -1,18 +1,12 @@
-"""Column helpers.  All are built-in Spark expressions (JVM side, code-generated);
-none is a Python UDF."""
+"""Types of money columns and the helpers that are easier as Column expressions; all
+others are SQL text in :mod:`monthwise.functions.sql`."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the public surrogate-key macro's output:
-# NULL inputs are replaced by this marker and parts are joined with '-'.
-SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
-SURROGATE_SEP = "-"
-
 MONEY = "decimal(18,6)"      # normalised money (MRR, ARR)
-DOLLARS = "decimal(18,2)"    # cents / 100
 TOTAL = "decimal(28,6)"      # sums of MONEY
 
 
@@ -22,63 +16,12 @@ def ntz_lit(ts) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{ts:%Y-%m-%d %H:%M:%S.%f}'")
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def cents_to_dollars(c) -> Column:
-    """``cents / 100.0`` as an exact DECIMAL(18,2)."""
-    return (_c(c).cast("decimal(20,0)") / F.lit(100)).cast(DOLLARS)
-
-
-def to_money(c) -> Column:
-    return _c(c).cast(MONEY)
-
-
-MICROS = 1_000_000
-
-
-def money_micros(c) -> Column:
-    """A MONEY (DECIMAL(18,6)) value as its exact unscaled long (micro-units).
-    Summing longs is several times cheaper than summing wide decimals; use it
-    where the sum of one group is bounded (per customer and month), then widen
-    with :func:`micros_sum_to_money` over the already-reduced rows."""
-    return (_c(c) * F.lit(MICROS)).cast("bigint")
-
-
-def micros_sum_to_money(c) -> Column:
-    """``sum`` of micro-unit longs as an exact DECIMAL(28,6), summed in DECIMAL
-    so large group totals cannot overflow."""
-    return (F.sum(_c(c).cast("decimal(20,0)")) / F.lit(MICROS)).cast(TOTAL)
-
-
-def epoch_to_ntz(c) -> Column:
-    """``to_timestamp(epoch)::timestamp_ntz``.  Needs session time zone UTC."""
-    return F.timestamp_seconds(_c(c)).cast("timestamp_ntz")
-
-
-def ntz_to_epoch(c) -> Column:
+def ntz_to_epoch(c: Column) -> Column:
     """Seconds since 1970-01-01 of a wall-clock (NTZ) timestamp, read as UTC."""
-    return F.unix_seconds(_c(c).cast("timestamp"))
-
+    return F.unix_seconds(c.cast("timestamp"))
 
-def month_of(c) -> Column:
-    """``date_trunc('month', ts)::date`` - a DATE (``trunc``), never a zoned timestamp."""
-    return F.trunc(_c(c).cast("date"), "month")
 
-
-def flag(pred: Column) -> Column:
-    """``case when pred then true else false end``: NULL becomes false."""
-    return F.coalesce(pred, F.lit(False))
-
-
-def hours_between_boundaries(start, end) -> Column:
+def hours_between_boundaries(start: Column, end: Column) -> Column:
     """``datediff('hour', start, end)`` as warehouses define it: the number of
     hour boundaries crossed (00:59 -> 02:01 is 2), not elapsed hours."""
     return (F.floor(ntz_to_epoch(end) / 3600) - F.floor(ntz_to_epoch(start) / 3600)).cast("bigint")
-
-
-def surrogate_key(*cols) -> Column:
-    """md5 of the string casts joined by '-', NULL replaced by a marker."""
-    parts = [F.coalesce(_c(c).cast("string"), F.lit(SURROGATE_NULL)) for c in cols]
-    return F.md5(F.concat_ws(SURROGATE_SEP, *parts))

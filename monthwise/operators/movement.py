@@ -37,7 +37,7 @@ def classify_sql(v: str, prior: str, mode: str = EXACT) -> str:
     return f"CASE {whens} ELSE '{RETAINED}' END"
 
 
-def movement_classify(df: DataFrame, key: list[str], period: str, value: str,
+def movement_classify(df: DataFrame, key: list[str], period: str | list[str], value: str,
                       prior_col: str = "prior_value", change_col: str = "value_change",
                       type_col: str = "movement", mode: str = EXACT,
                       change_type: str | None = None) -> DataFrame:
@@ -47,7 +47,7 @@ def movement_classify(df: DataFrame, key: list[str], period: str, value: str,
     ``lag`` is the previous *row*, not the previous calendar month (as in the
     reference).  The window needs ``df`` clustered by ``key``; callers that
     pre-partition on ``key`` (or a subset of it) avoid a shuffle here."""
-    w = Window.partitionBy(*key).orderBy(period)
+    w = Window.partitionBy(*key).orderBy(*([period] if isinstance(period, str) else period))
     out = df.withColumn(prior_col, F.lag(value).over(w))
     return add_movement(out, value, prior_col, change_col, type_col, mode, change_type)
 

@@ -10,10 +10,11 @@ number of versions before each bucket."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthwise.functions import sql as S
+from monthwise.sources.incremental import table_or_none
 
 
 def scd2_history(df: DataFrame, key: str, updated_at: str, tiebreak: str, attrs: list[str],
@@ -41,32 +42,79 @@ def scd2_history(df: DataFrame, key: str, updated_at: str, tiebreak: str, attrs:
     )
 
 
-def scd2_merge(snapshot: DataFrame, changes: DataFrame, key: str, updated_at: str, tiebreak: str,
-               attrs: list[str], bucket: str = "day") -> DataFrame:
-    """Incremental snapshot: apply a batch of source rows to an SCD2 table
-    produced by :func:`scd2_history` (same columns).
-
-    A change counts when it is newer, in (updated_at, tie-break) order, than its
-    key's current version (the timestamp strategy; older rows are ignored).  For
-    keys with such changes, the current version is re-ordered together with the
-    changes - closing it and opening the new versions, numbering continued from
-    it; every other row of the snapshot is kept as is.  Joins are on the key with
-    one current row per key, so a hot key in the changes only lengthens the
-    (skew-split) probe side; the re-ordering reuses the split ordered operator."""
-    cur = snapshot.where("is_current").selectExpr(
-        f"{key} AS __k", f"valid_from AS __cur_from", f"{tiebreak} AS __cur_tb", "version_number AS __cur_v")
-    c = changes.select(key, updated_at, tiebreak, *attrs).join(cur, F.expr(f"{key} = __k"), "left")
-    c = c.where(f"__cur_from IS NULL OR {updated_at} > __cur_from "
-                f"OR ({updated_at} = __cur_from AND {tiebreak} > __cur_tb)")
-    new_rows = c.select(key, updated_at, tiebreak, *attrs)
-    affected = new_rows.select(key).distinct()
-    reopen = (snapshot.where("is_current").join(affected, key, "left_semi")
-              .selectExpr(key, f"valid_from AS {updated_at}", tiebreak, *attrs))
-    offsets = cur.join(affected, F.expr(f"__k = {key}"), "left_semi").selectExpr(
-        f"__k AS {key}", "__cur_v - 1 AS __off")
-    h = scd2_history(reopen.unionByName(new_rows), key, updated_at, tiebreak, attrs, bucket)
-    h = (h.join(offsets, key, "left")
-          .withColumn("version_number", F.expr("version_number + coalesce(__off, 0)")).drop("__off"))
-    kept = snapshot.join(affected, key, "left_anti").unionByName(
-        snapshot.where("NOT is_current").join(affected, key, "left_semi"))
-    return kept.unionByName(h).select(*snapshot.columns)
+def scd2_apply(current: DataFrame, changes: DataFrame, key: str, updated_at: str, tiebreak: str,
+               attrs: list[str], bucket: str = "day") -> tuple[DataFrame, DataFrame]:
+    """What a batch of source rows does to the current versions (one row per key, columns
+    of :func:`scd2_history`): (closed, opened).
+
+    A change counts when it is newer, in (updated_at, tie-break) order, than its key's
+    current version (the timestamp strategy; older rows are ignored).  ``opened`` are the
+    versions it makes, numbered on from the current one; ``closed`` are the current
+    versions they end.  The join is on the key with one current row per key, so a hot
+    key in the changes only lengthens the (skew-split) probe side."""
+    cur = current.selectExpr(f"{key} AS __k", "valid_from AS __cur_from", f"{tiebreak} AS __cur_tb",
+                             "version_number AS __off")
+    new = changes.select(key, updated_at, tiebreak, *attrs).join(cur, F.expr(f"{key} = __k"), "left").where(
+        f"__cur_from IS NULL OR {updated_at} > __cur_from "
+        f"OR ({updated_at} = __cur_from AND {tiebreak} > __cur_tb)")
+    opened = scd2_history(new, key, updated_at, tiebreak, [*attrs, "__off"], bucket).withColumn(
+        "version_number", F.expr("version_number + coalesce(__off, 0)")).drop("__off")
+    first = new.groupBy(key).agg(F.expr(f"min({updated_at})").alias("__first"))
+    closed = current.join(first, key).withColumns({"valid_to": F.col("__first"), "is_current": F.lit(False)}).select(
+        *current.columns)
+    return closed, opened.select(*current.columns)
+
+
+class SnapshotTable:
+    """A stored SCD2 snapshot: closed versions are appended and never rewritten; the
+    current versions, one row per key, are replaced by each run.
+
+    Below ``root``: ``history/run=N`` (closed versions of run N), ``current/run=N``, and the
+    log ``runs`` to which a run is added once both are written; a run that was lost
+    half-way is not in it and is run again."""
+
+    def __init__(self, spark: SparkSession, root: str, key: str, updated_at: str, tiebreak: str, attrs: list[str],
+                 bucket: str = "day"):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.args = (key, updated_at, tiebreak, attrs, bucket)
+
+    def _part(self, kind: str, run: int) -> str:
+        return f"{self.root}/{kind}/run={run}"
+
+    def runs(self) -> int:
+        """Number of finished runs."""
+        log = table_or_none(self.spark, f"{self.root}/runs", "run int")
+        return 0 if log is None else log.agg(F.max("run")).first()[0] or 0
+
+    def merge(self, changes: DataFrame) -> None:
+        """The first run takes the history of ``changes``; later runs apply them."""
+        key, n = self.args[0], self.runs()
+        if n == 0:
+            versions = scd2_history(changes, *self.args)
+            closed, kept = None, None
+        else:
+            current = self.spark.read.parquet(self._part("current", n))
+            closed, versions = scd2_apply(current, changes, *self.args)
+            kept = current
+        # the new versions are written once, by state, and both parts read them there
+        made = f"{self.root}/versions/run={n + 1}"
+        versions.write.mode("overwrite").partitionBy("is_current").parquet(made)
+        made_rows = self.spark.read.parquet(made).withColumn(       # a partition column is read as text
+            "is_current", F.col("is_current").cast("boolean")).select(*versions.columns)
+        history = made_rows.where("NOT is_current")
+        if closed is not None:
+            history = history.unionByName(closed)
+        history.write.mode("overwrite").parquet(self._part("history", n + 1))
+        opened = made_rows.where("is_current")
+        if kept is not None:
+            opened = opened.unionByName(kept.join(opened.select(key), key, "left_anti").select(*opened.columns))
+        opened.write.mode("overwrite").parquet(self._part("current", n + 1))
+        self.spark.createDataFrame([(n + 1,)], "run int").coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+
+    def read(self) -> DataFrame:
+        n = self.runs()
+        if n == 0:
+            raise FileNotFoundError(f"no snapshot below {self.root}")
+        out = self.spark.read.parquet(self._part("current", n))
+        closed = self.spark.read.parquet(*[self._part("history", i + 1) for i in range(n)])
+        return out.unionByName(closed.select(*out.columns))

@@ -1,14 +1,12 @@
 """Sessions from events (gap-based), split so that a hot user never lands in
 one task.
 
-A plain ``session_window`` or ``lag`` over ``partition by user`` sends all of a
-user's events to one task.  Here events are first sessionised inside
-(user, time bucket) groups, then the per-bucket summaries (a few rows per bucket)
-are stitched per user: the first session of a bucket continues the previous
-bucket's last session when the gap is within the limit.  Session numbers come
-from running sums over those summaries, and the final per-session aggregation is
-combined map-side.  Result: identical sessions, with the per-user ordered work
-bounded by the number of buckets, not by the number of events."""
+Events of one user within a time slice no longer than the gap belong to one session,
+whatever lies between them.  So events are first aggregated per (user, slice) - combined
+map-side, a hot user leaves each task as one row per slice - and only slices are
+ordered per user: a slice opens a session when its first event comes more than the gap
+after the last event of the slice before it.  The per-user ordered work is bounded by
+the calendar (one row per slice), not by the number of events."""
 
 from __future__ import annotations
 
@@ -19,42 +17,37 @@ from monthwise.functions import sql as S
 from monthwise.params import Params
 
 
-def sessionize(events: DataFrame, user: str, ts: str, gap_seconds: int, bucket: str = "hour",
-               extra_aggs: list | None = None) -> DataFrame:
+def sessionize(events: DataFrame, user: str, ts: str, gap_seconds: int,
+               extra: dict[str, tuple[str, str]] | None = None) -> DataFrame:
     """One row per (user, session): ``session_index`` (0-based per user),
-    ``started_at``, ``ended_at``, ``events_count`` (+ extra aggregates).  A new
-    session starts after a gap of more than ``gap_seconds`` (compared in
-    microseconds)."""
+    ``started_at``, ``ended_at``, ``events_count`` and the ``extra`` aggregates, given as
+    name -> (SQL aggregate over events, SQL function that merges it).  A new session
+    starts after a gap of more than ``gap_seconds`` (compared in microseconds)."""
+    extra = extra or {}
     gap = gap_seconds * 1_000_000
-    e = events.where(f"{user} IS NOT NULL AND {ts} IS NOT NULL").selectExpr(
-        "*", f"CAST(date_trunc('{bucket}', {ts}) AS TIMESTAMP_NTZ) AS __b",
-        f"unix_micros(CAST({ts} AS TIMESTAMP)) AS __t")
-    # 1. local sessions inside (user, bucket)
-    wb = f"PARTITION BY {user}, __b ORDER BY __t"
-    e = e.withColumn("__new", F.expr(f"coalesce(__t - lag(__t) OVER ({wb}) > {gap}, true)"))
-    e = e.withColumn("__local", F.expr(
-        f"sum(CAST(__new AS INT)) OVER ({wb} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1"))
-    # 2. bucket summaries, stitched per user (bounded by the number of buckets)
-    s = e.groupBy(user, "__b").agg(F.expr("min(__t)").alias("__first"), F.expr("max(__t)").alias("__last"),
-                                   F.expr("max(__local)").alias("__nloc"))
-    wu = f"PARTITION BY {user} ORDER BY __b"
-    s = s.withColumn("__cont", F.expr(f"CAST(coalesce(__first - lag(__last) OVER ({wu}) <= {gap}, false) AS INT)"))
-    run = f"{wu} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    # sessions opened by earlier buckets minus merges up to and including this one
-    s = s.withColumn("__base", F.expr(f"sum(__nloc + 1) OVER ({run}) - (__nloc + 1) - sum(__cont) OVER ({run})"))
-    # 3. session id per event, aggregated (map-side combined)
-    j = e.join(s.select(user, "__b", "__base"), [user, "__b"])
-    j = j.withColumn("session_index", F.expr("CAST(__base + __local AS BIGINT)"))
-    aggs = [F.expr(f"min({ts})").alias("started_at"), F.expr(f"max({ts})").alias("ended_at"),
-            F.expr("count(1)").alias("events_count")] + list(extra_aggs or [])
-    return j.groupBy(user, "session_index").agg(*aggs)
+    micros = f"unix_micros(CAST({ts} AS TIMESTAMP))"
+    slices = (
+        events.where(f"{user} IS NOT NULL AND {ts} IS NOT NULL")
+        .groupBy(user, F.expr(f"{micros} div {max(gap, 1)}").alias("__slice"), F.expr(f"{micros} < 0").alias("__old"))
+        .agg(F.expr(f"min({ts})").alias("__first"), F.expr(f"max({ts})").alias("__last"),
+             F.expr("count(1)").alias("__n"), *[F.expr(one).alias(f"__{name}") for name, (one, _) in extra.items()]))
+    by_time = f"PARTITION BY {user} ORDER BY __first"
+    gap_before = (f"unix_micros(CAST(__first AS TIMESTAMP)) - lag(unix_micros(CAST(__last AS TIMESTAMP))) "
+                  f"OVER ({by_time})")
+    slices = slices.withColumn("__new", F.expr(f"CAST(coalesce({gap_before} > {gap}, true) AS INT)"))
+    slices = slices.withColumn("session_index", F.expr(
+        f"CAST(sum(__new) OVER ({by_time} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS BIGINT)"))
+    return slices.groupBy(user, "session_index").agg(
+        F.expr("min(__first)").alias("started_at"), F.expr("max(__last)").alias("ended_at"),
+        F.expr("sum(__n)").alias("events_count"),
+        *[F.expr(f"{merge}(__{name})").alias(name) for name, (_, merge) in extra.items()])
 
 
 def app_sessions(events: DataFrame, p: Params) -> DataFrame:
     """The ``app_db.sessions`` table: sessions of the app events (30-minute gap)."""
-    s = sessionize(events, "user_id", "occurred_at", p.session_gap_minutes * 60, p.split_bucket,
-                   [F.expr("count(CASE WHEN event_name = 'view' THEN 1 END)").alias("page_views"),
-                    F.expr("max(_loaded_at)").alias("_loaded_at")])
+    s = sessionize(events, "user_id", "occurred_at", p.session_gap_minutes * 60, {
+        "page_views": ("count(CASE WHEN event_name = 'view' THEN 1 END)", "sum"),
+        "_loaded_at": ("max(_loaded_at)", "max")})
     return s.selectExpr(
         f"substring({S.surrogate_key('user_id', 'started_at')}, 1, 32) AS session_id",
         "user_id", "started_at", "ended_at", "page_views", "events_count", "_loaded_at", "session_index")

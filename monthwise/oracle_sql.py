@@ -8,7 +8,8 @@ ordered operators) rather than repeating them."""
 
 from __future__ import annotations
 
-from monthwise.params import DEFAULT, Params
+from monthwise.fixture import FIXTURE
+from monthwise.params import CORRECTED, Params
 from monthwise.sources import adapters as A
 
 
@@ -24,9 +25,10 @@ def _d(x) -> str:
     return f"DATE '{x:%Y-%m-%d}'"
 
 
-def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
+def ctes(p: Params = FIXTURE) -> dict[str, tuple[str, list[str]]]:
     """name -> (body, dependencies)."""
     as_of = _ts(p.as_of)
+    corrected = p.mode == CORRECTED
     ep = "date_diff('second', TIMESTAMP '1970-01-01 00:00:00', {})"
     c = {}
     c["raw_stripe_subscriptions"] = (f"""
@@ -39,7 +41,7 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
            '{{"plan_type":"' || {_arr(A.PLAN_TYPES)}[o_orderkey % 4 + 1]
              || '","billing_cycle":"' || {_arr(A.CYCLES)}[o_orderkey % 3 + 1] || '"'
              || CASE WHEN o_orderkey % 13 = 0 THEN ''
-                     ELSE ',"acquisition_channel":"' || {_arr(A.CHANNELS)}[o_orderkey % 4 + 1] || '"' END
+                     ELSE ',"acquisition_channel":"' || {_arr(A.SIGNUP_SOURCES)}[o_orderkey % 4 + 1] || '"' END
              || '}}' AS metadata,
            CAST(CASE WHEN o_orderkey % 20 = 0 THEN 0 ELSE {_arr(A.PRICES_CENTS)}[o_orderkey % 4 + 1] END AS BIGINT) AS plan_amount,
            {ep.format('o_orderdate')} AS created,
@@ -96,7 +98,7 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
            CASE WHEN c_custkey % 5 = 0 THEN 'admin' ELSE 'member' END AS role,
            CASE WHEN c_custkey % 20 = 0 THEN 'deactivated' WHEN c_custkey % 20 = 1 THEN 'invited'
                 ELSE 'active' END AS status,
-           {_arr(A.CHANNELS)}[c_custkey % 4 + 1] AS signup_source,
+           {_arr(A.SIGNUP_SOURCES)}[c_custkey % 4 + 1] AS signup_source,
            CAST(NULL AS VARCHAR) AS referral_code,
            TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(c_custkey % 700 AS INTEGER)) AS created_at,
            TIMESTAMP '1995-01-01 00:00:00' + to_days(CAST(c_custkey % 700 AS INTEGER))
@@ -118,13 +120,27 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
     c["raw_stripe_customers"] = ("SELECT 'cus_' || c_custkey AS id FROM customer", [])
     c["raw_stripe_charges"] = ("SELECT 'ch_' || o_orderkey AS id FROM orders", [])
     c["raw_salesforce_contact"] = ("SELECT '003' || c_custkey AS id FROM customer", [])
-    c["raw_app_subscriptions"] = ("SELECT o_orderkey AS id FROM orders", [])
+    c["raw_app_subscriptions"] = (f"""
+    SELECT *, coalesce(canceled_at, started_at) AS updated_at,
+           {as_of} - to_hours({A.APP_LOAD_LAG_H}) AS _loaded_at FROM (
+      SELECT o_orderkey AS id, o_custkey AS user_id, o_custkey // 4 + 1 AS organization_id,
+             'sub_' || o_orderkey AS stripe_sub_id, {_arr(A.PLAN_NAMES)}[o_orderkey % 4 + 1] AS plan_name,
+             CASE WHEN o_orderkey % 3 = 0 THEN 'annual' ELSE 'monthly' END AS plan_type,
+             CASE WHEN o_orderstatus = 'F' THEN 'canceled' ELSE 'active' END AS status,
+             CASE WHEN o_orderkey % 20 = 0 THEN 0 ELSE {_arr(A.PRICES_CENTS)}[o_orderkey % 4 + 1] END AS amount_cents,
+             o_orderdate AS started_at,
+             CASE WHEN o_orderstatus = 'F' THEN o_orderdate + to_days(CAST((o_orderkey * 37) % 900 AS INTEGER)) END
+               AS canceled_at
+      FROM orders)""", [])
     c["app_sessions"] = ("""
+    SELECT user_id, session_index, started_at, ended_at, events_count FROM app_sessions_wide""", ["app_sessions_wide"])
+    c["app_sessions_wide"] = ("""
     SELECT user_id, session_index, min(occurred_at) AS started_at, max(occurred_at) AS ended_at,
-           count(*) AS events_count
+           count(*) AS events_count, count(*) FILTER (WHERE event_name = 'view') AS page_views,
+           max(_loaded_at) AS _loaded_at
     FROM (SELECT *, CAST(sum(is_new) OVER (PARTITION BY user_id ORDER BY occurred_at
                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS BIGINT) AS session_index
-          FROM (SELECT user_id, occurred_at,
+          FROM (SELECT user_id, occurred_at, event_name, _loaded_at,
                        CASE WHEN occurred_at - lag(occurred_at) OVER (PARTITION BY user_id ORDER BY occurred_at)
                                  <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS is_new
                 FROM raw_app_events WHERE user_id IS NOT NULL AND occurred_at IS NOT NULL))
@@ -132,8 +148,8 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
     c["raw_app_sessions"] = ("""
     SELECT md5(coalesce(CAST(user_id AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
                coalesce(CAST(started_at AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS session_id,
-           user_id, started_at, ended_at, events_count
-    FROM app_sessions""", ["app_sessions"])
+           user_id, started_at, ended_at, page_views, events_count, _loaded_at
+    FROM app_sessions_wide""", ["app_sessions_wide"])
     c["raw_salesforce_opportunity"] = (f"""
     SELECT 'op_' || o_orderkey AS id, 'a_' || o_custkey AS accountid,
            {_arr(A.OPPORTUNITY_STAGES)}[o_orderkey % 6 + 1] AS stage_name,
@@ -175,12 +191,13 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
            paid AS is_paid, attempted AS is_attempted, forgiven AS is_forgiven,
            _fivetran_synced AS _fivetran_synced_at
     FROM raw_stripe_invoices WHERE _fivetran_deleted = false""", ["raw_stripe_invoices"])
-    c["stg_accounts"] = ("""
+    unknown = "WHEN numberofemployees IS NULL THEN 'Unknown'" if corrected else ""
+    c["stg_accounts"] = (f"""
     SELECT id AS account_id, stripe_customer_id__c AS stripe_customer_id, name AS account_name,
            type AS account_type, industry, numberofemployees AS employee_count,
            annualrevenue AS annual_revenue_dollars,
            CASE WHEN numberofemployees < 10 THEN 'SMB' WHEN numberofemployees < 200 THEN 'Mid-Market'
-                WHEN numberofemployees < 1000 THEN 'Enterprise' ELSE 'Strategic' END AS account_segment,
+                WHEN numberofemployees < 1000 THEN 'Enterprise' {unknown} ELSE 'Strategic' END AS account_segment,
            billingcountry AS billing_country, billingstate AS billing_state, ownerid AS account_owner_id,
            createddate AS created_at, lastmodifieddate AS updated_at,
            _fivetran_synced AS _fivetran_synced_at, isdeleted
@@ -199,21 +216,25 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
     c["months"] = (f"""
     SELECT CAST(g AS DATE) AS month_start
     FROM generate_series({_ts(p.spine_start)}, {_ts(p.spine_end)}, INTERVAL 1 MONTH) t(g)""", [])
+    # corrected mode: months start at the creation, and a zero row marks the cancel month
+    start = "created_at" if corrected else "period_start_at"
+    churned = ("WHEN CAST(date_trunc('month', s.canceled_at) AS DATE) = m.month_start THEN 0" if corrected else "")
+    upto = "<=" if corrected else "<"
     c["subscription_periods"] = (f"""
     SELECT s.subscription_id, s.customer_id, s.plan_id, m.month_start, s.plan_type, s.billing_cycle,
            s.subscription_status,
-           CAST(CASE WHEN s.billing_cycle = 'annual' THEN s.plan_amount_dollars / 12.0
+           CAST(CASE {churned} WHEN s.billing_cycle = 'annual' THEN s.plan_amount_dollars / 12.0
                      WHEN s.billing_cycle = 'monthly' THEN s.plan_amount_dollars
                      ELSE s.plan_amount_dollars END AS DECIMAL(18,6)) AS mrr,
-           CASE WHEN CAST(date_trunc('month', s.period_start_at) AS DATE) = m.month_start
+           CASE WHEN CAST(date_trunc('month', s.{start}) AS DATE) = m.month_start
                 THEN true ELSE false END AS is_first_month,
            CASE WHEN s.canceled_at IS NOT NULL AND CAST(date_trunc('month', s.canceled_at) AS DATE) = m.month_start
                 THEN true ELSE false END AS is_churn_month,
            s.period_start_at, s.canceled_at, s.trial_start_at, s.trial_end_at
     FROM stg_subscriptions s
     JOIN months m
-      ON m.month_start >= CAST(date_trunc('month', s.period_start_at) AS DATE)
-     AND m.month_start < coalesce(CAST(date_trunc('month', s.canceled_at) AS DATE), {_d(p.open_end)})
+      ON m.month_start >= CAST(date_trunc('month', s.{start}) AS DATE)
+     AND m.month_start {upto} coalesce(CAST(date_trunc('month', s.canceled_at) AS DATE), {_d(p.open_end)})
     WHERE s.plan_amount_dollars > 0""", ["stg_subscriptions", "months"])
     c["app_users_rollup"] = ("""
     SELECT organization_id, min(created_at) AS first_user_created_at,
@@ -233,6 +254,16 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
     SELECT p.*, lag(p.mrr) OVER (PARTITION BY p.subscription_id ORDER BY p.month_start) AS prior_month_mrr
     FROM subscription_periods p""", ["subscription_periods"])
     c["mrr_movements"] = ("""
+    SELECT * FROM (
+    SELECT *, CAST(mrr - coalesce(prior_month_mrr, 0) AS DECIMAL(18,6)) AS mrr_change,
+           CASE WHEN prior_month_mrr IS NULL AND mrr > 0 THEN 'new'
+                WHEN prior_month_mrr IS NULL OR (prior_month_mrr = 0 AND mrr = 0) THEN 'inactive'
+                WHEN prior_month_mrr = 0 AND mrr > 0 THEN 'reactivation'
+                WHEN mrr > prior_month_mrr THEN 'expansion'
+                WHEN mrr = 0 AND prior_month_mrr > 0 THEN 'churn'
+                WHEN mrr < prior_month_mrr THEN 'contraction'
+                ELSE 'retained' END AS mrr_type
+    FROM mrr_with_lag) WHERE mrr_type <> 'inactive'""" if corrected else """
     SELECT *, CAST(mrr - coalesce(prior_month_mrr, 0) AS DECIMAL(18,6)) AS mrr_change,
            CASE WHEN prior_month_mrr IS NULL OR prior_month_mrr = 0 THEN 'new'
                 WHEN mrr > prior_month_mrr THEN 'expansion'
@@ -241,11 +272,12 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
                 WHEN prior_month_mrr = 0 AND mrr > 0 THEN 'reactivation'
                 ELSE 'retained' END AS mrr_type
     FROM mrr_with_lag""", ["mrr_with_lag"])
-    c["fct_mrr"] = ("""
+    segment = "coalesce(a.account_segment, 'Unassigned') AS account_segment" if corrected else "a.account_segment"
+    c["fct_mrr"] = (f"""
     SELECT md5(coalesce(CAST(m.subscription_id AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
                coalesce(CAST(m.month_start AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS mrr_id,
            m.month_start, m.subscription_id, m.customer_id, m.plan_id, m.plan_type, m.billing_cycle,
-           m.subscription_status, a.account_id, a.account_name, a.account_segment, a.industry,
+           m.subscription_status, a.account_id, a.account_name, {segment}, a.industry,
            a.billing_country, m.mrr, m.prior_month_mrr, m.mrr_change, m.mrr_type,
            m.is_first_month, m.is_churn_month, CAST(m.mrr * 12 AS DECIMAL(18,6)) AS arr
     FROM mrr_movements m LEFT JOIN dim_accounts a ON m.customer_id = a.stripe_customer_id""",
@@ -275,7 +307,7 @@ def ctes(p: Params = DEFAULT) -> dict[str, tuple[str, list[str]]]:
     return c
 
 
-def with_ctes(final: str, needs: list[str], p: Params = DEFAULT) -> str:
+def with_ctes(final: str, needs: list[str], p: Params = FIXTURE) -> str:
     """Prefix ``final`` with the CTEs it needs, dependencies first."""
     defs = ctes(p)
     order: list[str] = []
@@ -295,7 +327,7 @@ def with_ctes(final: str, needs: list[str], p: Params = DEFAULT) -> str:
     return f"WITH {body}\n{final}"
 
 
-def oracle_sql(p: Params = DEFAULT) -> dict[str, str]:
+def oracle_sql(p: Params = FIXTURE) -> dict[str, str]:
     q: dict[str, str] = {}
     q["stg_subscriptions"] = with_ctes("SELECT * FROM stg_subscriptions", ["stg_subscriptions"], p)
     q["stg_invoices"] = with_ctes("SELECT * FROM stg_invoices", ["stg_invoices"], p)
@@ -306,9 +338,17 @@ def oracle_sql(p: Params = DEFAULT) -> dict[str, str]:
     q["fct_mrr"] = with_ctes("SELECT * FROM fct_mrr", ["fct_mrr"], p)
     q["monthly_revenue"] = with_ctes(
         "SELECT * FROM monthly_revenue ORDER BY month_start DESC, account_segment", ["monthly_revenue"], p)
+    fixed = p.with_(mode=CORRECTED)
+    q["monthly_revenue_corrected"] = with_ctes("SELECT * FROM monthly_revenue", ["monthly_revenue"], fixed)
+    q["build_monthly_revenue"] = q["monthly_revenue"]
+    # two orders share a subscription id, mostly with different customers
+    q["fct_mrr_transfers"] = q["fct_mrr"].replace("'sub_' || o_orderkey AS id", "'sub_' || (o_orderkey // 2) AS id", 1).replace(
+        "PARTITION BY p.subscription_id ORDER BY p.month_start",
+        "PARTITION BY p.subscription_id ORDER BY p.month_start, p.customer_id, p.period_start_at")
     q["date_spine"] = with_ctes(f"""
     SELECT CAST(g AS DATE) AS month_start
-    FROM (SELECT min(CAST(date_trunc('month', period_start_at) AS DATE)) AS lo FROM stg_subscriptions) b,
+    FROM (SELECT greatest(min(CAST(date_trunc('month', period_start_at) AS DATE)), {_d(p.spine_start)}) AS lo
+          FROM stg_subscriptions) b,
          generate_series(CAST(b.lo AS TIMESTAMP), {_ts(p.spine_end)}, INTERVAL 1 MONTH) t(g)""",
                                 ["stg_subscriptions"], p)
     q.update(_movement_sql(p))
@@ -325,20 +365,21 @@ def _ratio(num: str, den: str) -> str:
 
 # ------------------------------------------------------------------- movement
 def _movement_sql(p: Params) -> dict[str, str]:
-    end = _ts(p.series_end)
+    end = _ts(p.spine_end)
     base = f"""
     WITH monthly AS (
         SELECT o_custkey AS customer_key, CAST(date_trunc('month', o_orderdate) AS DATE) AS m,
                sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
-        FROM orders WHERE o_orderdate < {end} + INTERVAL 1 MONTH GROUP BY 1, 2),
-    firsts AS (SELECT customer_key, min(m) AS first_m FROM monthly GROUP BY 1),
+        FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2),
+    firsts AS (SELECT customer_key, min(m) AS first_m, greatest(max(m), CAST({end} AS DATE)) AS last_m
+               FROM monthly GROUP BY 1),
     calendar AS (SELECT CAST(g AS DATE) AS month_start
-                 FROM generate_series((SELECT CAST(min(first_m) AS TIMESTAMP) FROM firsts), {end},
-                                      INTERVAL 1 MONTH) t(g)),
+                 FROM generate_series((SELECT CAST(min(first_m) AS TIMESTAMP) FROM firsts),
+                                      (SELECT CAST(max(last_m) AS TIMESTAMP) FROM firsts), INTERVAL 1 MONTH) t(g)),
     series AS (
         SELECT f.customer_key, c.month_start, CAST(coalesce(mo.cents, 0) AS BIGINT) AS order_cents
-        FROM firsts f JOIN calendar c ON c.month_start >= f.first_m
-        LEFT JOIN monthly mo ON mo.customer_key = f.customer_key AND mo.m = c.month_start),
+        FROM firsts f JOIN calendar c ON c.month_start BETWEEN f.first_m AND f.last_m
+        LEFT JOIN monthly mo ON mo.customer_key IS NOT DISTINCT FROM f.customer_key AND mo.m = c.month_start),
     lagged AS (SELECT *, lag(order_cents) OVER (PARTITION BY customer_key ORDER BY month_start) AS prior_cents
                FROM series)"""
     exact = f"""{base}
@@ -363,7 +404,18 @@ def _movement_sql(p: Params) -> dict[str, str]:
                 WHEN order_cents < prior_cents THEN 'contraction'
                 ELSE 'retained' END AS movement
     FROM lagged) WHERE movement <> 'inactive'"""
-    return {"movement_classify": exact, "movement_classify_corrected": corrected}
+    waterfall = f"""
+    SELECT month_start, CAST(sum(order_cents) AS BIGINT) AS total_cents,
+           CAST(sum(CASE WHEN movement = 'new' THEN order_cents ELSE 0 END) AS BIGINT) AS new_cents,
+           CAST(sum(CASE WHEN movement = 'expansion' THEN cents_change ELSE 0 END) AS BIGINT) AS expansion_cents,
+           CAST(sum(CASE WHEN movement = 'contraction' THEN cents_change ELSE 0 END) AS BIGINT) AS contraction_cents,
+           CAST(sum(CASE WHEN movement = 'churn' THEN prior_cents ELSE 0 END) AS BIGINT) AS churned_cents,
+           CAST(sum(CASE WHEN movement = 'reactivation' THEN order_cents ELSE 0 END) AS BIGINT) AS reactivation_cents,
+           count(DISTINCT CASE WHEN order_cents > 0 THEN customer_key END) AS active_customers,
+           count(DISTINCT CASE WHEN movement = 'new' THEN customer_key END) AS new_customers,
+           count(DISTINCT CASE WHEN movement = 'churn' THEN customer_key END) AS churned_customers
+    FROM ({corrected}) GROUP BY 1"""
+    return {"movement_classify": exact, "movement_classify_corrected": corrected, "movement_waterfall": waterfall}
 
 
 # -------------------------------------------------------------------- quality
@@ -444,7 +496,7 @@ def _quality_sql(p: Params) -> dict[str, str]:
         return f"(SELECT max({expr}) FROM {base})", []
 
     def clock(system, table):
-        return p.events_as_of if (system, table) in {("app_db", "events"), ("app_db", "sessions")} else p.as_of
+        return p.clock(system, table)
 
     rows, needs = [], set()
     for system, (_, warn_h, err_h, tables) in QS.FRESHNESS.items():
@@ -480,10 +532,15 @@ def _quality_sql(p: Params) -> dict[str, str]:
                  f"count(*) = 0 AS is_empty_batch FROM {src_sql}" for c in cols]
         return "\n    UNION ALL ".join(parts)
     batch = (f"(SELECT event_id, user_id, session_id, event_name, event_properties, occurred_at, "
-             f"{_ts(p.events_as_of)} AS _loaded_at FROM raw_app_events WHERE occurred_at > {_ts(p.events_mark)})")
-    q["all_null_columns"] = with_ctes(profile("events", batch, ev_cols) + "\n    UNION ALL "
-                                      + profile("users", "raw_app_users", user_cols),
-                                      ["raw_app_events", "raw_app_users"], p)
+             f"{_ts(p.clock("app_db", "events"))} AS _loaded_at FROM raw_app_events WHERE occurred_at > {_ts(p.events_mark)})")
+    sub_cols = ["id", "user_id", "organization_id", "stripe_sub_id", "plan_name", "plan_type", "status",
+                "amount_cents", "started_at", "canceled_at", "updated_at", "_loaded_at"]
+    session_cols = ["session_id", "user_id", "started_at", "ended_at", "page_views", "events_count", "_loaded_at"]
+    q["all_null_columns"] = with_ctes(
+        "\n    UNION ALL ".join([profile("events", batch, ev_cols), profile("users", "raw_app_users", user_cols),
+                                 profile("subscriptions", "raw_app_subscriptions", sub_cols),
+                                 profile("sessions", "raw_app_sessions", session_cols)]),
+        ["raw_app_events", "raw_app_users", "raw_app_subscriptions", "raw_app_sessions"], p)
     q["row_counts"] = with_ctes("""
     SELECT 'users' AS tbl, count(*) AS row_count FROM raw_app_users
     UNION ALL SELECT 'subscriptions', count(*) FROM raw_app_subscriptions
@@ -495,7 +552,7 @@ def _quality_sql(p: Params) -> dict[str, str]:
 # ---------------------------------------------------------------------- loads
 def _load_sql(p: Params) -> dict[str, str]:
     q = {}
-    mark, ev_now, now = _ts(p.events_mark), _ts(p.events_as_of), _ts(p.as_of)
+    mark, ev_now, now = _ts(p.events_mark), _ts(p.clock("app_db", "events")), _ts(p.as_of)
     q["incremental_extract"] = with_ctes(f"""
     SELECT event_id AS "EVENT_ID", user_id AS "USER_ID", session_id AS "SESSION_ID", event_name AS "EVENT_NAME",
            event_properties AS "EVENT_PROPERTIES", occurred_at AS "OCCURRED_AT", {ev_now} AS "_LOADED_AT"
@@ -508,8 +565,26 @@ def _load_sql(p: Params) -> dict[str, str]:
     }
     needs = ["raw_app_users", "raw_app_subscriptions", "raw_app_events", "app_sessions"]
     q["load_summary"] = with_ctes("\n    UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, 'success' AS status, {c} AS rows_loaded, CAST(NULL AS VARCHAR) AS error"
+        f"SELECT '{t}' AS table_name, CASE WHEN {c} = 0 THEN 'empty' ELSE 'success' END AS status, {c} AS rows_loaded, CAST(NULL AS VARCHAR) AS error"
         for t, (c, _) in counts.items()), needs, p)
+    # both runs of the loader; the second reads strictly past the first one's clock
+    upto = f"(SELECT count(*) FROM raw_app_events WHERE occurred_at <= {mark})"
+    past = {"users": ("raw_app_users", "updated_at", now), "subscriptions": ("raw_app_subscriptions", "updated_at", now),
+            "events": ("raw_app_events", "occurred_at", mark), "sessions": ("raw_app_sessions", "ended_at", ev_now)}
+    nulls = {"users": "REFERRAL_CODE", "subscriptions": "", "events": "SESSION_ID", "sessions": ""}
+    runs = []
+    for t, (view, col, clk) in past.items():
+        one = upto if t == "events" else f"(SELECT count(*) FROM {view})"
+        two = f"(SELECT count(*) FROM {view} WHERE {col} > {clk})"
+        runs.append(f"SELECT 1 AS run, '{t}' AS table_name, 'success' AS status, {one} AS rows_loaded, "
+                    f"'{nulls[t]}' AS all_null_columns, false AS has_error, {one} AS raw_rows")
+        if t == "users":
+            runs.append(f"SELECT 2, '{t}', 'failed', NULL, NULL, true, {one}")
+        else:
+            runs.append(f"SELECT 2, '{t}', CASE WHEN {two} = 0 THEN 'empty' ELSE 'success' END, {two}, "
+                        f"CASE WHEN {two} = 0 THEN '' ELSE '{nulls[t]}' END, false, {one} + {two}")
+    q["loader_roundtrip"] = with_ctes("\n    UNION ALL ".join(runs),
+                                      [v for v, _, _ in past.values()], p)
     ups = "\n        UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {clk} AS last_extracted, {c} AS rows_extracted, {clk} AS updated_at"
         for t, (c, clk) in counts.items())
@@ -540,7 +615,7 @@ def _seed_sql(p: Params) -> dict[str, str]:
     now = _ts(p.as_of)
 
     def frac(salt):
-        return f"(CAST(((i + {salt}) * {S.HASH_MULT}) % {S.HASH_MOD} AS DOUBLE) / {S.HASH_MOD})"
+        return f"(CAST(('0x' || substr(md5(i || '|{salt}'), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
 
     def before(salt, days):
         return f"{now} - to_seconds(CAST(floor({frac(salt)} * {days} * 86400) AS BIGINT))"
@@ -570,9 +645,9 @@ def _seed_sql(p: Params) -> dict[str, str]:
            CASE WHEN i % 3 = 0 THEN 'annual' ELSE 'monthly' END AS plan_type,
            CASE WHEN i % 15 = 0 THEN 'canceled' ELSE 'active' END AS status,
            CAST({pick(S.PRICES_CENTS)} AS BIGINT) AS amount_cents, {before(5, 600)} AS started_at
-    FROM (SELECT c_custkey // {S.USERS_PER_ORG} + 1 AS i FROM customer WHERE c_custkey % {S.USERS_PER_ORG} = 0)"""
+    FROM (SELECT DISTINCT CAST(ceil((c_custkey + 1) / {S.USERS_PER_ORG}) AS BIGINT) AS i FROM customer)"""
     q["seed_events"] = f"""
-    SELECT {uuid_like('e')} AS event_id, CAST(i % {S.SEED_USERS} + 1 AS BIGINT) AS user_id,
+    SELECT {uuid_like('e')} AS event_id, CAST(i % (SELECT max(c_custkey) + 1 FROM customer) + 1 AS BIGINT) AS user_id,
            {uuid_like('s')} AS session_id, {pick(S.EVENT_NAMES)} AS event_name,
            '{{"source": "web", "feature": "' || {pick(S.FEATURES)} || '"}}' AS event_properties,
            {before(6, 90)} AS occurred_at
@@ -615,6 +690,26 @@ def _growth_sql(p: Params) -> dict[str, str]:
                             AND (canceled_at IS NULL OR canceled_at > trial_end_at)) AS trials_converted,
            count(*) FILTER (WHERE is_in_trial) AS in_trial
     FROM stg_subscriptions WHERE trial_start_at IS NOT NULL GROUP BY 1, 2)""", ["stg_subscriptions"], p)
+    q["trial_conversions"] = with_ctes(f"""
+    SELECT subscription_id, customer_id, plan_id, acquisition_channel, trial_start_at, trial_end_at,
+           CAST(date_trunc('month', trial_start_at) AS DATE) AS month_start, is_in_trial,
+           coalesce(trial_end_at <= {now}, false) AS has_ended,
+           CASE WHEN trial_end_at > {now} OR trial_end_at IS NULL THEN 'open'
+                WHEN plan_amount_dollars > 0 AND (canceled_at IS NULL OR canceled_at > trial_end_at) THEN 'converted'
+                ELSE 'lost' END AS outcome,
+           CASE WHEN trial_end_at <= {now} AND plan_amount_dollars > 0
+                     AND (canceled_at IS NULL OR canceled_at > trial_end_at) THEN trial_end_at END AS converted_at,
+           date_diff('day', trial_start_at, trial_end_at) AS trial_days
+    FROM stg_subscriptions WHERE trial_start_at IS NOT NULL""", ["stg_subscriptions"], p)
+    q["opportunity_velocity"] = with_ctes(f"""
+    SELECT *, {_ratio('total_days', 'closed_count')} AS average_days,
+           {_ratio('closed_amount', 'total_days')} AS amount_per_day FROM (
+      SELECT CAST(date_trunc('month', createddate) AS DATE) AS month_start, stage_name, count(*) AS closed_count,
+             CAST(sum(date_diff('day', createddate, closedate)) AS BIGINT) AS total_days,
+             max(date_diff('day', createddate, closedate)) AS longest_days,
+             CAST(sum(amount) AS DECIMAL(28,2)) AS closed_amount
+      FROM raw_salesforce_opportunity WHERE isdeleted = false AND closedate IS NOT NULL GROUP BY 1, 2)""",
+                                          ["raw_salesforce_opportunity"], p)
     q["feature_adoption"] = with_ctes(f"""
     SELECT f.*, a.active_users, {_ratio('f.feature_users', 'a.active_users')} AS adoption_rate FROM (
       SELECT CAST(date_trunc('month', occurred_at) AS DATE) AS month_start,

@@ -8,13 +8,18 @@ the table, not from the raw sources)."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from monthwise.operators.quality import gate, run_checks
 from monthwise.params import Params
-from monthwise.session import shared_dir
+from monthwise.plans.reports import REPORT_COLUMNS
+from monthwise.session import new_work_path, shared_dir
+from monthwise.sources.incremental import latest_by_key
 from monthwise.sources.registry import Sources
 
 
@@ -33,19 +38,39 @@ def materialize_view(df: DataFrame, layer: str | None, name: str, target: str, d
     return view
 
 
+CURRENT = "schema_name string, table_name string, run_id string, path string, written_at timestamp"
+
+
 def materialize_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str, target: str,
                       default_schema: str, run_id: str) -> DataFrame:
-    """Full rebuild into a fresh folder (never overwriting what readers may be
-    reading), then read back."""
-    path = f"{root.rstrip('/')}/{schema_name(layer, target, default_schema)}/{name}/run={run_id}"
-    df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    out.createOrReplaceTempView(f"{schema_name(layer, target, default_schema)}__{name}")
+    """Full rebuild.  The rows go to a fresh folder (readers of the last build are not
+    disturbed), partitioned by ``month_start`` where there is one; then one row appended
+    to the ``_current`` log makes them the table's current version."""
+    schema = schema_name(layer, target, default_schema)
+    path = f"{root.rstrip('/')}/{schema}/{name}/run-{run_id}"
+    monthly = "month_start" in df.columns
+    # rebalance: files by month, large months split, small ones not spread over all tasks
+    w = (df.hint("rebalance", "month_start") if monthly else df).write
+    (w.partitionBy("month_start") if monthly else w).parquet(path)
+    spark.createDataFrame([(schema, name, run_id, path, dt.datetime.now(dt.timezone.utc))], CURRENT).coalesce(1).write.mode(
+        "append").parquet(f"{root.rstrip('/')}/_current")
+    out = read_current(spark, root, schema, name).select(*df.columns)
+    out.createOrReplaceTempView(f"{schema}__{name}")
     return out
 
 
+def read_current(spark: SparkSession, root: str, schema: str, name: str) -> DataFrame:
+    """The current version of a built table, for any session."""
+    log = spark.read.schema(CURRENT).parquet(f"{root.rstrip('/')}/_current")
+    mine = log.where((F.col("schema_name") == schema) & (F.col("table_name") == name))
+    last = latest_by_key(mine, ["schema_name", "table_name"], ["written_at", "run_id"]).select("path").first()
+    if last is None:
+        raise KeyError(f"{schema}.{name} has not been built below {root}")
+    return spark.read.parquet(last[0])
+
+
 def build_all(spark: SparkSession, src: Sources, p: Params, root: str | None = None, target: str = "dev",
-              default_schema: str = "analytics", run_gate: bool = True) -> dict[str, DataFrame]:
+              default_schema: str = "analytics", run_gate: bool = True, growth_marts: bool = True) -> dict[str, DataFrame]:
     """Build every layer in dependency order; optionally gate on the checks."""
     from monthwise.plans import accounts, mrr, periods, reports, staging
     from monthwise.plans.quality_suite import MART_CHECKS
@@ -71,30 +96,55 @@ def build_all(spark: SparkSession, src: Sources, p: Params, root: str | None = N
     out.update({"dim_accounts": dim, "fct_mrr": fact, "rpt_monthly_revenue": rpt})
     # growth marts and reports, from the written fact (computed once per build)
     from monthwise.plans import growth
-    for layer, name, df in [("marts", "fct_subscriptions", growth.fct_subscriptions(src, p)),
+    for layer, name, df in [] if not growth_marts else [("marts", "fct_subscriptions", growth.fct_subscriptions(src, p)),
                             ("reporting", "rpt_nrr", growth.nrr(src, p, fact)),
                             ("reporting", "rpt_cohort_retention", growth.cohort_retention(src, p, fact)),
                             ("reporting", "rpt_trial_funnel", growth.trial_funnel(src, p)),
                             ("reporting", "rpt_feature_adoption", growth.feature_adoption(src, p))]:
         out[name] = materialize_table(spark, df, root, layer, name, target, default_schema, run_id)
-    summary = run_checks({"dim_accounts": dim, "fct_mrr": fact, "rpt_monthly_revenue": rpt}, MART_CHECKS, p.as_of)
+    checks = run_checks({"dim_accounts": dim, "fct_mrr": fact, "rpt_monthly_revenue": rpt}, MART_CHECKS, p.as_of)
+    # written once; the gate and every later reader use the table
+    summary = materialize_table(spark, checks, root, "quality", "dq_summary", target, default_schema, run_id)
     out["dq_summary"] = summary
     if run_gate:
         gate(summary)
     return out
 
 
+def build_monthly_revenue(src: Sources, p: Params) -> DataFrame:
+    """The report as the layered build leaves it: built, published, read back."""
+    root = new_work_path(src.spark, "warehouse")
+    build_all(src.spark, src, p, root, target="prod", run_gate=False, growth_marts=False)
+    return read_current(src.spark, root, "reporting", "rpt_monthly_revenue").select(*REPORT_COLUMNS)
+
+
+class SourceStale(RuntimeError):
+    pass
+
+
 def run_daily(spark: SparkSession, src: Sources, p: Params, root: str | None = None, target: str = "prod",
-              default_schema: str = "analytics", load=None) -> dict[str, DataFrame]:
+              default_schema: str = "analytics", load=None, fail_on_stale: bool = True) -> dict[str, DataFrame]:
     """The schedule's order: stale-source probe (warns, never blocks) -> optional
     app-table load (``load()``, e.g. :func:`monthwise.sources.incremental.run_loads`)
-    -> layered build -> gate on marts + reporting -> source freshness.  Each step
-    returns a small control DataFrame; a failed gate raises."""
+    -> layered build -> gate on marts + reporting -> source freshness.  Each step's
+    outcome is a written table, so the probe shows the state before the load.  A failed
+    gate raises, and so does a source in freshness state ``error``."""
     from monthwise.plans.quality_suite import source_freshness, stale_sources
+    root = root or f"{shared_dir(spark).rstrip('/')}/warehouse"
+    run_id = uuid.uuid4().hex[:12]
 
-    out: dict[str, DataFrame] = {"stale_sources": stale_sources(src, p)}
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return materialize_table(spark, df, root, "quality", name, target, default_schema, run_id)
+    out: dict[str, DataFrame] = {"stale_sources": kept(stale_sources(src, p), "stale_sources")}
+    stale = [r["table_name"] for r in out["stale_sources"].where("is_stale").collect()]      # one row per source
+    if stale:
+        warnings.warn(f"stale sources: {', '.join(sorted(stale))}", stacklevel=2)
     if load is not None:
         out["load_summary"] = load()
     out.update(build_all(spark, src, p, root, target, default_schema, run_gate=True))
-    out["source_freshness"] = source_freshness(src, p)
+    out["source_freshness"] = kept(source_freshness(src, p), "source_freshness")
+    failed = out["source_freshness"].where("status = 'error'").collect()
+    if failed and fail_on_stale:
+        raise SourceStale("sources past their error limit: " + ", ".join(
+            sorted(f"{r['source_name']}.{r['table_name']}" for r in failed)))
     return out

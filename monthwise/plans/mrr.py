@@ -11,16 +11,17 @@ Plan shape (the fact is ~months x subscriptions, by far the largest table):
 2. subscription rows are hash-partitioned by ``subscription_id``; the month
    expansion keeps that partitioning, so nothing downstream shuffles the
    expanded rows.
-3. ``lag`` is keyed on (subscription, account): a duplicated CRM customer id
-   fans a subscription out into one copy per account, and each copy keeps the
-   per-subscription ``lag`` the reference computes before its join.  For a pair
-   with one source row the lag follows from the month position (no sort); only
-   pairs with several source rows go through the ``lag`` window.
+3. ``lag`` is per subscription id, over all its rows before accounts are joined (as
+   in the reference).  An id with one source row expands into consecutive months, so
+   its prior month follows from the position in the expansion (no sort).  Ids with
+   several source rows (a broken unique key upstream, or a subscription handed to
+   another customer) go through the ``lag`` window instead; a count per id decides,
+   and where there are none, adaptive execution drops that branch altogether.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthwise.functions import sql as S
@@ -29,18 +30,18 @@ from monthwise.operators.movement import add_movement, movement_classify
 from monthwise.operators.range_expand import expand_months
 from monthwise.params import CORRECTED, Params
 
-UNASSIGNED = "Unassigned"   # corrected mode: segment of subscriptions without a CRM account
-from monthwise.plans.staging import stg_accounts
 from monthwise.plans.periods import billable_subscriptions, with_month_flags
-from monthwise.session import default_parallelism
+from monthwise.plans.staging import stg_accounts
 from monthwise.sources.registry import Sources
 
-FACT_COLUMNS = [
-    "mrr_id", "month_start", "subscription_id", "customer_id", "plan_id", "plan_type",
-    "billing_cycle", "subscription_status", "account_id", "account_name", "account_segment",
-    "industry", "billing_country", "mrr", "prior_month_mrr", "mrr_change", "mrr_type",
-    "is_first_month", "is_churn_month", "arr",
-]
+UNASSIGNED = "Unassigned"   # corrected mode: segment of subscriptions without a CRM account
+
+def fct_mrr_transfers(src: Sources, p: Params) -> DataFrame:
+    """The fact over subscriptions of which two share an id, mostly across customers
+    (order keys 2k and 2k + 1): every row goes through the ``lag`` window."""
+    subs = src("stripe", "subscriptions")
+    shared = subs.withColumn("id", F.expr("concat('sub_', CAST(substring(id, 5) AS BIGINT) div 2)"))
+    return fct_mrr(src.replaced("stripe", "subscriptions", shared), p)
 
 
 def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
@@ -53,39 +54,36 @@ def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
         dim = stg_accounts(src, p)
     d = dim.selectExpr("account_id", "account_name", "account_segment", "industry", "billing_country",
                        "stripe_customer_id AS __dim_key")
-    pre = subs.join(d, F.expr("customer_id = __dim_key"), "left").drop("__dim_key")
-    if p.mode == CORRECTED:
-        # unmatched subscriptions get a segment label instead of NULL
-        pre = pre.withColumn("account_segment", F.expr(f"coalesce(account_segment, '{UNASSIGNED}')"))
-    key = ["subscription_id", "account_id"]
-    # One row per subscription moves here; everything below stays in these
-    # partitions.  The count is explicit (``expand_partitions``, else the
-    # session's shuffle partitions): AQE would size this shuffle by its bytes,
-    # but the stage reading it does ~months-per-subscription times more work
-    # after the expansion, so byte-based coalescing under-partitions it.
-    n = p.expand_partitions or default_parallelism(src.spark)
-    pre = pre.repartition(n, "subscription_id")
-    # source rows per (subscription, account): a window over the pre-expansion
-    # rows, already clustered by subscription, so no shuffle
-    pre = pre.withColumn("__copies", F.count(F.lit(1)).over(Window.partitionBy(*key)))
-    ex = expand_months(pre, "__lo", "__hi", p.spine_start, p.spine_end, position="__pos")
-    ex = with_month_flags(ex.withColumn("__base_mrr", F.col("mrr")), p)
     kw = dict(prior_col="prior_month_mrr", change_col="mrr_change", type_col="mrr_type", mode=p.mode,
               change_type=MONEY)
-    # A single source row expands into consecutive months, so the previous row of
-    # month k is month k-1 of the same expansion: lag() is the row's own MRR
-    # except at the first month - no sort of the expanded rows is needed.
-    single = ex.where("__copies = 1").withColumn(
+
+    def accounts(rows: DataFrame) -> DataFrame:
+        out = rows.join(d, F.expr("customer_id = __dim_key"), "left").drop("__dim_key")
+        if p.mode == CORRECTED:
+            # unmatched subscriptions get a segment label instead of NULL
+            out = out.withColumn("account_segment", F.expr(f"coalesce(account_segment, '{UNASSIGNED}')"))
+        return out
+
+    def expanded(rows: DataFrame) -> DataFrame:
+        ex = expand_months(rows, "__lo", "__hi", p.spine_start, p.spine_end, position="__pos")
+        return with_month_flags(ex.withColumn("__base_mrr", F.col("mrr")), p)
+
+    # One row per subscription moves here; the expansion keeps these partitions.
+    subs = subs.repartition("subscription_id")
+    shared = subs.groupBy("subscription_id").agg(F.expr("count(1)").alias("__n")).where(
+        "__n > 1 AND subscription_id IS NOT NULL").select("subscription_id")
+    # One source row: the previous row of month k is month k-1 of the same expansion.
+    single = expanded(accounts(subs.join(shared, "subscription_id", "left_anti"))).withColumn(
         "prior_month_mrr", F.expr("CASE WHEN __pos > 0 THEN __base_mrr END"))
     single = add_movement(single, "mrr", **kw)
-    # Several source rows for one pair (a broken unique key upstream): the
-    # exact lag() window, sorting only those rows.
-    multi = movement_classify(ex.where("__copies > 1"), key=key, period="month_start", value="mrr", **kw)
+    # Several: the lag() window over the id's rows; accounts join after it.
+    multi = accounts(movement_classify(expanded(subs.join(shared, "subscription_id", "left_semi")),
+                                       key=["subscription_id"], period=["month_start", "customer_id", "period_start_at"], value="mrr", **kw))
     m = single.unionByName(multi)
     return m.selectExpr(
         f"{S.surrogate_key('subscription_id', 'month_start')} AS mrr_id",
         "month_start", "subscription_id", "customer_id", "plan_id", "plan_type", "billing_cycle",
         "subscription_status", "account_id", "account_name", "account_segment", "industry",
         "billing_country", "mrr", "prior_month_mrr", "mrr_change", "mrr_type", "is_first_month",
-        f"is_churn_month", f"CAST(mrr * 12 AS {MONEY}) AS arr",
+        "is_churn_month", f"CAST(mrr * 12 AS {MONEY}) AS arr",
     )

@@ -29,6 +29,12 @@ def normalised_mrr(cycle: str, dollars: str) -> F.Column:
     return F.expr(normalised_mrr_sql(cycle, dollars))
 
 
+def start_column(p: Params) -> str:
+    """Where a subscription's months start.  Exact: the current billing period (earlier
+    history is lost); corrected: the subscription's creation."""
+    return "created_at" if p.mode == CORRECTED else "period_start_at"
+
+
 def billable_subscriptions(src: Sources, p: Params) -> DataFrame:
     """Subscriptions with a positive amount, their MRR and active-month bounds
     (``__lo`` inclusive, ``__hi`` exclusive), one row per subscription."""
@@ -39,9 +45,7 @@ def billable_subscriptions(src: Sources, p: Params) -> DataFrame:
         hi = f"CASE WHEN canceled_at IS NOT NULL THEN add_months({hi}, 1) ELSE {hi} END"
     return s.withColumns({
         "mrr": normalised_mrr("billing_cycle", "plan_amount_dollars"),
-        # exact: the current billing period's start (earlier history is lost);
-        # corrected: the subscription's creation
-        "__lo": F.expr(S.month_of("created_at" if p.mode == CORRECTED else "period_start_at")),
+        "__lo": F.expr(S.month_of(start_column(p))),
         "__hi": F.expr(hi),
         "__cancel_month": F.expr(S.month_of("canceled_at")),
     })
@@ -66,8 +70,10 @@ def subscription_periods(src: Sources, p: Params) -> DataFrame:
 
 
 def date_spine(src: Sources, p: Params) -> DataFrame:
-    """H11 calendar spine spanning the subscriptions' start months up to the
-    current (as_of) month.  Bounds come from one global min aggregate; the spine
-    itself is bounded by the calendar, not by the data."""
-    lo = stg_subscriptions(src, p).agg(F.expr(f"min({S.month_of('period_start_at')})").alias("lo"))
-    return lo.selectExpr(f"explode(sequence(lo, {S.date(p.spine_end)}, INTERVAL 1 MONTH)) AS month_start")
+    """H11 calendar spine from the subscriptions' first start month, though not before
+    ``spine_start``, to the current (as_of) month; empty if that first month lies past it.
+    Bounds come from one global min aggregate; the spine itself is bounded by the calendar."""
+    lo = stg_subscriptions(src, p).agg(F.expr(
+        f"greatest(min({S.month_of(start_column(p))}), {S.date(p.spine_start)})").alias("lo"))
+    return lo.where(f"lo <= {S.date(p.spine_end)}").selectExpr(
+        f"explode(sequence(lo, {S.date(p.spine_end)}, INTERVAL 1 MONTH)) AS month_start")

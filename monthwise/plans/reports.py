@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from monthwise.functions import sql as S
 from monthwise.operators.movement import CHURN, CONTRACTION, EXPANSION, NEW, REACTIVATION
-from monthwise.params import Params
+from monthwise.params import CORRECTED, Params
 from monthwise.plans.mrr import fct_mrr
 from monthwise.sources.registry import Sources
 
@@ -23,12 +23,8 @@ def _sum_when_type(t: str, v: str) -> Column:
     return F.expr(f"sum(CASE WHEN mrr_type = '{t}' THEN {S.money_micros(v)} ELSE 0 END)")
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """``num / nullif(den, 0)`` as DOUBLE (ratios are computed last, from exact sums)."""
-    return F.when(den != 0, num.cast("double") / den.cast("double"))
-
-
 def safe_ratio_sql(num: str, den: str) -> str:
+    """``num / nullif(den, 0)`` as DOUBLE (ratios are computed last, from exact sums)."""
     return f"CASE WHEN {den} <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END"
 
 
@@ -74,3 +70,7 @@ def monthly_revenue_from_fact(fact: DataFrame) -> DataFrame:
 
 def monthly_revenue(src: Sources, p: Params) -> DataFrame:
     return monthly_revenue_from_fact(fct_mrr(src, p))
+
+
+def monthly_revenue_corrected(src: Sources, p: Params) -> DataFrame:
+    return monthly_revenue(src, p.with_(mode=CORRECTED))

@@ -1,34 +1,28 @@
 """Adapters: derive raw source tables of the reference's shape from the driver's
 test tables (orders, customer, nation, events).
 
-Each adapter is a projection (plus one bounded dimension join for nation), so it
-is a narrow, shuffle-free stage that Catalyst fuses into the consumer's scan.
+Each adapter is a projection (accounts also join nation), so it is a narrow stage
+that Catalyst fuses into the consumer's scan.
 The formulas are deterministic functions of the row keys; they are written out
 once more in SQL in :mod:`monthwise.oracle_sql`."""
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.operators.dimjoin import bounded_broadcast
-from monthwise.params import DEFAULT, Params
+from monthwise.fixture import FIXTURE
+from monthwise.params import Params
 from monthwise.sources import schemas
+from monthwise.sources.seedgen import FEATURES, FIRST_NAMES, LAST_NAMES, PLAN_NAMES, PRICES_CENTS, SIGNUP_SOURCES
 
 DAY = 86_400
 
 # Fixed values (shared with the SQL oracle).
-PRICES_CENTS = [4900, 9900, 29900, 99900]
-PLAN_TYPES = ["starter", "growth", "business", "enterprise"]
-PLAN_NAMES = ["Starter", "Growth", "Business", "Enterprise"]
+PLAN_TYPES = [n.lower() for n in PLAN_NAMES]
 CYCLES = ["annual", "monthly", "quarterly"]
-CHANNELS = ["organic", "paid_search", "referral", "product_led"]
-FEATURES = ["analytics", "reports", "integrations", "settings"]
-FIRST_NAMES = ["Alice", "Bob", "Carol", "David", "Eva", "Frank", "Grace", "Henry"]
-LAST_NAMES = ["Smith", "Jones", "Williams", "Brown", "Davis", "Miller", "Wilson", "Moore"]
 ACCOUNT_TYPES = ["Customer", "Partner", "Prospect"]
 BILLING_REASONS = ["subscription_create", "subscription_cycle", "manual"]
 OPPORTUNITY_STAGES = ["Prospecting", "Qualification", "Needs Analysis", "Value Proposition",
@@ -41,26 +35,7 @@ USERS_EPOCH = dt.datetime(1995, 1, 1)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread_single_split(spark, spark.read.parquet(path), path)
-
-
-def spread_single_split(spark: SparkSession, df: DataFrame, path: str, min_bytes: int = 1 << 20) -> DataFrame:
-    """The test tables are single parquet files with one row group, which Spark
-    can only read as one split - every per-row step before the first shuffle
-    would then run in one task.  Such an input (over ``min_bytes``, fewer splits
-    than task slots) is spread round-robin right after the scan; the scan keeps
-    its pushed filters and pruned columns.  Inputs made of many files/row
-    groups - any real table at scale - are left alone."""
-    local = path[5:] if path.startswith("file:") else path
-    if not os.path.isfile(local) or os.path.getsize(local) < min_bytes:
-        return df
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:        # no RDD API (e.g. a Spark Connect session): leave the scan as is
-        return df
-    return df if splits >= slots else df.repartition(slots)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _lits(values) -> str:
@@ -97,7 +72,7 @@ def _project(df: DataFrame, exprs: dict[str, str], schema) -> DataFrame:
 # Projections are written as Spark SQL expressions: one client call per column,
 # whatever its complexity.
 # --------------------------------------------------------------------------- stripe
-def stripe_subscriptions(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def stripe_subscriptions(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     created = _epoch("o_orderdate")
     canceled = f"CASE WHEN o_orderstatus = 'F' THEN {created} + ((o_orderkey * 37) % 900) * {DAY} END"
     return _project(read_table(spark, sf_dir, "orders"), {
@@ -109,7 +84,7 @@ def stripe_subscriptions(spark: SparkSession, sf_dir: str, p: Params = DEFAULT)
                   "WHEN o_orderstatus = 'P' THEN 'past_due' ELSE 'incomplete' END",
         "metadata": f"to_json(named_struct('plan_type', {_pick(PLAN_TYPES, 'o_orderkey % 4')}, "
                     f"'billing_cycle', {_pick(CYCLES, 'o_orderkey % 3')}, 'acquisition_channel', "
-                    f"CASE WHEN o_orderkey % 13 <> 0 THEN {_pick(CHANNELS, 'o_orderkey % 4')} END))",
+                    f"CASE WHEN o_orderkey % 13 <> 0 THEN {_pick(SIGNUP_SOURCES, 'o_orderkey % 4')} END))",
         "plan_amount": f"CASE WHEN o_orderkey % 20 = 0 THEN 0 ELSE {_pick(PRICES_CENTS, 'o_orderkey % 4')} END",
         "created": created,
         "current_period_start": created,
@@ -124,7 +99,7 @@ def stripe_subscriptions(spark: SparkSession, sf_dir: str, p: Params = DEFAULT)
     }, schemas.STRIPE_SUBSCRIPTIONS)
 
 
-def stripe_invoices(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def stripe_invoices(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     created = _epoch("o_orderdate")
     total = "CAST(round(o_totalprice * 100) AS BIGINT)"
     tax = f"CAST(floor({total} / 10) AS BIGINT)"
@@ -157,7 +132,7 @@ def stripe_invoices(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Da
     }, schemas.STRIPE_INVOICES)
 
 
-def stripe_customers(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def stripe_customers(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     return _project(read_table(spark, sf_dir, "customer"), {
         "id": "concat('cus_', c_custkey)",
         "email": "concat('user_', c_custkey, '@company.example')",
@@ -167,7 +142,7 @@ def stripe_customers(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> D
     }, schemas.STRIPE_CUSTOMERS)
 
 
-def stripe_charges(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def stripe_charges(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     return _project(read_table(spark, sf_dir, "orders"), {
         "id": "concat('ch_', o_orderkey)",
         "customer": "concat('cus_', o_custkey)",
@@ -182,11 +157,10 @@ def stripe_charges(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Dat
 
 
 # ----------------------------------------------------------------------- salesforce
-def salesforce_account(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def salesforce_account(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation is a fixed 25-row table in the TPC-H schema; broadcast only after a bounded check
-    j = cust.join(bounded_broadcast(nation, 10_000), F.expr("c_nationkey = n_nationkey"), "left")
+    j = cust.join(nation, F.expr("c_nationkey = n_nationkey"), "left")
     created = _days_after(_ntz(USERS_EPOCH), "c_custkey % 700")
     return _project(j, {
         "id": "concat('a_', c_custkey)",
@@ -208,7 +182,7 @@ def salesforce_account(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) ->
     }, schemas.SALESFORCE_ACCOUNT)
 
 
-def salesforce_opportunity(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def salesforce_opportunity(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     return _project(read_table(spark, sf_dir, "orders"), {
         "id": "concat('op_', o_orderkey)",
         "accountid": "concat('a_', o_custkey)",
@@ -221,7 +195,7 @@ def salesforce_opportunity(spark: SparkSession, sf_dir: str, p: Params = DEFAULT
     }, schemas.SALESFORCE_OPPORTUNITY)
 
 
-def salesforce_contact(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def salesforce_contact(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     return _project(read_table(spark, sf_dir, "customer"), {
         "id": "concat('003', c_custkey)",
         "accountid": "concat('a_', c_custkey)",
@@ -232,7 +206,7 @@ def salesforce_contact(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) ->
 
 
 # --------------------------------------------------------------------------- app db
-def app_users(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def app_users(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     created = _days_after(_ntz(USERS_EPOCH), "c_custkey % 700")
     return _project(read_table(spark, sf_dir, "customer"), {
         "id": "c_custkey",
@@ -244,7 +218,7 @@ def app_users(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFram
         "role": "CASE WHEN c_custkey % 5 = 0 THEN 'admin' ELSE 'member' END",
         "status": "CASE WHEN c_custkey % 20 = 0 THEN 'deactivated' WHEN c_custkey % 20 = 1 THEN 'invited' "
                   "ELSE 'active' END",
-        "signup_source": _pick(CHANNELS, "c_custkey % 4"),
+        "signup_source": _pick(SIGNUP_SOURCES, "c_custkey % 4"),
         "referral_code": "CAST(NULL AS STRING)",
         "created_at": created,
         "updated_at": _days_after(created, "c_custkey % 50"),
@@ -254,7 +228,7 @@ def app_users(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFram
     }, schemas.APP_USERS)
 
 
-def app_subscriptions(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def app_subscriptions(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     canceled = f"CASE WHEN o_orderstatus = 'F' THEN {_days_after('o_orderdate', '(o_orderkey * 37) % 900')} END"
     return _project(read_table(spark, sf_dir, "orders"), {
         "id": "o_orderkey",
@@ -272,7 +246,7 @@ def app_subscriptions(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) ->
     }, schemas.APP_SUBSCRIPTIONS)
 
 
-def app_events(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
+def app_events(spark: SparkSession, sf_dir: str, p: Params = FIXTURE) -> DataFrame:
     k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
     return _project(read_table(spark, sf_dir, "events"), {
         "event_id": "event_id",

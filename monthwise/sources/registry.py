@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from monthwise.params import DEFAULT, Params
+from monthwise.fixture import FIXTURE
+from monthwise.params import Params
 from monthwise.sources import schemas
 
 Key = tuple[str, str]
@@ -21,7 +22,7 @@ class Sources:
     exchanges/subplans inside one query)."""
 
     def __init__(self, spark: SparkSession, loaders: dict[Key, Callable[[], DataFrame]],
-                 params: Params = DEFAULT):
+                 params: Params | None = None):
         self.spark = spark
         self.params = params
         self._loaders = dict(loaders)
@@ -39,12 +40,19 @@ class Sources:
         self._loaders[(system, table)] = loader
         self._frames.pop((system, table), None)
 
+    def replaced(self, system: str, table: str, frame: DataFrame) -> "Sources":
+        """The same sources but for one table."""
+        out = Sources(self.spark, self._loaders, self.params)
+        out._frames = {**self._frames, (system, table): frame}
+        out._loaders[(system, table)] = lambda: frame
+        return out
+
     def keys(self) -> list[Key]:
         return sorted(self._loaders)
 
     # -- constructors -------------------------------------------------------
     @classmethod
-    def from_test_tables(cls, spark: SparkSession, sf_dir: str, params: Params = DEFAULT) -> "Sources":
+    def from_test_tables(cls, spark: SparkSession, sf_dir: str, params: Params = FIXTURE) -> "Sources":
         """Raw tables derived from the driver's parquet test tables (FIXTURES.md)."""
         from monthwise.sources.adapters import ADAPTERS
 
@@ -64,7 +72,7 @@ class Sources:
 
     @classmethod
     def from_paths(cls, spark: SparkSession, root: str, fmt: str = "parquet",
-                   params: Params = DEFAULT) -> "Sources":
+                   params: Params | None = None) -> "Sources":
         """Raw tables stored as ``{root}/{system}/{table}``, read with their contract
         schema (no inference; filters and projections push into the scan)."""
         def loader(key: Key):

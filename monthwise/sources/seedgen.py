@@ -3,8 +3,7 @@
 Rows are generated from an id column - ``spark.range`` for a stand-alone seed,
 or ids taken from an existing table - so generation is spread over the id
 frame's partitions.  The original draws ``random()``/``now()``; here every
-"random" fraction is a fixed multiplicative hash of the id and times count back
-from ``as_of``, so a seed is repeatable (and reproducible in SQL)."""
+"random" fraction comes from an MD5 of the id and times count back from ``as_of``, so a seed is repeatable (and reproducible in SQL)."""
 
 from __future__ import annotations
 
@@ -25,15 +24,13 @@ EVENT_NAMES = ["page_view", "feature_click", "export_data", "invite_member", "cr
                "dashboard_view", "api_call", "settings_update", "report_generated"]
 FEATURES = ["analytics", "reports", "integrations", "settings"]
 USERS_PER_ORG = 4
-SEED_USERS = 200
-
-HASH_MULT = 2654435761       # Knuth's multiplicative hash constant
-HASH_MOD = 4294967296        # 2^32
 
 
 def unit_fraction(i: Column, salt: int) -> Column:
-    """Deterministic fraction in [0, 1) from an id (stand-in for ``random()``)."""
-    return (((i + salt) * HASH_MULT) % HASH_MOD).cast("double") / HASH_MOD
+    """Deterministic fraction in [0, 1) from an id (stand-in for ``random()``): the
+    first 32 bits of an MD5, so ids of any size work."""
+    digits = F.substring(F.md5(F.concat(i.cast("string"), F.lit(f"|{salt}"))), 1, 8)
+    return F.conv(digits, 16, 10).cast("double") / 2.0**32
 
 
 def seconds_before(as_of: dt.datetime, frac: Column, days: int) -> Column:
@@ -92,7 +89,8 @@ def seed_subscriptions(id_frame: DataFrame, as_of: dt.datetime) -> DataFrame:
     )
 
 
-def seed_events(id_frame: DataFrame, as_of: dt.datetime, n_users: int = SEED_USERS) -> DataFrame:
+def seed_events(id_frame: DataFrame, as_of: dt.datetime, n_users: Column) -> DataFrame:
+    """Events spread over the users 1 to ``n_users``."""
     i = F.col("i")
     props = F.concat(F.lit('{"source": "web", "feature": "'), _pick(FEATURES, i), F.lit('"}'))
     return id_frame.select(

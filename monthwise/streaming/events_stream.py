@@ -1,14 +1,21 @@
 """The append-only, high-volume events load as Structured Streaming.
 
 File-source ``readStream`` -> event-time watermark -> ``dropDuplicatesWithinWatermark``
-on ``event_id`` -> parquet sink, run with ``trigger(availableNow=True)`` so each
-run processes whatever arrived since the last one and stops.  The checkpoint
-(offsets + dedup state) lives in the cluster's shared checkpoint folder and
-replaces the watermark table for this table: a restarted or retried run resumes
-from the committed offsets, and the sink commits files exactly once per batch."""
+on the event -> parquet sink, run with ``trigger(availableNow=True)`` so each run
+processes whatever arrived since the last one and stops.  The checkpoint (offsets +
+dedup state) lives in the cluster's shared checkpoint folder and replaces the
+watermark table for this table: a restarted or retried run resumes from the committed
+offsets, and the sink commits files exactly once per batch.
+
+State is kept in RocksDB (spilling to disk, hash-partitioned by event) and batches are
+bounded by ``max_bytes``, so a first load over a large history does not need memory for
+all of it.  Events later than the watermark cannot be deduplicated against state that
+has expired; they are not lost: if a run dropped any row, its events that the sink does
+not hold are written, once each, to the side table ``late``."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,50 +32,74 @@ EVENTS_FILE_SCHEMA = T.StructType([
     T.StructField("props", T.StringType()),
 ])
 
+LOADED = ("event_id bigint, user_id bigint, event_name string, event_properties string, "
+          "occurred_at timestamp_ntz, __key string")
 OUTPUT_COLUMNS = ["event_id", "user_id", "event_name", "event_properties", "occurred_at"]
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+MAX_BYTES = 16 << 30     # input of one micro-batch
 
 
-def first_copies(batches):
-    """Keep the first row per ``event_id`` within one partition of one micro-batch
-    (stateless; the stateful operator below handles everything across
-    partitions and batches).  A producer that re-sends one event many times then
-    reaches the dedup shuffle with at most one copy per input partition."""
-    seen: set = set()
-    for pdf in batches:
-        ids = pdf["event_id"]
-        keep = ~ids.duplicated() & ~ids.isin(seen)
-        out = pdf[keep]
-        seen.update(out["event_id"].tolist())
-        yield out
+def event_rows(files: DataFrame) -> DataFrame:
+    """Output columns and ``__key``, the identity of an event: its id, or the whole row
+    where that is NULL."""
+    whole = F.md5(F.to_json(F.struct("user_id", "event_type", "props", "ts", "value")))
+    return files.select(
+        "event_id", "user_id", F.col("event_type").alias("event_name"), F.col("props").alias("event_properties"),
+        F.col("ts").alias("occurred_at"),
+        F.coalesce(F.col("event_id").cast("string"), F.concat(F.lit("row:"), whole)).alias("__key"))
 
 
 def events_stream(spark: SparkSession, source_dir: str, file_glob: str = "events.parquet",
-                  lateness: str = "1 hour", pre_dedup: bool = True) -> DataFrame:
-    s = (spark.readStream.schema(EVENTS_FILE_SCHEMA).option("pathGlobFilter", file_glob)
-         .parquet(source_dir))
-    s = s.select("event_id", "user_id", F.col("event_type").alias("event_name"),
-                 F.col("props").alias("event_properties"), F.col("ts").alias("occurred_at"),
-                 # watermarks need a zoned TIMESTAMP; the batch side keeps NTZ
-                 F.col("ts").cast("timestamp").alias("__event_time"))
-    if pre_dedup:
-        s = s.mapInPandas(first_copies, schema=s.schema)
-    return (s.withWatermark("__event_time", lateness)
-             .dropDuplicatesWithinWatermark(["event_id"]))
-
-
-def run_events_load(spark: SparkSession, source_dir: str, sink_path: str, checkpoint_path: str,
-                    file_glob: str = "events.parquet", lateness: str = "1 hour") -> None:
-    q = (events_stream(spark, source_dir, file_glob, lateness).drop("__event_time")
-         .writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint_path).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+                  lateness: str = "1 hour", max_bytes: int = MAX_BYTES) -> DataFrame:
+    files = (spark.readStream.schema(EVENTS_FILE_SCHEMA).option("pathGlobFilter", file_glob)
+             .option("maxBytesPerTrigger", max_bytes).parquet(source_dir))
+    # watermarks need a zoned TIMESTAMP; the batch side keeps NTZ
+    s = event_rows(files.where("ts IS NOT NULL")).withColumn("__event_time", F.col("occurred_at").cast("timestamp"))
+    return s.withWatermark("__event_time", lateness).dropDuplicatesWithinWatermark(["__key"])
+
+
+def run_events_load(spark: SparkSession, source_dir: str, sink_path: str, checkpoint_path: str, late_path: str,
+                    file_glob: str = "events.parquet", lateness: str = "1 hour", max_bytes: int = MAX_BYTES) -> int:
+    """One load of what arrived; returns the number of rows the watermark turned away
+    (copies of loaded events among them)."""
+    store = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        q = (events_stream(spark, source_dir, file_glob, lateness, max_bytes).drop("__event_time")
+             .writeStream.format("parquet").option("path", sink_path)
+             .option("checkpointLocation", checkpoint_path).outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE, store)
+    batches = q.recentProgress
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0) for b in batches for op in b["stateOperators"])
+    limit = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    files = spark.read.schema(EVENTS_FILE_SCHEMA).option("pathGlobFilter", file_glob).parquet(source_dir)
+    if dropped or len(batches) >= limit or not files.where("ts IS NULL").isEmpty():
+        late = event_rows(files).join(spark.read.schema(LOADED).parquet(sink_path).select("__key"), "__key", "left_anti")
+        known = read_late(spark, late_path)
+        if known is not None:
+            late = late.join(known.select("__key"), "__key", "left_anti")
+        late.dropDuplicates(["__key"]).write.mode("append").parquet(late_path)
+    return dropped
+
+
+def read_late(spark: SparkSession, late_path: str) -> DataFrame | None:
+    """The side table, or None if no run has written it."""
+    try:
+        return spark.read.schema(LOADED).parquet(late_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def stream_events_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run one availableNow load of the events files into a fresh sink and
-    return the loaded table."""
-    sink = new_work_path(spark, "events-sink")
-    ckpt = new_work_path(spark, "events-ckpt")
-    run_events_load(spark, sf_dir, sink, ckpt)
-    return spark.read.parquet(sink).select(*OUTPUT_COLUMNS)
+    """Run one availableNow load of the events files into a fresh sink and return the
+    loaded table with its late events."""
+    sink, ckpt, late = (new_work_path(spark, f"events-{x}") for x in ("sink", "ckpt", "late"))
+    run_events_load(spark, sf_dir, sink, ckpt, late)
+    out, side = spark.read.schema(LOADED).parquet(sink), read_late(spark, late)
+    return (out if side is None else out.unionByName(side)).select(*OUTPUT_COLUMNS)

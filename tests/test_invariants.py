@@ -5,15 +5,15 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from monthwise.catalog import registered_test_sources
-from monthwise.params import DEFAULT
+from monthwise.sources.registry import Sources
+from monthwise.fixture import FIXTURE
 from monthwise.plans import mrr, periods, reports
 from monthwise.plans.staging import stg_subscriptions
 
 
 def test_fact_grain_change_and_report_totals(spark):
-    src = registered_test_sources(spark, SF_SMALL, DEFAULT)
-    fact = mrr.fct_mrr(src, DEFAULT)
+    src = Sources.from_test_tables(spark, SF_SMALL, FIXTURE)
+    fact = mrr.fct_mrr(src, FIXTURE)
     # grain: one row per (subscription, month) - and per surrogate key
     n = fact.count()
     assert fact.select("subscription_id", "month_start").distinct().count() == n
@@ -27,8 +27,8 @@ def test_fact_grain_change_and_report_totals(spark):
 
 
 def test_range_join_equals_bounded_expansion(spark):
-    p = DEFAULT
-    src = registered_test_sources(spark, SF_SMALL, p)
+    p = FIXTURE
+    src = Sources.from_test_tables(spark, SF_SMALL, p)
     subs = periods.billable_subscriptions(src, p).select("subscription_id", "__lo", "__hi")
     months = spark.range(1).selectExpr(
         f"explode(sequence(DATE '{p.spine_start}', DATE '{p.spine_end}', INTERVAL 1 MONTH)) AS month_start")
@@ -41,7 +41,7 @@ def test_range_join_equals_bounded_expansion(spark):
 
 
 def test_stg_subscriptions_filters_push_into_scan(spark):
-    src = registered_test_sources(spark, SF_SMALL, DEFAULT)
-    plan = stg_subscriptions(src, DEFAULT).where(F.col("period_start_at") >= F.lit(dt.datetime(2000, 1, 1))) \
+    src = Sources.from_test_tables(spark, SF_SMALL, FIXTURE)
+    plan = stg_subscriptions(src, FIXTURE).where(F.col("period_start_at") >= F.lit(dt.datetime(2000, 1, 1))) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "PushedFilters" in plan

@@ -5,11 +5,12 @@ import pytest
 
 import __spark_entry__ as E
 from compare_oracle import compare
+from monthwise import catalog, oracle_sql
 
 from conftest import SF_SMALL
 
-ORACLE = E.oracle_sql()
-NAMES = sorted(E.queries())
+ORACLE = oracle_sql.oracle_sql()
+NAMES = sorted(catalog.queries())
 
 
 def test_every_query_has_an_oracle():
@@ -19,6 +20,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck_small, name):
     df = E.queries()[name](spark, SF_SMALL)
+    assert E.oracle_sql()[name] == ORACLE[name]
     r = compare(name, df, duck_small, ORACLE[name])
     assert r["schema"], r
     assert r["spark_rows"] == r["oracle_rows"], r
