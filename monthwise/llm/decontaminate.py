@@ -4,7 +4,10 @@ A benchmark item of m characters may differ from its copy in a document by up to
 k = floor(error_rate x m) edits.  Cut into k + 1 pieces, at least one piece of it stands
 unchanged in any such copy; an Aho-Corasick automaton finds all pieces of all items
 in one pass over a text, and Myers' bit-parallel algorithm verifies the
-neighbourhood of each hit.  All places within k edits are found; there is no cap.
+neighbourhood of each hit.  Verification climbs a tree over the pieces: of the two parts
+of a stretch of j pieces with at most j - 1 edits, one has fewer edits than pieces too,
+so a hit counts only if every stretch above its piece fits its own, smaller budget; short
+stretches refute chance hits cheaply.  All places within k edits are found; there is no cap.
 
 Both sides are compared as words (lower-cased in ASCII, punctuation dropped) joined
 by single spaces, with a space at both ends, so matches end on word boundaries unless an edit
@@ -42,6 +45,22 @@ def pieces(pattern: str, errors: int) -> list[tuple[int, str]]:
     return [(a, pattern[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def climbs(n: int) -> list[list[tuple[int, int]]]:
+    """For each of ``n`` pieces the stretches [first, last) of pieces above it in a
+    binary tree, shortest first, the whole pattern left out."""
+    above: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    open_stretches = [(0, n)]
+    while open_stretches:
+        a, b = open_stretches.pop()
+        if b - a > 1:
+            if (a, b) != (0, n):
+                for piece in range(a, b):
+                    above[piece].insert(0, (a, b))
+            middle = (a + b) // 2
+            open_stretches += [(a, middle), (middle, b)]
+    return above
+
+
 def myers(pattern: str, text: str, errors: int) -> tuple[int, int] | None:
     """(distance, end) of the best occurrence of ``pattern`` in ``text`` (first of the
     ties) if its edit distance is at most ``errors``; Python's integers hold a whole
@@ -80,10 +99,19 @@ class Matcher:
         import ahocorasick
 
         self.items = [(item, p, int(len(p) * error_rate)) for item, text in items if (p := normal(text))]
-        places: dict[str, list[tuple[int, int]]] = {}
+        # piece -> (item, its offset, the stretches above it: pattern, offset, budget, shreds).
+        # Shreds: the rest of the lowest stretch, cut to budget + 1; one is unchanged too.
+        places: dict[str, list[tuple[int, int, list[tuple[str, int, int, list[str]]]]]] = {}
         for i, (_, pattern, errors) in enumerate(self.items):
-            for offset, piece in pieces(pattern, errors):
-                places.setdefault(piece, []).append((i, offset))
+            cut = pieces(pattern, errors)
+            ends = [offset for offset, _ in cut] + [len(pattern)]
+            for (offset, piece), above in zip(cut, climbs(len(cut))):
+                stretches = [(pattern[ends[a]:ends[b]], ends[a], b - a - 1, []) for a, b in above]
+                if stretches:
+                    part, at, budget, shreds = stretches[0]
+                    rest = part[len(piece):] if offset == at else part[:len(part) - len(piece)]
+                    shreds += [shred for _, shred in pieces(rest, budget)]
+                places.setdefault(piece, []).append((i, offset, stretches))
         self.found = ahocorasick.Automaton()
         for piece, where in places.items():
             self.found.add_word(piece, (len(piece), where))
@@ -97,8 +125,14 @@ class Matcher:
             return []
         starts: dict[int, set[int]] = {}      # item -> where its pattern would begin
         for end, (length, where) in self.found.iter(line):
-            for i, offset in where:
-                starts.setdefault(i, set()).add(end + 1 - length - offset)
+            for i, offset, stretches in where:
+                begin = end + 1 - length - offset
+                for part, at, errors, shreds in stretches:
+                    near = line[max(0, begin + at - errors):max(0, begin + at + len(part) + errors)]
+                    if shreds and not any(s in near for s in shreds) or not myers(part, near, errors):
+                        break
+                else:
+                    starts.setdefault(i, set()).add(begin)
         out = []
         for i, begins in starts.items():
             item, pattern, errors = self.items[i]

@@ -105,7 +105,7 @@ POSTINGS = pa.schema([("pretoken", pa.string()), ("rows", pa.list_(pa.int64())),
 
 def frequencies(path: str, hot_docs: int, block_docs: int, block_chars: int):
     """Per block: a row (pretoken, rows, counts, NULL) for each pre-token of the long
-    tail, and a row (NULL, [row], NULL, pieces) per document with what is counted in
+    tail (counts NULL where all are 1, as most are), and a row (NULL, [row], NULL, pieces) per document with what is counted in
     place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(path)
@@ -132,7 +132,8 @@ def frequencies(path: str, hot_docs: int, block_docs: int, block_chars: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p for p, _ in some], pa.string()),
                      pa.array([[rows[i] for i in h[::2]] for _, h in some], POSTINGS.field("rows").type),
-                     pa.array([h[1::2] for _, h in some], POSTINGS.field("counts").type),
+                     pa.array([n if max(n) > 1 else None for _, h in some if (n := h[1::2])],
+                              POSTINGS.field("counts").type),
                      pa.nulls(len(some), pa.int64())], schema=POSTINGS)
     return run
 
@@ -153,7 +154,7 @@ def resolve(path: str):
                     sums[some[0]] += own
                     continue
                 n = known[pretoken]
-                for row, k in zip(some, times):
+                for row, k in zip(some, times or itertools.repeat(1)):
                     sums[row] += n * k
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())], names=["row", "n"])
