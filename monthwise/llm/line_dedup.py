@@ -76,7 +76,7 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     ``n_lines`` (non-blank lines before) and ``n_removed``; clashing columns of the
     input are replaced.  Only line positions are shuffled to find what goes; texts
     move once, to meet their list of positions."""
-    row = fresh(docs, "row")
+    row, dropped = fresh(docs, "row"), fresh(docs, "dropped")
     base = docs.withColumn(row, F.monotonically_increasing_id())
     marked = written(boilerplate(docs, site, min_sites, lg_k, band), "boilerplate")
     places = (
@@ -89,9 +89,9 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     gone = (
         places.join(marked, ["h1", "h2"])
         .where("doc <> first_doc OR pos <> first_pos")
-        .groupBy(row).agg(F.collect_list("pos").alias("__gone"))
+        .groupBy(row).agg(F.collect_list("pos").alias(dropped))
     )
-    drops = F.col("__gone")
+    drops = F.col(dropped)
     split = F.split(F.col("text"), "\n", -1)
     rest = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(drops, i)), "\n")
     counted = F.size(F.filter(split, lambda x: line_key(x) != ""))

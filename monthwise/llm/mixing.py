@@ -166,7 +166,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     slim = written(slim, "token-sizes")
     taken = written(select_prefixes(slim, mix).join(slim.select("row", "domain", "tokens"), "row"), "taken")
     mine = [c for c in docs.columns if c.lower() not in ("domain", "tokens", "epoch")]
-    return base.select(row, *[F.col(f"`{c}`") for c in mine]).join(
-        taken.withColumnRenamed("row", row), row).select(
-        *[F.col(f"`{c}`") for c in mine], "domain", "tokens",
-        F.explode(F.sequence(F.lit(1), F.col("epochs"))).alias("epoch"))
+    got = fresh(docs, "taken")
+    taken = taken.select(F.col("row").alias(row), F.struct("domain", "tokens", "epochs").alias(got))
+    return base.select(row, *[F.col(f"`{c}`") for c in mine]).join(taken, row).select(
+        *[F.col(f"`{c}`") for c in mine], f"{got}.domain", f"{got}.tokens",
+        F.explode(F.sequence(F.lit(1), F.col(f"{got}.epochs"))).alias("epoch"))

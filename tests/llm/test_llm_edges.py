@@ -10,7 +10,7 @@ from monthwise.llm import (decontaminate, langid, licenses, line_dedup, mixing,
 from monthwise.llm.common import fold_of
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-CLASH = {"fp": 1, "__row": 2, "n_lines": 3, "component": 4, "tokens": 5, "domain": "x", "score": 0.5, "row": 6}
+CLASH = {"epochs": 7, "__gone": 8, "__dropped": 9, "h1": 10, "bucket": 11, "place": 12, "fp": 1, "__row": 2, "n_lines": 3, "component": 4, "tokens": 5, "domain": "x", "score": 0.5, "row": 6}
 LONG = ("word " * 60_000) + "all rights reserved\n" + "x" * 200_000
 
 
