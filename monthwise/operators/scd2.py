@@ -99,8 +99,8 @@ class SnapshotTable:
         # the new versions are written once, by state, and both parts read them there
         made = f"{self.root}/versions/run={n + 1}"
         versions.write.mode("overwrite").partitionBy("is_current").parquet(made)
-        made_rows = self.spark.read.parquet(made).withColumn(       # a partition column is read as text
-            "is_current", F.col("is_current").cast("boolean")).select(*versions.columns)
+        # the schema is given: a run may make no version at all
+        made_rows = self.spark.read.schema(versions.schema).parquet(made).select(*versions.columns)
         history = made_rows.where("NOT is_current")
         if closed is not None:
             history = history.unionByName(closed)

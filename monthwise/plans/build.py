@@ -54,19 +54,20 @@ def materialize_table(spark: SparkSession, df: DataFrame, root: str, layer: str,
     (w.partitionBy("month_start") if monthly else w).parquet(path)
     spark.createDataFrame([(schema, name, run_id, path, dt.datetime.now(dt.timezone.utc))], CURRENT).coalesce(1).write.mode(
         "append").parquet(f"{root.rstrip('/')}/_current")
-    out = read_current(spark, root, schema, name).select(*df.columns)
+    out = read_current(spark, root, schema, name, df.schema).select(*df.columns)
     out.createOrReplaceTempView(f"{schema}__{name}")
     return out
 
 
-def read_current(spark: SparkSession, root: str, schema: str, name: str) -> DataFrame:
-    """The current version of a built table, for any session."""
+def read_current(spark: SparkSession, root: str, schema: str, name: str, columns=None) -> DataFrame:
+    """The current version of a built table, for any session.  ``columns``: its schema,
+    needed only for a partitioned table without rows."""
     log = spark.read.schema(CURRENT).parquet(f"{root.rstrip('/')}/_current")
     mine = log.where((F.col("schema_name") == schema) & (F.col("table_name") == name))
     last = latest_by_key(mine, ["schema_name", "table_name"], ["written_at", "run_id"]).select("path").first()
     if last is None:
         raise KeyError(f"{schema}.{name} has not been built below {root}")
-    return spark.read.parquet(last[0])
+    return (spark.read.schema(columns) if columns else spark.read).parquet(last[0])
 
 
 def build_all(spark: SparkSession, src: Sources, p: Params, root: str | None = None, target: str = "dev",
