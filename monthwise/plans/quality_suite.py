@@ -92,7 +92,7 @@ STALE_PROBE = [("stripe", "subscriptions", 6), ("salesforce", "account", 8),
 def _tables(src: Sources, p: Params, checks: list[Check]) -> dict[str, DataFrame]:
     from monthwise.plans.accounts import dim_accounts
     from monthwise.plans.mrr import fct_mrr
-    from monthwise.plans.reports import monthly_revenue_from_fact
+    from monthwise.plans.reports import FACT_INPUT, monthly_revenue_from_fact
     models = {c.model for c in checks}
     out: dict[str, DataFrame] = {}
     dim = fact = None
@@ -103,9 +103,12 @@ def _tables(src: Sources, p: Params, checks: list[Check]) -> dict[str, DataFrame
         dim = dim_accounts(src, p)
         out["dim_accounts"] = dim
     if models & {"fct_mrr", "rpt_monthly_revenue"}:
-        # written once: the checks and the report read the table, not the expansion
+        # written once, with the columns that the checks and the report read, not expanded again
         path = new_work_path(src.spark, "checked-fact")
-        fct_mrr(src, p).write.parquet(path)
+        fact = fct_mrr(src, p)
+        mine = [c for c in checks if c.model == "fct_mrr"]
+        read = {c.column for c in mine} | set(FACT_INPUT)
+        fact.select(*[c for c in fact.columns if c in read or any(c in (ch.where or "") for ch in mine)]).write.parquet(path)
         fact = src.spark.read.parquet(path)
         out["fct_mrr"] = fact
         out["rpt_monthly_revenue"] = monthly_revenue_from_fact(fact)

@@ -19,6 +19,10 @@ REPORT_COLUMNS = [
 ]
 
 
+# What the report reads of the fact.
+FACT_INPUT = ["month_start", "account_segment", "customer_id", "mrr", "mrr_type", "mrr_change", "prior_month_mrr"]
+
+
 def _sum_when_type(t: str, v: str) -> Column:
     return F.expr(f"sum(CASE WHEN mrr_type = '{t}' THEN {S.money_micros(v)} ELSE 0 END)")
 
