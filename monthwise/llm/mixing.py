@@ -159,7 +159,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """``docs`` in the target mix: a row per document and epoch, with all columns of
     the input and ``domain``, ``tokens`` and ``epoch`` (from 1; clashing columns are replaced)."""
     row = fresh(docs, "row")
-    base = docs.withColumn(row, F.monotonically_increasing_id())
+    # Numbered once: a later scan of the same files may be split otherwise and number them anew.
+    base = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     slim = base.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc"), domain_of(mix).alias("domain"),
                        F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
                        n_tokens().alias("tokens"))

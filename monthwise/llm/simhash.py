@@ -209,7 +209,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
     """``docs`` with one document of each component: the one with the smallest id
     (NULL ids last; of equal ids the first read)."""
     row = fresh(docs, "row")
-    base = docs.withColumn(row, F.monotonically_increasing_id())
+    # Numbered once: a later scan of the same files may be split otherwise and number them anew.
+    base = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     near = near_duplicates(base.select(row, F.col("doc_id").cast("long").alias("doc"), "text"), [row, "doc"],
                            shingle, max_bits, tile)
     first = (near.groupBy("component").agg(F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", row)).alias("first"))
