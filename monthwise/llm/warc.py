@@ -63,11 +63,12 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0,
                    records_per_file: int = RECORDS_PER_FILE, codec: str = "gzip") -> None:
     """``pages`` (page_id, url, html) as WARC archives below ``path``."""
     row = fresh(pages, "row")
-    base = pages.select(
+    # Numbered once: a later scan of the same files may be split otherwise and number them anew.
+    base = written(pages.select(
         F.monotonically_increasing_id().alias(row), F.col("page_id").cast("long").alias("page_id"),
         F.regexp_replace(F.col("url").cast("string"), "[\r\n]", " ").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"),
-    ).withColumn("hash", F.sha1("payload")).withColumn("bytes", F.octet_length("payload"))
+    ).withColumn("hash", F.sha1("payload")).withColumn("bytes", F.octet_length("payload")), "captures")
     # One row per payload that occurs more than once: whom its copies refer to.
     kept = (base.where(F.col("bytes") >= min_bytes).select("hash", "page_id", row)
             .groupBy("hash").agg(F.max(F.struct("page_id", row)).alias("kept"), F.count("*").alias("n"))

@@ -5,7 +5,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from monthwise.llm import common, mixing, simhash
+from monthwise.llm import common, mixing, simhash, warc
 
 SPLITS = "spark.sql.files.minPartitionNum"
 
@@ -17,7 +17,7 @@ def resplit(spark, monkeypatch):
         out = common.written(df, name)
         spark.conf.set(SPLITS, "1")
         return out
-    for module in (simhash, mixing):
+    for module in (simhash, mixing, warc):
         monkeypatch.setattr(module, "written", written)
     spark.conf.set(SPLITS, "64")
     yield
@@ -47,3 +47,15 @@ def test_mixed(spark, workdir, resplit):
     spark.conf.set(SPLITS, "64")
     got = sorted(map(tuple, mixing.mixed(from_files(spark, df, workdir)).collect()))
     assert got == want and len(got) > 50
+
+
+def test_archives(spark, workdir, resplit):
+    pages = [(p, f"http://h{p % 7}/{p}", f"body {p % 50}") for p in range(200)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    warc.write_archives(from_files(spark, df, workdir), workdir + "/w")
+    got = warc.assemble(warc.read_records(spark, workdir + "/w")).collect()
+    page = {r.capture: int(r.metadata[0].fields.split()[1]) for r in got}
+    kept = {p % 50: p for p, _, _ in pages}                              # the greatest id of each payload
+    assert sorted((page[r.capture], page.get(r.refers_to)) for r in got) == sorted(
+        (p, None if kept[p % 50] == p else kept[p % 50]) for p, _, _ in pages)
+    assert all(bytes(r.response.payload).decode() == f"body {page[r.capture] % 50}" for r in got if r.response)
