@@ -2,7 +2,8 @@
 
 An Aho-Corasick automaton over the words of a text (lower-cased in ASCII, joined by
 single spaces) finds notice phrases and the words of an identifier tag in one pass.
-Only texts with a tag are looked at again: the expression behind each tag is parsed
+Only texts with a tag are looked at again: the expression behind each tag (up to the
+next tag or the end of the line) is parsed
 by a shunting-yard parser (operators WITH, AND, OR, in falling precedence, and
 parentheses) and evaluated to the obligations a user of the text would face: OR takes the
 freest operand, AND the strictest, WITH softens a copyleft licence by one step.
@@ -56,7 +57,7 @@ FAMILIES = {
 }
 # How sure each kind of evidence makes us that a text states a licence.
 TAG_WEIGHT, NOTICE_WEIGHT = 0.95, 0.6
-TAG_LINE = re.compile(r"spdx[^0-9a-z\n\x80-\U0010ffff]*license[^0-9a-z\n\x80-\U0010ffff]*identifier[ \t]*[:=]?[ \t]*([^\n]*)", re.I)
+TAG_START = re.compile(r"spdx[^0-9a-z\n\x80-\U0010ffff]*license[^0-9a-z\n\x80-\U0010ffff]*identifier[ \t]*[:=]?[ \t]*", re.I)
 TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 STRENGTH = {"or": 1, "and": 2, "with": 3}
 
@@ -68,13 +69,15 @@ def family(licence: str) -> str:
     return FAMILIES[max(known, key=len)] if known else "unknown"
 
 
-def postfix(expression: str) -> list[str] | None:
-    """Shunting yard: the longest well-formed expression at the start of the string,
-    in postfix order; None if there is none.  Stops at the first token that can't
-    continue it, as tags are followed by comment ends and prose."""
+def postfix(expression: str, cut: bool = False) -> list[str] | None:
+    """Shunting yard: the expression at the start of the string, in postfix order; None
+    if there is none.  Stops at the first token that can't continue it, as tags are
+    followed by comment ends and prose.  If it is unfinished there: None, or with
+    ``cut`` the longest well-formed expression at the start."""
     out: list[str] = []
     stack: list[str] = []
     operand_next = True
+    whole = None                    # length of ``out`` and open operators (three at most) when last well-formed
     for found in TOKEN.finditer(expression):
         token = found.group()
         word = token.lower()
@@ -82,7 +85,7 @@ def postfix(expression: str) -> list[str] | None:
             if token == "(":
                 stack.append(token)
             elif token == ")" or word in STRENGTH:
-                return None
+                break
             else:
                 out.append(token)
                 operand_next = False
@@ -97,14 +100,17 @@ def postfix(expression: str) -> list[str] | None:
             stack.pop()
         else:
             break
-    if operand_next or "(" in stack:
+        if not operand_next and "(" not in stack:
+            whole = len(out), stack[::-1]
+    if whole is None or not cut and (operand_next or "(" in stack):
         return None
-    return out + stack[::-1]
+    return out[:whole[0]] + whole[1]
 
 
-def evaluate(expression: str) -> tuple[str, list[str]] | None:
-    """(class of obligations, licence ids named) of an expression; None if malformed."""
-    order = postfix(expression)
+def evaluate(expression: str, cut: bool = False) -> tuple[str, list[str]] | None:
+    """(class of obligations, licence ids named) of an expression; None if malformed,
+    unless ``cut`` and its start is well-formed."""
+    order = postfix(expression, cut)
     if order is None:
         return None
     stack: list[tuple[int, str]] = []
@@ -157,10 +163,12 @@ def scan_text(text: str | None, phrases) -> dict:
         else:
             notices.append((start, NOTICES[phrase]))
     expressions, ids, obligations = [], set(), set()
-    for found in TAG_LINE.finditer(text) if tagged else ():
-        read = evaluate(found.group(1))
+    tags = list(TAG_START.finditer(text)) if tagged else []
+    for found, end in zip(tags, [*(after.start() for after in tags[1:]), None]):
+        behind = text[found.end():end].partition("\n")[0]
+        read = evaluate(behind, cut=True)
         if read:
-            expressions.append(found.group(1).strip())
+            expressions.append(behind.strip())
             obligations.add(read[0])
             ids.update(read[1])
     base_labels = {label for _, label in base}
