@@ -24,12 +24,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines cut (operator 1); ``n_chars`` follows the text.  Documents of
     which nothing is left but white space are dropped, those that were blank before stay."""
-    gone = fresh(docs, "gone")
-    out = line_dedup.remove_boilerplate(docs).withColumnRenamed("n_removed", gone)
+    # The operator replaces columns of these names; the input's own step aside.
+    aside = {c: fresh(docs, f"own_{c}") for c in docs.columns if c.lower() in ("n_lines", "n_removed")}
+    named = docs.withColumnsRenamed(aside)
+    gone = fresh(named, "gone")
+    out = line_dedup.remove_boilerplate(named).withColumnRenamed("n_removed", gone)
     return (out.where((F.col(gone) == 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
             .withColumn("n_chars", F.when(F.col(gone) == 0, F.col("n_chars")).otherwise(
                 F.length("text").cast(docs.schema["n_chars"].dataType)))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns]))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
