@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthwise.llm import (decontaminate, langid, licenses, line_dedup, mixing, quality, simhash, token_counts, topk,
-                           warc)
+from monthwise.llm import (decontaminate, divergence, fingerprints, langid, licenses, line_dedup, mixing, quality, simhash,
+                           token_counts, topk, vector_codes, warc)
 from monthwise.llm.common import fold_of, table
 from monthwise.session import new_work_path
 
@@ -98,10 +98,30 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash fingerprints of every document and its edited text, with their likeness."""
+    made = fingerprints.with_edits(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_chars", "edited_sha256", fingerprints.as_text(F.col("packed")).alias("fingerprint"),
+                       fingerprints.as_text(F.col("edited_packed")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight-part codes of every vector after six rounds, with errors and the codebooks' digest."""
+    coded, fitted = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    digits = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    digest = vector_codes.codebook_digest(fitted.books) if fitted else F.lit(None).cast("string")
+    return coded.select("vec_id", digits.alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences between the sources of each language, and the terms each source overuses."""
+    return divergence.audit(table(spark, sf_dir, "documents")).select("lang", "source", "part", "item", "value", "rank")
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_line_dedup, op2_license_scan, op3_token_counts, op4_decontamination, op5_exact_topk, op6_warc,
-        op7_language_id, op8_simhash, op9_mixing, op10_quality)}
+        op7_language_id, op8_simhash, op9_mixing, op10_quality, op11_fingerprints, op12_vector_codes, op13_divergence)}
 
 
 OP1_SQL = """
@@ -208,5 +228,79 @@ SELECT doc_id, domain, lang, source, tokens, unnest(range(1, epochs::INT + 1))::
 """
 
 
+def op12_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """The rounds unrolled, every part against every entry."""
+    nearest = """
+a{r} AS (
+  SELECT vec_id, label, part, v, min((d, entry)) AS best FROM (
+    SELECT p.*, b.entry, list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM p JOIN b{r} b USING (part)) GROUP BY ALL),"""
+    step = """
+c{r} AS (
+  SELECT part, entry, list(floor(s / n::HUGEINT)::BIGINT ORDER BY pos) AS v FROM (
+    SELECT part, best[2] AS entry, pos, sum(v[pos])::HUGEINT AS s, count(*) AS n
+    FROM a{r}, range(1, (SELECT max(len(v)) FROM p) + 1) t(pos) GROUP BY ALL) GROUP BY ALL),
+b{n} AS (SELECT part, entry, coalesce(c.v, b.v) AS v FROM b{r} b LEFT JOIN c{r} c USING (part, entry)),"""
+    # Integer division that rounds down, also below zero.
+    step = step.replace("floor(s / n::HUGEINT)::BIGINT", "((s - ((s % n) + n) % n) // n)::BIGINT")
+    body = "".join(nearest.format(r=r) + step.format(r=r, n=r + 1) for r in range(rounds)) + nearest.format(r=rounds)
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT vec_id, label, part, v[part * len(v) // 8 + 1 : (part + 1) * len(v) // 8] AS v FROM kept, range(8) t(part)),
+b0 AS (
+  SELECT part, entry, p.v FROM (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 16) JOIN p USING (vec_id)),
+{body}
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best[2]::INT), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error
+  FROM a{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT row, lang, source, term, count(*) AS n FROM (SELECT row, lang, source, unnest(terms) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term FROM c GROUP BY ALL HAVING count(*) >= 30),
+vs AS (SELECT lang, count(*) AS v FROM kept GROUP BY ALL),
+s AS (SELECT lang, source, term, sum(n)::HUGEINT AS n FROM c JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(s.n, 0)::HUGEINT AS n FROM g JOIN kept k USING (lang)
+  LEFT JOIN s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p
+  FROM cells JOIN vs USING (lang)),
+whole AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q
+  FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM s GROUP BY ALL) JOIN vs USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(any_value(f), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p))::BIGINT AS f
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) z
+  ON z.lang = a.lang AND z.source = a.source AND z.other = b.source GROUP BY ALL),
+over AS (
+  SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value,
+       row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+  SELECT lang, source, 'term' AS part, item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM over) WHERE rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op5_exact_topk": OP5_SQL, "op6_warc": OP6_SQL, "op9_mixing": op9_sql()}
+    return {"op1_line_dedup": OP1_SQL, "op5_exact_topk": OP5_SQL, "op6_warc": OP6_SQL, "op9_mixing": op9_sql(),
+            "op12_vector_codes": op12_sql(), "op13_divergence": OP13_SQL}
