@@ -18,82 +18,128 @@ share p0 where a source lacks it,
 the first sum from terms both hold, the others from histograms of p, of which a source has
 far fewer values than terms.  All arithmetic is in whole numbers.
 
-Memory: fitting passes the vocabulary through the driver and transforming broadcasts it, so
-terms are dealt by hash to slices of about ``SLICE_TERMS`` distinct terms (counted before
-minDF, by HyperLogLog), each fitted on its own; the number of slices grows with the
-corpus, the size of one does not.
+Memory: fitting passes the vocabulary through the driver and transforming broadcasts it.  As a
+kept term has at least ``min_df`` places, the corpus' places over ``min_df`` bound the kept
+terms; terms are dealt by hash to as many slices as keep that bound below ``SLICE_TERMS``,
+each fitted on its own.  The number of slices grows with the corpus, the size of one
+does not.
 
 Terms are maximal runs of ASCII letters and non-ASCII characters, A-Z lower-cased.  NULL text,
 language or source counts as ''.  Every row is a document, so repeated rows count again.
 Groups without terms appear with counts of 0; a language without kept terms gives
 differences of 0 and no terms; an empty table gives an empty result.  Other columns
-are not read.  A text is held as an array of its terms in its own row; however long it is,
+are not read.  A text is held as a list of its terms in its own row; however long it is,
 it adds 1 to a term's document frequency and all places to its count.
 """
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from monthwise.llm.common import written
+from monthwise.session import new_work_path
 
 MIN_DF, ALPHA, SCALE, TOP = 30, 5, 1_000_000_000, 50
 MAX_VOCAB = 2**31 - 1
-SLICE_TERMS = 2_000_000
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BETWEEN_TERMS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
-
-
-def terms(text: Column) -> Column:
-    """Terms of a text in order."""
-    split = F.split(F.translate(text, UPPER, LOWER), BETWEEN_TERMS, -1)
-    return F.filter(split, lambda t: t != "")
+SLICE_TERMS = 6_000_000
+MARK = "\x00"            # between language and term; no term holds it
+BLOCK_ROWS = 256
+# Bytes of a term, A-Z lower-cased; all others become spaces.
+TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
 def or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def tokenised(docs: DataFrame, text: str, lang: str, source: str) -> tuple[DataFrame, int]:
-    """(slice, lang, source, terms), written once by slice, and the number of slices."""
-    keyed = docs.select(or_empty(lang).alias("lang"), or_empty(source).alias("source"), terms(or_empty(text)).alias("terms"))
-    plain = written(keyed, "terms")
-    distinct = plain.select("lang", F.explode("terms").alias("t")).agg(
-        F.approx_count_distinct(F.xxhash64("lang", "t"), 0.02)).first()[0]
-    slices = max(1, -(-int(distinct) // SLICE_TERMS))
+def marked_terms(texts: list[bytes], langs: list[str]) -> pa.ListArray:
+    """Per text its terms in order, each behind its language and the mark."""
+    blobs, sizes, ends = [], [], [0]
+    for text, lang in zip(texts, langs):
+        words = text.translate(TERM_BYTES).split()
+        prefix = (lang + MARK).encode("utf-8", "replace")
+        blobs.append(prefix.join([b"", *words]))
+        sizes.append(np.fromiter(map(len, words), np.int64, len(words)) + len(prefix))
+        ends.append(ends[-1] + len(words))
+    offsets = np.concatenate([[0], *sizes]).cumsum()
+    data = pa.LargeStringArray.from_buffers(
+        len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(b"".join(blobs)))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), data.cast(pa.string()))
+
+
+def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, text) to (lang, source, terms)."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, BLOCK_ROWS):
+            batch = whole.slice(at, BLOCK_ROWS)
+            found = marked_terms(batch.column(2).to_pylist(), batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["lang", "source", "terms"])
+
+
+def deal(slices: int):
+    """(lang, source, terms) to a row (slice, lang, source, terms) per slice of which it has terms."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK_ROWS):
+                batch = whole.slice(at, BLOCK_ROWS)
+                lists = batch.column(2)
+                found = lists.flatten().dictionary_encode()
+                owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+                of_word = np.array([zlib.crc32(w.encode("utf-8", "replace")) % slices for w in found.dictionary.to_pylist()], np.int64)
+                place = of_word[found.indices.to_numpy(zero_copy_only=False)] if len(found) else np.zeros(0, np.int64)
+                order = np.lexsort((owner, place))
+                cell = place[order] * len(lists) + owner[order]
+                starts = np.flatnonzero(np.diff(cell, prepend=-1))
+                rows = pa.array(owner[order][starts])
+                ends = pa.array(np.append(starts, len(cell)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(place[order][starts].astype(np.int32)), batch.column(0).take(rows), batch.column(1).take(rows),
+                     pa.ListArray.from_arrays(ends, found.take(pa.array(order)).cast(pa.string()))],
+                    names=["slice", "lang", "source", "terms"])
+    return run
+
+
+def tokenised(docs: DataFrame, text: str, lang: str, source: str, min_df: int, slice_terms: int) -> list[DataFrame]:
+    """(lang, source, terms) of all documents, one frame per slice of the terms; written once."""
+    keyed = docs.select(or_empty(lang).alias("lang"), or_empty(source).alias("source"), or_empty(text).cast("binary").alias("text"))
+    schema = "lang string, source string, terms array<string>"
+    seen = Observation("terms")
+    plain = written(keyed.mapInArrow(tokenise, schema).observe(seen, F.sum(F.size("terms").cast("long")).alias("n")), "terms")
+    slices = max(1, -(-(seen.get["n"] or 0) // (min_df * slice_terms)))
     if slices == 1:
-        return plain.withColumn("slice", F.lit(0)), 1
-    of = F.transform(F.sequence(F.lit(0), F.lit(slices - 1)), lambda s: F.struct(s.alias("slice"), F.filter(
-        F.col("terms"), lambda t: F.pmod(F.xxhash64(t), F.lit(slices)) == s).alias("terms")))
-    dealt = plain.select("lang", "source", F.explode(of).alias("part")).select("lang", "source", "part.*")
-    return written(dealt.where(F.size("terms") > 0), "term-slices"), slices
+        return [plain]
+    path = new_work_path(docs.sparkSession, "term-slices")
+    plain.mapInArrow(deal(slices), f"slice int, {schema}").write.option("compression", "zstd").partitionBy("slice").parquet(path)
+    dealt = docs.sparkSession.read.schema(f"{schema}, slice int").parquet(path)
+    return [dealt.where(F.col("slice") == i).drop("slice") for i in range(slices)]
 
 
-def counted(documents: DataFrame, slice_: int, min_df: int) -> DataFrame | None:
+def counted(documents: DataFrame, number: int, min_df: int) -> DataFrame | None:
     """(lang, source, term, n) of one slice's kept terms; None if it has none."""
-    mark = "\x00"                # no term holds it
-    rows = documents.select("lang", "source", F.transform(
-        "terms", lambda t: F.concat(F.col("lang"), F.lit(mark), t)).alias("terms"))
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCAB)
     try:
-        model = vectorizer.fit(rows)
+        model = vectorizer.fit(documents)
     except IllegalArgumentException as e:
         if "vocabulary size should be" not in str(e):
             raise
         return None
     spark = documents.sparkSession
     words = written(spark.createDataFrame(enumerate(model.vocabulary), "place int, word string").select(
-        "place", F.substring_index("word", mark, -1).alias("term")), f"vocabulary-{slice_}")
-    vector = F.unwrap_udt("vector")
-    cells = model.transform(rows).select("lang", "source", vector.alias("v")).select(
+        "place", F.substring_index("word", MARK, -1).alias("term")), f"vocabulary-{number}")
+    cells = model.transform(documents).select("lang", "source", F.unwrap_udt("vector").alias("v")).select(
         "lang", "source", F.explode(F.arrays_zip(F.col("v.indices").alias("place"), F.col("v.values").alias("x"))).alias("cell"))
     # Counts are whole and far below 2^53, so their doubles are exact.
     sums = cells.groupBy("lang", "source", F.col("cell.place").alias("place")).agg(
         F.sum(F.col("cell.x").cast("long")).alias("n"))
-    return written(sums.join(words, "place").select("lang", "source", "term", "n"), f"group-sums-{slice_}")
+    return written(sums.join(words, "place").select("lang", "source", "term", "n"), f"group-sums-{number}")
 
 
 def share(n: Column, total: Column, vocabulary: Column, alpha: int, scale: int) -> Column:
@@ -105,20 +151,19 @@ def share(n: Column, total: Column, vocabulary: Column, alpha: int, scale: int)
 
 
 def audit(docs: DataFrame, min_df: int = MIN_DF, alpha: int = ALPHA, scale: int = SCALE, top: int = TOP, text: str = "text",
-          lang: str = "lang", source: str = "source") -> DataFrame:
+          lang: str = "lang", source: str = "source", slice_terms: int = SLICE_TERMS) -> DataFrame:
     """(lang, source, part, item, value, rank, p, q): per group, part ``pair`` with every other source
     of its language by descending difference (p, q NULL), and part ``term`` with the ``top``
     terms it uses more than its language does (p its share, q the language's).  Ties go to the
     smaller item in UTF-8."""
     spark = docs.sparkSession
-    documents, slices = tokenised(docs, text, lang, source)
-    groups = documents if slices == 1 else docs.select(or_empty(lang).alias("lang"), or_empty(source).alias("source"))
-    groups = written(groups.select("lang", "source").distinct(), "groups")
+    parts = tokenised(docs, text, lang, source, min_df, slice_terms)
+    groups = written(docs.select(or_empty(lang).alias("lang"), or_empty(source).alias("source")).distinct(), "groups")
     sums = spark.createDataFrame([], "lang string, source string, term string, n bigint")
-    for i in range(slices):
-        part = counted(documents.where(F.col("slice") == i), i, min_df)
-        if part is not None:
-            sums = sums.unionByName(part)
+    for number, part in enumerate(parts):
+        of_part = counted(part, number, min_df)
+        if of_part is not None:
+            sums = sums.unionByName(of_part)
 
     # Totals: a row per group and per language.
     of_lang = sums.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
