@@ -76,21 +76,21 @@ def marked_terms(texts: list[bytes], langs: list[str]) -> pa.ListArray:
 
 
 def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, text) to (lang, source, terms)."""
+    """(grp, lang, text) to (grp, terms)."""
     for whole in batches:
         for at in range(0, whole.num_rows, BLOCK_ROWS):
             batch = whole.slice(at, BLOCK_ROWS)
-            found = marked_terms(batch.column(2).to_pylist(), batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), found], names=["lang", "source", "terms"])
+            found = marked_terms(batch.column(2).to_pylist(), batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["grp", "terms"])
 
 
 def deal(slices: int):
-    """(lang, source, terms) to a row (slice, lang, source, terms) per slice of which it has terms."""
+    """(grp, terms) to a row (slice, grp, terms) per slice of which it has terms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK_ROWS):
                 batch = whole.slice(at, BLOCK_ROWS)
-                lists = batch.column(2)
+                lists = batch.column(1)
                 found = lists.flatten().dictionary_encode()
                 owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
                 of_word = np.array([zlib.crc32(w.encode("utf-8", "replace")) % slices for w in found.dictionary.to_pylist()], np.int64)
@@ -101,29 +101,49 @@ def deal(slices: int):
                 rows = pa.array(owner[order][starts])
                 ends = pa.array(np.append(starts, len(cell)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(place[order][starts].astype(np.int32)), batch.column(0).take(rows), batch.column(1).take(rows),
+                    [pa.array(place[order][starts].astype(np.int32)), batch.column(0).take(rows),
                      pa.ListArray.from_arrays(ends, found.take(pa.array(order)).cast(pa.string()))],
-                    names=["slice", "lang", "source", "terms"])
+                    names=["slice", "grp", "terms"])
     return run
 
 
-def tokenised(docs: DataFrame, text: str, lang: str, source: str, min_df: int, slice_terms: int) -> list[DataFrame]:
-    """(lang, source, terms) of all documents, one frame per slice of the terms; written once."""
-    keyed = docs.select(or_empty(lang).alias("lang"), or_empty(source).alias("source"), or_empty(text).cast("binary").alias("text"))
-    schema = "lang string, source string, terms array<string>"
+def group_id(lang: Column, source: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), lang, source)
+
+
+def grouped(keyed: DataFrame) -> tuple[DataFrame, int]:
+    """(grp, lang, source) of all groups, and the seed under which their numbers are unique."""
+    found = written(keyed.select("lang", "source").distinct(), "groups")
+    for seed in range(64):
+        numbered = found.withColumn("grp", group_id(F.col("lang"), F.col("source"), seed))
+        if numbered.count() == numbered.select("grp").distinct().count():
+            return numbered, seed
+    raise RuntimeError("group numbers collide under every seed")
+
+
+def tokenised(keyed: DataFrame, seed: int, min_df: int, slice_terms: int) -> list[DataFrame]:
+    """(grp, terms) of all documents, one frame per slice of the terms; written once.  Documents
+    meet by group first, in ranges, so a task holds few groups (their sums combine there) and
+    a large group spans many tasks."""
+    spark = keyed.sparkSession
+    rows = keyed.select(group_id(F.col("lang"), F.col("source"), seed).alias("grp"), "lang", "text")
+    near = rows.repartitionByRange("grp", F.xxhash64("text"))
     seen = Observation("terms")
-    plain = written(keyed.mapInArrow(tokenise, schema).observe(seen, F.sum(F.size("terms").cast("long")).alias("n")), "terms")
+    plain = written(near.mapInArrow(tokenise, "grp bigint, terms array<string>").observe(
+        seen, F.sum(F.size("terms").cast("long")).alias("n")), "terms")
     slices = max(1, -(-(seen.get["n"] or 0) // (min_df * slice_terms)))
     if slices == 1:
         return [plain]
-    path = new_work_path(docs.sparkSession, "term-slices")
-    plain.mapInArrow(deal(slices), f"slice int, {schema}").write.option("compression", "zstd").partitionBy("slice").parquet(path)
-    dealt = docs.sparkSession.read.schema(f"{schema}, slice int").parquet(path)
+    path = new_work_path(spark, "term-slices")
+    plain.mapInArrow(deal(slices), "slice int, grp bigint, terms array<string>").write.option(
+        "compression", "zstd").partitionBy("slice").parquet(path)
+    dealt = spark.read.schema("grp bigint, terms array<string>, slice int").parquet(path)
     return [dealt.where(F.col("slice") == i).drop("slice") for i in range(slices)]
 
 
-def counted(documents: DataFrame, number: int, min_df: int) -> DataFrame | None:
-    """(lang, source, term, n) of one slice's kept terms; None if it has none."""
+def counted(documents: DataFrame, number: int, min_df: int) -> tuple[DataFrame, DataFrame] | None:
+    """Of one slice's kept terms, ((term, lang, item): number, language and text of each) and
+    ((grp, term, n): counts of each group); None if it has none."""
     vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=float(min_df), vocabSize=MAX_VOCAB)
     try:
         model = vectorizer.fit(documents)
@@ -132,14 +152,16 @@ def counted(documents: DataFrame, number: int, min_df: int) -> DataFrame | None:
             raise
         return None
     spark = documents.sparkSession
-    words = written(spark.createDataFrame(enumerate(model.vocabulary), "place int, word string").select(
-        "place", F.substring_index("word", MARK, -1).alias("term")), f"vocabulary-{number}")
-    cells = model.transform(documents).select("lang", "source", F.unwrap_udt("vector").alias("v")).select(
-        "lang", "source", F.explode(F.arrays_zip(F.col("v.indices").alias("place"), F.col("v.values").alias("x"))).alias("cell"))
+    base = F.lit(number).cast("long") * MAX_VOCAB          # slices number their terms apart
+    words = spark.createDataFrame(enumerate(model.vocabulary), "place int, word string").select(
+        (F.col("place") + base).alias("term"), F.regexp_extract("word", r"(?s)^(.*)\x00", 1).alias("lang"),
+        F.substring_index("word", MARK, -1).alias("item"))
+    cells = model.transform(documents).select("grp", F.unwrap_udt("vector").alias("v")).select(
+        "grp", F.explode(F.arrays_zip(F.col("v.indices").alias("place"), F.col("v.values").alias("x"))).alias("cell"))
     # Counts are whole and far below 2^53, so their doubles are exact.
-    sums = cells.groupBy("lang", "source", F.col("cell.place").alias("place")).agg(
-        F.sum(F.col("cell.x").cast("long")).alias("n"))
-    return written(sums.join(words, "place").select("lang", "source", "term", "n"), f"group-sums-{number}")
+    sums = cells.groupBy("grp", F.col("cell.place").alias("place")).agg(F.sum(F.col("cell.x").cast("long")).alias("n"))
+    sums = sums.select("grp", (F.col("place") + base).alias("term"), "n")
+    return written(words, f"vocabulary-{number}"), written(sums, f"group-sums-{number}")
 
 
 def share(n: Column, total: Column, vocabulary: Column, alpha: int, scale: int) -> Column:
@@ -157,64 +179,69 @@ def audit(docs: DataFrame, min_df: int = MIN_DF, alpha: int = ALPHA, scale: int
     terms it uses more than its language does (p its share, q the language's).  Ties go to the
     smaller item in UTF-8."""
     spark = docs.sparkSession
-    parts = tokenised(docs, text, lang, source, min_df, slice_terms)
-    groups = written(docs.select(or_empty(lang).alias("lang"), or_empty(source).alias("source")).distinct(), "groups")
-    sums = spark.createDataFrame([], "lang string, source string, term string, n bigint")
-    for number, part in enumerate(parts):
-        of_part = counted(part, number, min_df)
-        if of_part is not None:
-            sums = sums.unionByName(of_part)
-
-    # Totals: a row per group and per language.
-    of_lang = sums.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
-    of_lang = of_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("lang_n").alias("lang_total"))
-    held = sums.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("held"))
+    keyed = docs.select(or_empty(lang).alias("lang"), or_empty(source).alias("source"), or_empty(text).cast("binary").alias("text"))
+    groups, seed = grouped(keyed)
+    words = spark.createDataFrame([], "term bigint, lang string, item string")
+    sums = spark.createDataFrame([], "grp bigint, term bigint, n bigint")
+    for number, part in enumerate(tokenised(keyed, seed, min_df, slice_terms)):
+        found = counted(part, number, min_df)
+        if found is not None:
+            words, sums = words.unionByName(found[0]), sums.unionByName(found[1])
+
+    # A row per group: its sum, how many kept terms it holds, and its share p0 of a term it lacks.
     zero = F.lit(0).cast("long")
-    totals = groups.join(held, ["lang", "source"], "left").join(of_lang, "lang", "left").select(
-        "lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("held", zero).alias("held"),
-        F.coalesce("v", zero).alias("v"), F.coalesce("lang_total", zero).alias("lang_total"))
-    totals = written(totals.withColumn("p0", share(zero, F.col("total"), F.col("v"), alpha, scale)), "group-totals")
-    shares = written(sums.join(totals, ["lang", "source"]).withColumn(
-        "p", share(F.col("n"), F.col("total"), F.col("v"), alpha, scale)).select(
-        "lang", "source", "term", "n", "p", "p0", "lang_total", "v"), "group-shares")
-    out = pairs(totals, shares).unionByName(over_used(shares, alpha, scale, top))
+    held = sums.groupBy("grp").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("held"))
+    vocabulary = words.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
+    totals = groups.join(held, "grp", "left").join(vocabulary, "lang", "left").select(
+        "grp", "lang", "source", F.coalesce("total", zero).alias("total"), F.coalesce("held", zero).alias("held"),
+        F.coalesce("v", zero).alias("v"))
+    lang_total = F.sum("total").over(Window.partitionBy("lang"))
+    totals = written(totals.withColumn("lang_total", lang_total).withColumn(
+        "p0", share(zero, F.col("total"), F.col("v"), alpha, scale)), "group-totals")
+    shares = sums.join(totals.select("grp", "total", "v", "lang_total", "p0"), "grp").withColumn(
+        "p", share(F.col("n"), F.col("total"), F.col("v"), alpha, scale))
+    # A term's language total beside each of its groups: one exchange by term, which the pairs share.
+    by_term = written(shares.withColumn("lang_n", F.sum("n").over(Window.partitionBy("term"))).select(
+        "grp", "term", "p", "p0", share(F.col("lang_n"), F.col("lang_total"), F.col("v"), alpha, scale).alias("q")), "group-shares")
+    out = pairs(totals, by_term).unionByName(over_used(totals, by_term, words, top))
     return out.select("lang", "source", "part", "item", "value", "rank", "p", "q")
 
 
 def pairs(totals: DataFrame, shares: DataFrame) -> DataFrame:
     """Every ordered pair of a language's sources; each unordered one is evaluated once."""
-    one = totals.select("lang", F.col("source").alias("a"), F.col("held").alias("n_a"), F.col("p0").alias("a0"), "v")
-    two = totals.select("lang", F.col("source").alias("b"), F.col("held").alias("n_b"), F.col("p0").alias("b0"))
+    one = totals.select("lang", F.col("grp").alias("a"), F.col("source").alias("a_source"), F.col("held").alias("n_a"),
+                        F.col("p0").alias("a0"), "v")
+    two = totals.select("lang", F.col("grp").alias("b"), F.col("source").alias("b_source"), F.col("held").alias("n_b"),
+                        F.col("p0").alias("b0"))
     both = one.join(two, "lang").where("a < b")
-    left = shares.select("lang", "term", F.col("source").alias("a"), F.col("p").alias("p"), F.col("p0").alias("a0"))
-    right = shares.select("lang", "term", F.col("source").alias("b"), F.col("p").alias("q"), F.col("p0").alias("b0"))
-    shared = left.join(right, ["lang", "term"]).where("a < b").groupBy("lang", "a", "b").agg(
+    left = shares.select("term", F.col("grp").alias("a"), "p", F.col("p0").alias("a0"))
+    right = shares.select("term", F.col("grp").alias("b"), F.col("p").alias("q"), F.col("p0").alias("b0"))
+    shared = left.join(right, "term").where("a < b").groupBy("a", "b").agg(
         F.expr("sum(abs(p - q) - abs(p - b0) - abs(a0 - q) + abs(a0 - b0))").alias("shared"))
     # |p - q0| over a source's own terms: by the values of p, not by term.
-    values = shares.groupBy("lang", "source", "p").agg(F.count(F.lit(1)).alias("times"))
-    alone = values.join(totals.select("lang", F.col("source").alias("other"), F.col("p0").alias("q0")), "lang").where(
-        "source <> other").groupBy("lang", "source", "other").agg(F.expr("sum(times * abs(p - q0))").alias("alone"))
-    first = alone.toDF("lang", "a", "b", "alone_a")
-    second = alone.toDF("lang", "b", "a", "alone_b")
+    values = shares.groupBy("grp", "p").agg(F.count(F.lit(1)).alias("times")).join(totals.select("grp", "lang"), "grp")
+    alone = values.join(totals.select("lang", F.col("grp").alias("other"), F.col("p0").alias("q0")), "lang").where(
+        "grp <> other").groupBy("grp", "other").agg(F.expr("sum(times * abs(p - q0))").alias("alone"))
+    first = alone.toDF("a", "b", "alone_a")
+    second = alone.toDF("b", "a", "alone_b")
     value = F.expr("coalesce(shared, 0) + coalesce(alone_a, 0) + coalesce(alone_b, 0) "
                    "+ coalesce((v - n_a - n_b) * abs(a0 - b0), 0)")
-    keys = ["lang", "a", "b"]
-    whole = both.join(shared, keys, "left").join(first, keys, "left").join(second, keys, "left").select(*keys, value.alias("value"))
-    sides = F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")),
-                    F.struct(F.col("b").alias("source"), F.col("a").alias("item")))
-    whole = whole.select("lang", "value", F.explode(sides).alias("side")).select("lang", "side.*", "value")
+    keys = ["a", "b"]
+    whole = both.join(shared, keys, "left").join(first, keys, "left").join(second, keys, "left")
+    sides = F.array(F.struct(F.col("a_source").alias("source"), F.col("b_source").alias("item")),
+                    F.struct(F.col("b_source").alias("source"), F.col("a_source").alias("item")))
+    whole = whole.select("lang", value.cast("long").alias("value"), F.explode(sides).alias("side")).select("lang", "side.*", "value")
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     none = F.lit(None).cast("long")
-    return whole.select("lang", "source", F.lit("pair").alias("part"), "item", F.col("value").cast("long").alias("value"),
-                        rank.alias("rank"), none.alias("p"), none.alias("q"))
+    return whole.select("lang", "source", F.lit("pair").alias("part"), "item", "value", rank.alias("rank"),
+                        none.alias("p"), none.alias("q"))
 
 
-def over_used(shares: DataFrame, alpha: int, scale: int, top: int) -> DataFrame:
+def over_used(totals: DataFrame, shares: DataFrame, words: DataFrame, top: int) -> DataFrame:
     """Terms of a group with a share above their language's, the ``top`` first of each group
     (cut within each task before they meet)."""
-    whole = shares.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.max("lang_total").alias("t"), F.max("v").alias("w"))
-    whole = whole.select("lang", "term", share(F.col("lang_n"), F.col("t"), F.col("w"), alpha, scale).alias("q"))
-    above = shares.join(whole, ["lang", "term"]).where("p > q").select(
-        "lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"), "p", "q")
-    rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
-    return above.withColumn("rank", rank).where(F.col("rank") <= top).withColumn("part", F.lit("term"))
+    above = shares.where("p > q").join(words.select("term", "item"), "term").withColumn("value", F.col("p") - F.col("q"))
+    rank = F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("value"), "item"))
+    best = above.withColumn("rank", rank).where(F.col("rank") <= top)
+    return best.join(totals.select("grp", "lang", "source"), "grp").select(
+        "lang", "source", F.lit("term").alias("part"), "item", "value", "rank", "p", "q")
