@@ -19,7 +19,6 @@ order; empty tables give empty results; repeated rows are predicted each.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +34,15 @@ ROUNDS = 30
 SMOOTHING = 0.5
 MIXER = 0x9E3779B1                   # odd multiplier of the hash
 CHUNK = 4 << 20                      # bytes hashed at once
-LETTER = re.compile(r"[^\W\d_]")
 # ASCII letters lower-cased, all other ASCII characters a space, the rest kept.
 LETTER_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Letters only: numerals such as \u00b2, \u00bd or \u2167 are none."""
+    return any(map(str.isalpha, text))
+
+
 def normal(text: str) -> bytes:
     words = text.encode("utf-8", "replace").translate(LETTER_BYTES).split()
     return b" ".join([b"", *words, b""])
@@ -162,7 +165,7 @@ def predict(docs: DataFrame, langs: list[str], table: np.ndarray, keep: list[str
         for batch in batches:
             pred, score, mixed = [], [], []
             for text in batch.column(len(keep)).to_pylist():
-                if not names or text is None or not LETTER.search(text):
+                if not names or text is None or not has_letter(text):
                     pred.append("und"), score.append(0.0), mixed.append([])
                     continue
                 where, n = grams(text, order, bits)

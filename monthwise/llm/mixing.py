@@ -13,13 +13,17 @@ and, in epoch e + 1, the longest prefix of documents with at most r tokens in th
 order of a hash seeded by (seed, epoch).  The prefix is found through buckets of the
 hash: bucket sums per leaf, their running total, and exact running totals only
 inside the one bucket per leaf in which the prefix ends - no leaf, however large, is
-sorted in one task.
+sorted in one task.  What comes out is a row per leaf: its whole epochs and the last place
+taken.  A document's share follows from its leaf and its own place, so texts are neither
+copied nor shuffled: they are read once more beside the table of leaves (broadcast up
+to ``FEW`` leaves; a shuffle join beyond).
 
 Tokens are maximal runs of characters other than space, tab, CR and LF.  NULL text
 has none; documents without tokens follow their place in the order and cost nothing.
 NULL sources or languages form leaves of their own (shown as NULL).  Ties in the order
-(equal ids) are read together: all or none.  NULL ids hash alike, so they tie.  An empty table gives an empty
-result.
+(equal ids) are read together: all or none.  NULL ids hash alike, so they tie.  A weight of 0 means nothing
+from there, whole subtrees included; the budget stays a fraction of all tokens.  Very long texts only
+count more tokens.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +35,10 @@ from pyspark.sql import functions as F
 
 from monthwise.llm.common import fresh, written
 
+FEW = 1 << 16
+LEAF = ["domain", "lang", "source"]
+LAST_PLACE = 2**63 - 1
+
 
 @dataclass(frozen=True)
 class Mix:
@@ -88,13 +96,15 @@ def share(nodes: DataFrame, parents: list[str]) -> DataFrame:
 
 def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """(domain, lang, source, tokens, budget) from (domain, lang, source, tokens); zero-token
-    leaves get budget 0."""
+    leaves get budget 0, leaves below a weight of 0 are left out."""
+    every = leaves
+    for column, weights in (("domain", mix.domain_weights), ("lang", mix.lang_weights), ("source", mix.source_weights)):
+        leaves = leaves.where(weight(column, weights, mix.default) > 0)
     leaves = leaves.withColumn("cap", F.col("tokens") * mix.max_epochs)
     langs = leaves.groupBy("domain", "lang").agg(F.sum("cap").alias("cap"))
     domains = langs.groupBy("domain").agg(F.sum("cap").alias("cap"))
     num, den = mix.budget
-    total = leaves.agg((F.sum("tokens") * num / F.lit(den)).alias("unused"),
-                       F.expr(f"sum(tokens) * {num} div {den}").alias("parent_budget")).select("parent_budget")
+    total = every.agg(F.expr(f"sum(tokens) * {num} div {den}").alias("parent_budget"))
     top = share(
         domains.crossJoin(F.broadcast(total))            # one row
         .withColumn("root", F.lit(0)).withColumn("name", F.col("domain"))
@@ -117,58 +127,63 @@ def order_hash(mix: Mix, epoch: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
-def select_prefixes(docs: DataFrame, mix: Mix) -> DataFrame:
-    """(row, epochs) for documents (row, doc, domain, lang, source, tokens) that are taken."""
-    leaf = ["domain", "lang", "source"]
-    leaves = docs.groupBy(*leaf).agg(F.sum("tokens").alias("tokens"))
+def same_leaf(prefix: str) -> Column:
+    on = F.lit(True)
+    for c in LEAF:
+        on = on & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return on
+
+
+def leaf_cuts(docs: DataFrame, mix: Mix) -> DataFrame:
+    """(b_domain, b_lang, b_source, whole, last) for documents (doc, domain, lang, source, tokens): a
+    document is taken ``whole`` times, and once more if its place in the next epoch's order
+    is at most ``last``."""
+    leaves = docs.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens"))
     budgets = written(leaf_budgets(leaves, mix).withColumn(
         "whole", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(F.lit(0))).withColumn(
         "left", F.col("budget") - F.col("whole") * F.col("tokens")).select(
-        *[F.col(c).alias(f"b_{c}") for c in leaf], "whole", "left"), "budgets")
-    on = F.lit(True)
-    for c in leaf:
-        on = on & F.col(c).eqNullSafe(F.col(f"b_{c}"))
+        *[F.col(c).alias(f"b_{c}") for c in LEAF], "whole", "left"), "budgets")
     bits = 60 - (mix.buckets - 1).bit_length()
-    placed = docs.join(budgets, on).select(                     # a row per leaf: small, or split by the join
-        "row", *leaf, "tokens", "whole", "left", order_hash(mix, F.col("whole") + 1).alias("place")
+    placed = docs.join(budgets, same_leaf("b_")).select(            # a row per leaf: small, or split by the join
+        *LEAF, "tokens", "left", order_hash(mix, F.col("whole") + 1).alias("place")
     ).withColumn("bucket", F.shiftright("place", bits))
     # Running totals of bucket sums, at most ``buckets`` rows per leaf.
-    sums = placed.groupBy(*leaf, "bucket", "left").agg(F.sum("tokens").alias("n"))
-    running = F.sum("n").over(Window.partitionBy(*leaf).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    # The last bucket that may hold taken documents is the first whose total passes what is left.
+    sums = placed.groupBy(*LEAF, "bucket", "left").agg(F.sum("tokens").alias("n"))
+    running = F.sum("n").over(Window.partitionBy(*LEAF).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    # The prefix ends in the first bucket whose total passes what is left.
     cut = (sums.withColumn("upto", running).where(F.col("upto") > F.col("left"))
-           .groupBy(*leaf).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("cut")))
-    cut = written(cut.select(*[F.col(c).alias(f"c_{c}") for c in leaf], F.col("cut.bucket").alias("cut_bucket"),
+           .groupBy(*LEAF).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("cut")))
+    cut = written(cut.select(*[F.col(c).alias(f"c_{c}") for c in LEAF], F.col("cut.bucket").alias("cut_bucket"),
                              F.col("cut.before").alias("before")), "cuts")
-    on = F.lit(True)
-    for c in leaf:
-        on = on & F.col(c).eqNullSafe(F.col(f"c_{c}"))
-    placed = placed.join(cut, on, "left")
-    # Every other document is decided by its bucket: 1 before the cut (or without one), 0 after.
-    inside = F.col("cut_bucket").isNotNull() & (F.col("bucket") == F.col("cut_bucket"))
-    plain = placed.where(~inside).select("row", "whole", F.when(
-        F.col("cut_bucket").isNull() | (F.col("bucket") < F.col("cut_bucket")), 1).otherwise(0).alias("more"))
-    upto = F.sum("tokens").over(Window.partitionBy(*leaf).orderBy("place"))     # range frame: ties together
-    fine = placed.where(inside).withColumn("upto", upto + F.col("before")).select(
-        "row", "whole", F.when(F.col("upto") <= F.col("left"), 1).otherwise(0).alias("more"))
-    return plain.unionByName(fine).select("row", (F.col("whole") + F.col("more")).cast("int").alias("epochs")).where(
-        "epochs > 0")
+    inside = placed.join(cut, same_leaf("c_")).where(F.col("bucket") == F.col("cut_bucket"))
+    upto = F.sum("tokens").over(Window.partitionBy(*LEAF).orderBy("place"))     # range frame: ties together
+    reached = (inside.withColumn("upto", upto + F.col("before")).where(F.col("upto") <= F.col("left"))
+               .groupBy(*LEAF).agg(F.max("place").alias("reached")).toDF(*[f"r_{c}" for c in LEAF], "reached"))
+    # Without a cut every document is taken; with one, at least all before its bucket.
+    last = F.coalesce("reached", F.shiftleft("cut_bucket", bits) - 1, F.lit(LAST_PLACE))
+    out = budgets.toDF(*LEAF, "whole", "left").join(cut, same_leaf("c_"), "left").join(reached, same_leaf("r_"), "left")
+    return out.select(*[F.col(c).alias(f"b_{c}") for c in LEAF], "whole", last.alias("last"))
+
+
+def with_epochs(docs: DataFrame, cuts: DataFrame, mix: Mix) -> DataFrame:
+    """The documents that are taken, and ``epochs``, how often."""
+    rows = docs.join(F.broadcast(cuts) if cuts.count() <= FEW else cuts, same_leaf("b_"))
+    more = (order_hash(mix, F.col("whole") + 1) <= F.col("last")).cast("int")
+    return rows.withColumn("epochs", (F.col("whole") + more).cast("int")).where("epochs > 0")
+
+
+def select_prefixes(docs: DataFrame, mix: Mix) -> DataFrame:
+    """(row, epochs) for documents (row, doc, domain, lang, source, tokens) that are taken."""
+    return with_epochs(docs, written(leaf_cuts(docs, mix), "leaf-cuts"), mix).select("row", "epochs")
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """``docs`` in the target mix: a row per document and epoch, with all columns of
     the input and ``domain``, ``tokens`` and ``epoch`` (from 1; clashing columns are replaced)."""
-    row = fresh(docs, "row")
-    # Numbered once: a later scan of the same files may be split otherwise and number them anew.
-    base = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    slim = base.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc"), domain_of(mix).alias("domain"),
-                       F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
-                       n_tokens().alias("tokens"))
-    slim = written(slim, "token-sizes")
-    taken = written(select_prefixes(slim, mix).join(slim.select("row", "domain", "tokens"), "row"), "taken")
-    mine = [c for c in docs.columns if c.lower() not in ("domain", "tokens", "epoch")]
-    got = fresh(docs, "taken")
-    taken = taken.select(F.col("row").alias(row), F.struct("domain", "tokens", "epochs").alias(got))
-    return base.select(row, *[F.col(f"`{c}`") for c in mine]).join(taken, row).select(
-        *[F.col(f"`{c}`") for c in mine], f"{got}.domain", f"{got}.tokens",
-        F.explode(F.sequence(F.lit(1), F.col(f"{got}.epochs"))).alias("epoch"))
+    named = [F.col("doc_id").cast("long").alias("doc"), domain_of(mix).alias("domain"), F.col("lang").cast("string").alias("lang"),
+             F.col("source").cast("string").alias("source"), n_tokens().alias("tokens")]
+    cuts = written(leaf_cuts(written(docs.select(*named), "token-sizes"), mix), "leaf-cuts")
+    mine, got = [c for c in docs.columns if c.lower() not in ("domain", "tokens", "epoch")], fresh(docs, "own")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in mine]).alias(got), *named)
+    return with_epochs(rows, cuts, mix).select(
+        *[F.col(f"`{got}`.`{c}`") for c in mine], "domain", "tokens", F.explode(F.sequence(F.lit(1), F.col("epochs"))).alias("epoch"))

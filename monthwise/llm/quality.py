@@ -10,15 +10,19 @@ pairs of neighbours are hashed into 2^``bits`` weights; a feature's value is
 Everything up to the dot product is array work on a batch's bytes: word hashes are
 differences of a running polynomial sum.
 
-Training: a sample of about ``max_train`` labelled rows (by hash of the id, all if
-there are fewer; the only bound, and a parameter) is dealt to shards of about
-``shard_rows``; every shard runs FTRL over its rows in hash order for ``passes``, and
-the weights are averaged.
-Labels are 0 or 1; other values and NULL are not learned.
+Training: a sample of about ``max_train`` labelled texts (all if there are fewer; the only
+bound, and a parameter) is dealt to shards of about ``shard_rows`` by a hash of the
+row; every shard runs FTRL over its rows in hash order for ``passes``, and the
+weights are averaged.  Ids are drawn first; if they bring more texts than the bound (an id
+that many documents share), the texts are thinned by their own hash, so neither the
+broadcast nor a shard grows with a repeated id.
+Labels are 0 or 1; other values (0.7 too) and NULL are not learned.
 
 Texts without words (NULL, empty) score by the intercept alone.  Without
-any label every score is 0.5.  Repeated rows are scored each; several labels of one
-document are all learned.  Empty tables give empty results.
+any label every score is 0.5.  Repeated rows are scored each; equal ones are learned once,
+different labels of one document are all learned.  Very long texts are hashed ``CHUNK`` bytes at a
+time.  Columns besides doc_id, text and the label are not read, so none can clash.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthwise.llm.common import written
+
 BITS = 18
 MAX_TRAIN = 16_000
 SHARD_ROWS = 2_000
@@ -139,18 +145,31 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, passes: int)
     return np.where(np.abs(z) <= penalty, 0.0, (np.sign(z) * penalty - z) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def train(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str = "quality", bits: int = BITS,
-          max_train: int = MAX_TRAIN, shard_rows: int = SHARD_ROWS, passes: int = PASSES) -> np.ndarray:
-    """Weights learned from the labelled rows for which ``may_learn`` (over doc_id) holds."""
-    usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-              .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & may_learn)
+def training_rows(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str, max_train: int, shard_rows: int) -> DataFrame:
+    """(shard, place, doc_id, y, text) of the sample."""
+    y = F.col(label).cast("double")
+    usable = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(y.isin(0.0, 1.0), y.cast("int")).alias("y"))
+              .where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & may_learn).distinct()
               .withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))))
     count = usable.count()
     part = int(min(1.0, max_train / max(1, count)) * (1 << 30))
-    shards = max(1, round(min(count, max_train) / shard_rows))
-    sample = usable.where(F.col("place") < part).withColumn("shard", (F.col("place") % shards).cast("int"))
-    # About max_train rows of three numbers.
+    # About max_train rows of three numbers (an id has two labels at most).
+    sample = usable.where(F.col("place") < part)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    rows = written(rows.select("place", "doc_id", "y", "text").distinct(), "training-rows")
+    drawn = rows.count()
+    own = F.xxhash64("doc_id", "y", "text")
+    if drawn > 2 * max_train:
+        rows = rows.where(F.pmod(own, F.lit(1 << 30)) < int(max_train / drawn * (1 << 30)))
+        drawn = max_train
+    shards = max(1, round(drawn / shard_rows))
+    return rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(1), own), F.lit(shards)).cast("int"))
+
+
+def train(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str = "quality", bits: int = BITS,
+          max_train: int = MAX_TRAIN, shard_rows: int = SHARD_ROWS, passes: int = PASSES) -> np.ndarray:
+    """Weights learned from the labelled rows for which ``may_learn`` (over doc_id) holds."""
+    rows = training_rows(docs, labels, may_learn, label, max_train, shard_rows)
 
     def fit(shard: pd.DataFrame) -> pd.DataFrame:
         hasher = Hasher(bits)

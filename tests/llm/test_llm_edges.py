@@ -182,3 +182,50 @@ def test_warc_edges(spark, workdir):
     assert warc.read_records(spark, workdir + "/big").where("type = 'revisit'").count() == 0
     warc.write_archives(pages.where("false"), workdir + "/none")
     assert warc.assemble(warc.read_records(spark, workdir + "/none")).count() == 0
+
+
+def test_mixing_weight_zero(spark, docs):
+    """A weight of 0 takes nothing, not even documents without tokens, and siblings get its share."""
+    words = spark.createDataFrame(
+        [(i, "one two three four", lang, source, 18) for i in range(40) for lang, source in (("en", "a"), ("de", "a"), ("de", "b"))]
+        + [(100, "", "de", "a", 0)], DOCS)
+    mix = mixing.Mix(domain_weights={"web": 1, "books": 1, "code": 1}, lang_weights={"en": 1, "de": 0}, budget=(1, 1), max_epochs=4)
+    out = mixing.mixed(words, mix)
+    assert {r.lang for r in out.select("lang").distinct().collect()} == {"en"}
+    assert out.agg(F.sum("tokens")).first()[0] == 480                     # all of the budget, from one language
+    none = mixing.mixed(words, mixing.Mix(lang_weights={"en": 0, "de": 0}))
+    assert none.count() == 0
+    only_b = mixing.mixed(words, mixing.Mix(lang_weights={"en": 0}, source_weights={"a": 0}))
+    assert {(r.lang, r.source) for r in only_b.select("lang", "source").distinct().collect()} == {("de", "b")}
+
+
+def test_mixing_without_broadcast(spark, docs, monkeypatch):
+    def result():
+        return sorted(str(tuple(r)) for r in mixing.mixed(docs, mixing.Mix(budget=(1, 1))).drop("text").collect())
+    want = result()
+    monkeypatch.setattr(mixing, "FEW", 0)
+    assert result() == want
+
+
+def test_numerals_are_no_letters(spark, docs):
+    model = langid.train(docs, F.lit(True))
+    rows = spark.createDataFrame([(1, "½ ² 3"), (2, "Ⅷ ① ٣"), (3, "½ é")], "doc_id bigint, text string")
+    assert [r.lang_pred == "und" for r in langid.predict(rows, *model).orderBy("doc_id").collect()] == [True, True, False]
+
+
+def test_training_bound_holds_for_a_repeated_id(spark):
+    """An id on a third of all documents and labels brings no more rows to a shard than the bound."""
+    for hot in range(7, 12):
+        docs = spark.range(6000).selectExpr(f"IF(id < 2000, {hot}, id) AS doc_id", "concat('text number ', id, ' of words') AS text")
+        labels = spark.range(6000).selectExpr(f"IF(id < 2000, {hot}, id) AS doc_id", "CAST(id % 2 AS double) AS quality")
+        rows = quality.training_rows(docs, labels, F.lit(True), "quality", max_train=600, shard_rows=200)
+        sizes = [r["count"] for r in rows.groupBy("shard").count().collect()]
+        assert 300 < sum(sizes) <= 1300 and max(sizes) < 700
+
+
+def test_labels_other_than_0_and_1_are_not_learned(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 2} of text") for i in range(40)], "doc_id bigint, text string")
+    clean = spark.createDataFrame([(i, float(i % 2)) for i in range(30)], "doc_id bigint, quality double")
+    noisy = clean.union(spark.createDataFrame([(i, 0.7) for i in range(40)] + [(3, None), (None, 1.0)], clean.schema))
+    one, two = (quality.train(docs, x, F.lit(True), bits=10) for x in (clean, noisy))
+    assert (one == two).all() and one.any()
