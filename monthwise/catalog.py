@@ -30,6 +30,12 @@ def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_events_dedup(spark, sf_dir)
 
 
+def _sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from monthwise.streaming.sessions_stream import stream_sessions
+    ensure_utc(spark)
+    return stream_sessions(spark, sf_dir, FIXTURE)
+
+
 def queries(p: Params = FIXTURE) -> dict[str, Query]:
     from monthwise.plans import accounts, build, growth, loads, mrr, periods, quality_suite as qs, reports, series, staging
 
@@ -91,4 +97,5 @@ def queries(p: Params = FIXTURE) -> dict[str, Query]:
     }
     q: dict[str, Query] = {k: _model(f, p) for k, f in models.items()}
     q["stream_events_dedup"] = _stream      # X1
+    q["stream_sessions"] = _sessions_stream      # N8
     return q

@@ -758,4 +758,5 @@ def _growth_sql(p: Params) -> dict[str, str]:
     # the incremental snapshot must reproduce the full-history snapshot
     q["scd2_incremental"] = q["scd2_snapshot"]
     q["sessions"] = with_ctes("SELECT * FROM app_sessions", ["app_sessions"], p)
+    q["stream_sessions"] = q["sessions"]
     return q

@@ -101,3 +101,88 @@ def test_a_run_reads_only_its_own_files(feed, spark):
     feed.arrive([event(4, at(9)), event(5, None)])
     assert feed.load() == 1
     assert feed.late_ids() == [4, 5]
+
+
+# ------------------------------------------------------------------- sessions
+GAP = 1800
+
+
+class Sessions:
+    def __init__(self, spark, workdir):
+        self.spark = spark
+        self.source, self.clocks, self.sink, self.ckpt = (os.path.join(workdir, x) for x in ("in", "clocks", "sink", "ckpt"))
+        self.rows = []
+
+    def arrive(self, *rows):
+        made = [(i, t, user, "view", 1.0, "{}") for i, (user, t) in enumerate(rows)]
+        self.rows += made
+        self.spark.createDataFrame(made, SCHEMA).coalesce(1).write.mode("append").parquet(self.source)
+
+    def load(self, now):
+        from monthwise.streaming.sessions_stream import run_sessions_load
+        run_sessions_load(self.spark, self.source, self.clocks, self.sink, self.ckpt, now, GAP, file_glob="*.parquet")
+
+    def closed(self):
+        from monthwise.streaming.sessions_stream import read_sessions
+        return sorted(map(tuple, read_sessions(self.spark, self.sink).collect()))
+
+    def batch(self):
+        from monthwise.operators.sessions import sessionize
+        df = self.spark.createDataFrame(self.rows, SCHEMA)
+        out = sessionize(df, "user_id", "ts", GAP).select("user_id", "session_index", "started_at", "ended_at", "events_count")
+        return sorted(map(tuple, out.collect()))
+
+
+def test_sessions_grow_over_runs(spark, workdir):
+    s = Sessions(spark, workdir)
+    s.arrive((1, at(10)), (1, at(10, 20)), (2, at(10)), (None, at(10)), (3, None))
+    s.load(at(10, 25))
+    assert s.closed() == []                                       # all open
+    s.arrive((1, at(10, 50)), (1, at(11, 20, 0, 1)))              # exactly the gap: the same session; a microsecond more: another
+    s.load(at(11, 25))
+    assert s.closed() == []                                       # the clock less an hour is 10:25, a gap after 10:00 is 10:30
+    s.load(at(12, 30))                                            # the clock alone closes what ended before 11:00
+    assert s.closed() == [(1, 0, at(10), at(10, 50), 3), (2, 0, at(10), at(10), 1)]
+    s.arrive((2, at(12, 10)), (2, at(12, 20)))
+    s.load(at(20))
+    assert s.closed() == s.batch() and len(s.closed()) == 4
+    s.load(at(20))                                                # nothing new
+    assert s.closed() == s.batch()
+
+
+def test_sessions_of_a_hot_user_equal_the_batch(spark, workdir):
+    s = Sessions(spark, workdir)
+    for hour in (8, 9, 10):
+        s.arrive(*[(7, at(hour, m, x)) for m in range(0, 60, 7) for x in range(0, 50, 5)], *[(u, at(hour, u % 60)) for u in range(20, 80)])
+        s.load(at(hour + 1))
+    s.load(at(23))
+    assert s.closed() == s.batch()
+
+
+def test_sessions_merge_before_the_shuffle(spark, workdir):
+    """Part sessions are merged in each task."""
+    from monthwise.streaming import sessions_stream as ss
+    s = Sessions(spark, workdir)
+    s.arrive((1, at(10)))
+    s.load(at(11))
+    spark.conf.set(ss.LOCAL_MERGE, "true")
+    try:
+        q = (ss.sessions_stream(spark, s.source, s.clocks, GAP, "*.parquet").writeStream.format("noop")
+             .option("checkpointLocation", os.path.join(workdir, "other")).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        plan = q._jsq.explainInternal(True)
+    finally:
+        spark.conf.unset(ss.LOCAL_MERGE)
+    lines = plan[plan.index("== Physical Plan =="):].splitlines()
+    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    merges = [i for i, line in enumerate(lines) if "MergingSessions" in line]
+    assert any(i < exchange for i in merges) and any(i > exchange for i in merges)
+
+
+def test_stream_sessions_query(spark):
+    from conftest import SF_SMALL
+
+    import __spark_entry__ as entry
+    q = entry.queries()
+    assert sorted(map(tuple, q["stream_sessions"](spark, SF_SMALL).collect())) == sorted(
+        map(tuple, q["sessions"](spark, SF_SMALL).select("user_id", "session_index", "started_at", "ended_at", "events_count").collect()))
