@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from monthwise.operators.quality import gate, run_checks
 from monthwise.params import Params
 from monthwise.plans.reports import REPORT_COLUMNS
-from monthwise.session import new_work_path, shared_dir
+from monthwise.session import default_parallelism, new_work_path, shared_dir
 from monthwise.sources.incremental import latest_by_key
 from monthwise.sources.registry import Sources
 
@@ -38,36 +38,72 @@ def materialize_view(df: DataFrame, layer: str | None, name: str, target: str, d
     return view
 
 
-CURRENT = "schema_name string, table_name string, run_id string, path string, written_at timestamp"
+CURRENT = ("schema_name string, table_name string, run_id string, path string, written_at timestamp, "
+           "bucket_column string, buckets int, partition_column string")
 
 
 def materialize_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str, target: str,
-                      default_schema: str, run_id: str) -> DataFrame:
+                      default_schema: str, run_id: str, bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
     """Full rebuild.  The rows go to a fresh folder (readers of the last build are not
     disturbed), partitioned by ``month_start`` where there is one; then one row appended
-    to the ``_current`` log makes them the table's current version."""
+    to the ``_current`` log makes them the table's current version.
+
+    With ``bucket_by`` the rows are also dealt to ``buckets`` (default: the shuffle partitions)
+    by that column, sorted by it in each file, and the version is a catalog table: whoever
+    groups, joins or orders by the column reads it without an exchange.  Choose a column
+    with few rows per value (a hot value is one bucket)."""
     schema = schema_name(layer, target, default_schema)
     path = f"{root.rstrip('/')}/{schema}/{name}/run-{run_id}"
-    monthly = "month_start" in df.columns
-    # rebalance: files by month, large months split, small ones not spread over all tasks
-    w = (df.hint("rebalance", "month_start") if monthly else df).write
-    (w.partitionBy("month_start") if monthly else w).parquet(path)
-    spark.createDataFrame([(schema, name, run_id, path, dt.datetime.now(dt.timezone.utc))], CURRENT).coalesce(1).write.mode(
-        "append").parquet(f"{root.rstrip('/')}/_current")
+    monthly = "month_start" if "month_start" in df.columns else None
+    if bucket_by:
+        buckets = buckets or default_parallelism(spark)
+        # one task per bucket, by the hash that buckets use: a file per bucket and month
+        w = df.repartition(buckets, bucket_by).write.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        (w.partitionBy(monthly) if monthly else w).option("path", path).format("parquet").saveAsTable(version_name(schema, name, run_id))
+    else:
+        # rebalance: files by month, large months split, small ones not spread over all tasks
+        w = (df.hint("rebalance", monthly) if monthly else df).write
+        (w.partitionBy(monthly) if monthly else w).parquet(path)
+    log = [(schema, name, run_id, path, dt.datetime.now(dt.timezone.utc), bucket_by, buckets if bucket_by else None, monthly)]
+    spark.createDataFrame(log, CURRENT).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/_current")
     out = read_current(spark, root, schema, name, df.schema).select(*df.columns)
     out.createOrReplaceTempView(f"{schema}__{name}")
     return out
 
 
+def version_name(schema: str, name: str, run_id: str) -> str:
+    return f"{schema}__{name}__{run_id}"
+
+
 def read_current(spark: SparkSession, root: str, schema: str, name: str, columns=None) -> DataFrame:
     """The current version of a built table, for any session.  ``columns``: its schema,
-    needed only for a partitioned table without rows."""
+    needed only for a partitioned table without rows.  A bucketed version that the
+    session's catalog does not know (another metastore, a new session) is entered there
+    first, over its files."""
     log = spark.read.schema(CURRENT).parquet(f"{root.rstrip('/')}/_current")
     mine = log.where((F.col("schema_name") == schema) & (F.col("table_name") == name))
-    last = latest_by_key(mine, ["schema_name", "table_name"], ["written_at", "run_id"]).select("path").first()
+    last = latest_by_key(mine, ["schema_name", "table_name"], ["written_at", "run_id"]).first()
     if last is None:
         raise KeyError(f"{schema}.{name} has not been built below {root}")
-    return (spark.read.schema(columns) if columns else spark.read).parquet(last[0])
+    if last["bucket_column"] is None:
+        return (spark.read.schema(columns) if columns else spark.read).parquet(last["path"])
+    table = version_name(schema, name, last["run_id"])
+    if not spark.catalog.tableExists(table):
+        enter_bucketed(spark, table, last, columns)
+    return spark.table(table)
+
+
+def enter_bucketed(spark: SparkSession, table: str, version, columns=None) -> None:
+    """A written bucketed version (row of the ``_current`` log) as an external catalog table."""
+    fields = (columns or spark.read.parquet(version["path"]).schema).fields
+    month, column = version["partition_column"], version["bucket_column"]
+    ordered = [f for f in fields if f.name != month] + [f for f in fields if f.name == month]
+    definition = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered)
+    partitioned = f"PARTITIONED BY (`{month}`)" if month else ""
+    spark.sql(f"CREATE TABLE `{table}` ({definition}) USING parquet {partitioned} CLUSTERED BY (`{column}`) "
+              f"SORTED BY (`{column}`) INTO {version['buckets']} BUCKETS LOCATION '{version['path']}'")
+    if month:
+        spark.catalog.recoverPartitions(table)
 
 
 def build_all(spark: SparkSession, src: Sources, p: Params, root: str | None = None, target: str = "dev",
@@ -90,8 +126,9 @@ def build_all(spark: SparkSession, src: Sources, p: Params, root: str | None = N
                      default_schema)
     dim = materialize_table(spark, accounts.dim_accounts(src, p), root, "marts", "dim_accounts", target,
                             default_schema, run_id)
+    # by subscription: the movement (lag) and the key's uniqueness read it without an exchange
     fact = materialize_table(spark, mrr.fct_mrr(src, p, dim), root, "marts", "fct_mrr", target,
-                             default_schema, run_id)
+                             default_schema, run_id, bucket_by="subscription_id")
     rpt = materialize_table(spark, reports.monthly_revenue_from_fact(fact), root, "reporting",
                             "rpt_monthly_revenue", target, default_schema, run_id)
     out.update({"dim_accounts": dim, "fct_mrr": fact, "rpt_monthly_revenue": rpt})

@@ -55,7 +55,8 @@ SOURCE_CHECKS: list[Check] = [
 ]
 
 MART_CHECKS: list[Check] = [
-    *_uq_nn("fct_mrr", "mrr_id"),
+    Check("fct_mrr", "mrr_id", UNIQUE, key_of=("subscription_id", "month_start")),
+    Check("fct_mrr", "mrr_id", NOT_NULL),
     Check("fct_mrr", "month_start", NOT_NULL),
     Check("fct_mrr", "subscription_id", NOT_NULL),
     Check("fct_mrr", "customer_id", NOT_NULL),
@@ -107,11 +108,14 @@ def _tables(src: Sources, p: Params, checks: list[Check]) -> dict[str, DataFrame
         path = new_work_path(src.spark, "checked-fact")
         fact = fct_mrr(src, p)
         mine = [c for c in checks if c.model == "fct_mrr"]
-        read = {c.column for c in mine} | set(FACT_INPUT)
+        read = {x for c in mine for x in (c.key_of or (c.column,))}
+        if "rpt_monthly_revenue" in models:
+            read |= set(FACT_INPUT)
         fact.select(*[c for c in fact.columns if c in read or any(c in (ch.where or "") for ch in mine)]).write.parquet(path)
         fact = src.spark.read.parquet(path)
         out["fct_mrr"] = fact
-        out["rpt_monthly_revenue"] = monthly_revenue_from_fact(fact)
+        if "rpt_monthly_revenue" in models:
+            out["rpt_monthly_revenue"] = monthly_revenue_from_fact(fact)
     return out
 
 
