@@ -53,6 +53,7 @@ def queries(p: Params = FIXTURE) -> dict[str, Query]:
         "fct_mrr_transfers": mrr.fct_mrr_transfers,
         "monthly_revenue": reports.monthly_revenue,
         "monthly_revenue_corrected": reports.monthly_revenue_corrected,
+        "quarterly_customers": reports.quarterly_customers,
         # movement classifier on order totals (M9)
         "movement_classify": series.movement_series,
         "movement_classify_corrected": series.movement_series_corrected,

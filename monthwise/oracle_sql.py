@@ -339,6 +339,14 @@ def oracle_sql(p: Params = FIXTURE) -> dict[str, str]:
     q["monthly_revenue"] = with_ctes(
         "SELECT * FROM monthly_revenue ORDER BY month_start DESC, account_segment", ["monthly_revenue"], p)
     fixed = p.with_(mode=CORRECTED)
+    by_quarter = """
+    SELECT CAST(date_trunc('quarter', month_start) AS DATE) AS quarter_start, {segment} AS account_segment,
+           count(DISTINCT customer_id) AS active_customers,
+           count(DISTINCT CASE WHEN mrr_type = 'new' THEN customer_id END) AS new_customers,
+           count(DISTINCT CASE WHEN mrr_type = 'churn' THEN customer_id END) AS churned_customers
+    FROM fct_mrr WHERE customer_id IS NOT NULL GROUP BY 1, 2"""
+    q["quarterly_customers"] = with_ctes(
+        by_quarter.format(segment="account_segment") + "\n    UNION ALL" + by_quarter.format(segment="'All'"), ["fct_mrr"], p)
     q["monthly_revenue_corrected"] = with_ctes("SELECT * FROM monthly_revenue", ["monthly_revenue"], fixed)
     q["build_monthly_revenue"] = q["monthly_revenue"]
     # two orders share a subscription id, mostly with different customers

@@ -6,13 +6,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthwise.functions import sql as S
 from monthwise.functions.scalar import hours_between_boundaries, ntz_lit, ntz_to_epoch
 from monthwise.operators.quality import (ACCEPTED, BETWEEN, NOT_NULL, UNIQUE, Check, batch_profile,
                                          no_future_dates_failures, positive_values_failures, run_checks)
 from monthwise.params import Params
+from monthwise.plans.periods import billable_subscriptions
+from monthwise.plans.staging import stg_accounts
 from monthwise.session import new_work_path
 from monthwise.sources.registry import Sources
 
@@ -54,8 +57,11 @@ SOURCE_CHECKS: list[Check] = [
     *_uq_nn("app_db.sessions", "session_id"),
 ]
 
+# The fact's key is a hash of these two columns.
+MRR_KEY = Check("fct_mrr", "mrr_id", UNIQUE, key_of=("subscription_id", "month_start"))
+
 MART_CHECKS: list[Check] = [
-    Check("fct_mrr", "mrr_id", UNIQUE, key_of=("subscription_id", "month_start")),
+    MRR_KEY,
     Check("fct_mrr", "mrr_id", NOT_NULL),
     Check("fct_mrr", "month_start", NOT_NULL),
     Check("fct_mrr", "subscription_id", NOT_NULL),
@@ -90,32 +96,50 @@ STALE_PROBE = [("stripe", "subscriptions", 6), ("salesforce", "account", 8),
                ("app_db", "users", 2), ("app_db", "events", 2)]
 
 
+def repeated_mrr_ids(src: Sources, p: Params) -> DataFrame:
+    """(failures): how many values of the fact's key repeat, from the bounds of the rows that
+    it is expanded from, without the fact.
+
+    The key is (subscription id, month).  It repeats exactly in the months that two source rows
+    of one id share, or where a row's account key repeats, so that its months fan out.  Every
+    row opens with its weight (the accounts it meets) in its first month and closes after its
+    last; openings are summed per (id, month) before they meet, so an id's ordered work is
+    bounded by the calendar.  Where the running weight is 2 or more, the months repeat."""
+    fan = (stg_accounts(src, p).where("stripe_customer_id IS NOT NULL").groupBy(F.col("stripe_customer_id").alias("__k"))
+           .agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"))
+    first, last = f"greatest(__lo, {S.date(p.spine_start)})", f"least(add_months(__hi, -1), {S.date(p.spine_end)})"
+    rows = (billable_subscriptions(src, p).selectExpr("subscription_id", "customer_id", f"{first} AS first", f"{last} AS last")
+            .where("first <= last").join(fan, F.expr("customer_id = __k"), "left")
+            .selectExpr("subscription_id", "inline(array(struct(first AS month, coalesce(__n, 1) AS w), "
+                        "struct(add_months(last, 1) AS month, -coalesce(__n, 1) AS w)))"))
+    steps = rows.groupBy("subscription_id", "month").agg(F.sum("w").alias("w"))
+    by_id = Window.partitionBy("subscription_id").orderBy("month")
+    steps = steps.select("month", F.sum("w").over(by_id).alias("depth"), F.lead("month").over(by_id).alias("until"))
+    months = F.expr("(year(until) - year(month)) * 12 + month(until) - month(month)").cast("long")
+    return steps.where("depth >= 2").agg(F.coalesce(F.sum(months), F.lit(0).cast("long")).alias("failures"))
+
+
 def _tables(src: Sources, p: Params, checks: list[Check]) -> dict[str, DataFrame]:
+    """The tables that ``checks`` read.  The fact is computed only if a check reads its rows, and
+    written once with the columns that are read."""
     from monthwise.plans.accounts import dim_accounts
     from monthwise.plans.mrr import fct_mrr
     from monthwise.plans.reports import FACT_INPUT, monthly_revenue_from_fact
     models = {c.model for c in checks}
-    out: dict[str, DataFrame] = {}
-    dim = fact = None
-    for m in sorted(models):
-        if "." in m:
-            out[m] = src(*m.split(".", 1))
-    if models & {"dim_accounts", "fct_mrr", "rpt_monthly_revenue"}:
-        dim = dim_accounts(src, p)
-        out["dim_accounts"] = dim
+    out = {m: src(*m.split(".", 1)) for m in sorted(models) if "." in m}
+    if "dim_accounts" in models:
+        out["dim_accounts"] = dim_accounts(src, p)
     if models & {"fct_mrr", "rpt_monthly_revenue"}:
-        # written once, with the columns that the checks and the report read, not expanded again
-        path = new_work_path(src.spark, "checked-fact")
-        fact = fct_mrr(src, p)
         mine = [c for c in checks if c.model == "fct_mrr"]
         read = {x for c in mine for x in (c.key_of or (c.column,))}
         if "rpt_monthly_revenue" in models:
             read |= set(FACT_INPUT)
+        fact = fct_mrr(src, p)
+        path = new_work_path(src.spark, "checked-fact")
         fact.select(*[c for c in fact.columns if c in read or any(c in (ch.where or "") for ch in mine)]).write.parquet(path)
-        fact = src.spark.read.parquet(path)
-        out["fct_mrr"] = fact
+        out["fct_mrr"] = src.spark.read.parquet(path)
         if "rpt_monthly_revenue" in models:
-            out["rpt_monthly_revenue"] = monthly_revenue_from_fact(fact)
+            out["rpt_monthly_revenue"] = monthly_revenue_from_fact(out["fct_mrr"])
     return out
 
 
@@ -123,7 +147,10 @@ def _suite(kind: str | None, checks: list[Check]):
     chosen = [c for c in checks if kind is None or c.test == kind]
 
     def run(src: Sources, p: Params) -> DataFrame:
-        return run_checks(_tables(src, p, chosen), chosen, p.as_of)
+        # nothing is stored here: the fact's key is checked where its rows come from
+        counted = {MRR_KEY: repeated_mrr_ids(src, p)} if MRR_KEY in chosen else {}
+        tables = _tables(src, p, [c for c in chosen if c not in counted])
+        return run_checks(tables, chosen, p.as_of, counted)
     return run
 
 

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from monthwise.functions import sql as S
 from monthwise.operators.movement import CHURN, CONTRACTION, EXPANSION, NEW, REACTIVATION
 from monthwise.params import CORRECTED, Params
+from monthwise.operators.ordered import with_neighbours
 from monthwise.plans.mrr import fct_mrr
+from monthwise.session import new_work_path
 from monthwise.sources.registry import Sources
 
 REPORT_COLUMNS = [
@@ -78,3 +80,40 @@ def monthly_revenue(src: Sources, p: Params) -> DataFrame:
 
 def monthly_revenue_corrected(src: Sources, p: Params) -> DataFrame:
     return monthly_revenue(src, p.with_(mode=CORRECTED))
+
+
+def customer_bitmaps(fact: DataFrame) -> DataFrame:
+    """(month_start, account_segment, bucket, active, new, churned): per month and segment the sets of
+    customers as bitmaps of 32,768 dense customer numbers each.  Sets of any months and segments
+    merge by ``bitmap_or_agg``, so exact distinct counts need neither the fact nor the customers again.
+
+    Customers are numbered in their order, without one task for all of them.  The fact is reduced to
+    a row per (month, segment, customer) within each task before it meets the numbers."""
+    rows = fact.where("customer_id IS NOT NULL").groupBy("month_start", "account_segment", "customer_id").agg(
+        F.expr(f"max(mrr_type = '{NEW}')").alias("is_new"), F.expr(f"max(mrr_type = '{CHURN}')").alias("is_churned"))
+    path = new_work_path(fact.sparkSession, "customer-months")
+    rows.write.parquet(path)                    # read twice
+    rows = fact.sparkSession.read.parquet(path)
+    numbers = with_neighbours(rows.select("customer_id").distinct(), [], ["customer_id"], {}, index="number")
+    rows = rows.join(numbers.withColumn("number", F.col("number") + 1), "customer_id")       # buckets are 1..32768 and on
+    bit = F.bitmap_bit_position("number")
+    return rows.groupBy("month_start", "account_segment", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(bit).alias("active"), F.bitmap_construct_agg(F.when(F.col("is_new"), bit)).alias("new"),
+        F.bitmap_construct_agg(F.when(F.col("is_churned"), bit)).alias("churned"))
+
+
+def distinct_customers(bitmaps: DataFrame, *by) -> DataFrame:
+    """Exact distinct customers per group of ``by`` (columns over month_start and account_segment)."""
+    merged = bitmaps.groupBy(*by, "bucket").agg(*[F.bitmap_or_agg(c).alias(c) for c in ("active", "new", "churned")])
+    return merged.drop("bucket").groupBy(*[c for c in merged.columns if c not in ("bucket", "active", "new", "churned")]).agg(
+        *[F.sum(F.bitmap_count(c)).alias(f"{c}_customers") for c in ("active", "new", "churned")])
+
+
+def quarterly_customers(src: Sources, p: Params) -> DataFrame:
+    """E5 / E6 by quarter: distinct customers per segment and, as segment ``All``, over all of them."""
+    path = new_work_path(src.spark, "customer-bitmaps")
+    customer_bitmaps(fct_mrr(src, p)).write.parquet(path)
+    bitmaps = src.spark.read.parquet(path)
+    quarter = F.expr("CAST(date_trunc('quarter', month_start) AS DATE)").alias("quarter_start")
+    return distinct_customers(bitmaps, quarter, "account_segment").unionByName(
+        distinct_customers(bitmaps, quarter).withColumn("account_segment", F.lit("All")))
