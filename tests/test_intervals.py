@@ -103,3 +103,12 @@ def test_bitmaps_count_exactly_over_many_buckets(spark):
             F.countDistinct("customer_id"), F.countDistinct(F.expr("CASE WHEN mrr_type = 'new' THEN customer_id END")),
             F.countDistinct(F.expr("CASE WHEN mrr_type = 'churn' THEN customer_id END"))).collect())
     assert reports.distinct_customers(reports.customer_bitmaps(fact.where("false")), "month_start").count() == 0
+
+
+def test_columns_that_cannot_be_null_are_not_computed(spark):
+    src = Sources.from_test_tables(spark, SF_SMALL, FIXTURE)
+    checks = [c for c in quality_suite.MART_CHECKS if c.model == "fct_mrr" and c.test == "not_null"]
+    sure = quality_suite.never_null(src, FIXTURE, checks)
+    assert "mrr_id" in {c.column for c in sure} and "mrr" not in {c.column for c in sure}
+    for c in sure:
+        assert fct_mrr(src, FIXTURE).where(F.col(c.column).isNull()).isEmpty()
