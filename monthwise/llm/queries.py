@@ -146,14 +146,14 @@ UNION ALL SELECT doc_id, text, 0, 0 FROM documents WHERE text IS NULL
 
 OP5_SQL = """
 WITH q AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.v, b.v)::BIGINT AS score
-  FROM q a JOIN q b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 20 = 0)
+  SELECT a.row, a.vec_id AS query_id, b.vec_id, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM q a JOIN q b ON a.row <> b.row AND len(a.v) = len(b.v) WHERE a.vec_id % 20 = 0)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
 
 OP6_SQL = """

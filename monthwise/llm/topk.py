@@ -17,9 +17,10 @@ The bounds only decide what is copied; scores are exact integers.  Blocks split
 cells on either side.
 
 Components become floor(scale * x); vectors that are NULL or hold NULL or non-finite
-components take no part, nor do rows without an id.  Of rows with one vec_id the
-greatest vector counts.  Vectors of another length than a query's are not compared
-with it.  Ties go to the smaller vec_id; queries with fewer than k partners return
+components take no part, nor do rows without an id.  Rows are numbered once, in a written
+table: every row counts, rows that share a vec_id too, and a query leaves out its own row
+only.  Vectors of another length than a query's are not compared with it.  Columns besides
+the id and the vector are not read, so none can clash.  Ties go to the smaller vec_id; queries with fewer than k partners return
 what there is; empty tables give empty results.  Scores must stay below 2^53.
 """
 
@@ -42,7 +43,7 @@ SLACK = 1e-6        # of a distance, for rounding in the bounds
 
 
 def quantized(vectors: DataFrame, scale: float, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, vec array<double> of whole numbers), one row per id."""
+    """(vec_id, vec array<double> of whole numbers)."""
     x = F.transform(F.col(vec_col), lambda c: c.cast("double"))
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     return (
@@ -50,7 +51,6 @@ def quantized(vectors: DataFrame, scale: float, id_col: str, vec_col: str) -> Da
         .select(F.col(id_col).cast("long").alias("vec_id"),
                 F.transform(x, lambda c: F.floor(F.lit(float(scale)) * c).cast("double")).alias("vec"))
         .where(F.size("vec") > 0)
-        .groupBy("vec_id").agg(F.max("vec").alias("vec"))
     )
 
 
@@ -99,7 +99,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0
     """The k greatest inner products of every query row (``is_query``, over ``vec_id``)
     against all other rows: (query_id, rank, vec_id, score)."""
     spark = vectors.sparkSession
-    data = written(quantized(vectors, scale, id_col, vec_col), "vectors")
+    data = written(quantized(vectors, scale, id_col, vec_col).withColumn("row", F.monotonically_increasing_id()), "vectors")
     out = None
     for (dim,) in data.select(F.size("vec")).distinct().collect():      # the lengths in use: one, as a rule
         part = ranked(data.where(F.size("vec") == dim), dim, is_query, k, n_pivots, query_block, data_block)
@@ -114,7 +114,7 @@ def ranked(data: DataFrame, dim: int, is_query: Column, k: int, n_pivots: int, q
     spark = data.sparkSession
     n, longest2 = data.agg(F.count("*"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, c: a + c * c))).first()
     longest = float(np.sqrt(longest2))
-    sample = data.orderBy(F.xxhash64("vec_id")).limit(n_pivots).select("vec").collect()
+    sample = data.orderBy(F.xxhash64("vec_id", "row")).limit(n_pivots).select("vec").collect()
     pivots = lifted(matrix([r[0] for r in sample], dim), longest)
     shared = spark.sparkContext.broadcast(pivots)
 
@@ -129,11 +129,11 @@ def ranked(data: DataFrame, dim: int, is_query: Column, k: int, n_pivots: int, q
                 d = distances(points, shared.value)
                 cell = d.argmin(1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(cell.astype(np.int32)),
-                     pa.array(d[np.arange(len(d)), cell])], names=["vec_id", "vec", "cell", "far"])
+                    [batch.column(0), batch.column(1), batch.column(2), pa.array(cell.astype(np.int32)),
+                     pa.array(d[np.arange(len(d)), cell])], names=["vec_id", "vec", "row", "cell", "far"])
         return run
 
-    schema = "vec_id bigint, vec array<double>, cell int, far double"
+    schema = "vec_id bigint, vec array<double>, row bigint, cell int, far double"
     placed = written(data.mapInArrow(cells(False), schema), "data-cells")
     queries = written(data.where(is_query).mapInArrow(cells(True), schema), "query-cells")
 
@@ -171,47 +171,47 @@ def ranked(data: DataFrame, dim: int, is_query: Column, k: int, n_pivots: int, q
         """Each vector once for every group that may need it."""
         lows, highs = bounds.value
         for batch in batches:
-            cell = batch.column(2).to_numpy()
-            far = batch.column(3).to_numpy()
+            cell = batch.column(3).to_numpy()
+            far = batch.column(4).to_numpy()
             for g in range(len(lows)):
                 need = pa.array((far >= lows[g][cell]) & (far <= highs[g][cell]))
                 some = batch.filter(need)
                 if some.num_rows:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(some.num_rows, g, np.int32)), some.column(0), some.column(1)],
-                        names=["grp", "vec_id", "vec"])
+                        [pa.array(np.full(some.num_rows, g, np.int32)), some.column(0), some.column(1), some.column(2)],
+                        names=["grp", "vec_id", "vec", "row"])
 
-    chunk = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int")
-    sent = placed.mapInArrow(copies, "grp int, vec_id bigint, vec array<double>").withColumn("chunk", chunk)
+    chunk = F.pmod(F.xxhash64("row"), F.lit(n_blocks)).cast("int")
+    sent = placed.mapInArrow(copies, "grp int, vec_id bigint, vec array<double>, row bigint").withColumn("chunk", chunk)
     split_of = spark.createDataFrame([(c, g, splits[g]) for c, g in group_of.items()], "cell int, grp int, splits int")
     asking = queries.join(F.broadcast(split_of), "cell").select(                  # a row per pivot at most
-        "grp", F.pmod(F.xxhash64("vec_id"), F.col("splits")).cast("int").alias("split"), "vec_id", "vec")
+        "grp", F.pmod(F.xxhash64("row"), F.col("splits")).cast("int").alias("split"), "vec_id", "vec", "row")
     asking = asking.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     many = F.broadcast(spark.createDataFrame(
         [(g, s) for g, count in enumerate(splits) for s in range(count)], "grp int, split int"))
     sent = sent.join(many, "grp")
 
     def solve(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
-        names = ["query_id", "vec_id", "score"]
+        names = ["query_id", "query_row", "vec_id", "score"]
         if not len(q) or not len(d):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
         d = d.sort_values("vec_id")
-        ids = d["vec_id"].to_numpy()
+        ids, own_rows = d["vec_id"].to_numpy(), d["row"].to_numpy()
         x = matrix(d["vec"].tolist(), dim)
         parts = []
         for at in range(0, len(q), 128):
             some = q.iloc[at:at + 128]
             scores = matrix(some["vec"].tolist(), dim) @ x.T          # whole numbers below 2^53: exact
-            for own, row in zip(some["vec_id"].to_numpy(), scores):
-                row[ids == own] = -np.inf
+            for own, number, row in zip(some["vec_id"].to_numpy(), some["row"].to_numpy(), scores):
+                row[own_rows == number] = -np.inf
                 best = top_of(row, k)
                 best = best[np.isfinite(row[best])]
-                parts.append(pd.DataFrame({"query_id": own, "vec_id": ids[best], "score": row[best].astype(np.int64)}))
+                parts.append(pd.DataFrame({"query_id": own, "query_row": number, "vec_id": ids[best], "score": row[best].astype(np.int64)}))
         return pd.concat(parts, ignore_index=True)[names]
 
     keys = ["grp", "split", "chunk"]
     found = asking.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(
-        solve, "query_id bigint, vec_id bigint, score bigint")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        solve, "query_id bigint, query_row bigint, vec_id bigint, score bigint")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -157,11 +157,19 @@ def test_topk_edges(spark):
             (5, [inf, 1.0]), (6, [None, 1.0]), (7, []), (None, [9.0, 9.0]), (8, [-1.0, 0.01]), (20, [1.0, 2.0, 3.0])]
     df = spark.createDataFrame(vecs, "vec_id bigint, embedding array<float>").withColumn("cell", F.lit(1))
     got = rows(topk.top_k(df, F.col("vec_id") % 20 == 0, k=2), "query_id", "rank", "vec_id", "score")
-    assert got == [(0, 1, 1, 4096), (0, 2, 2, 4096)]                           # 20 has no partner of its length
+    # each row of id 0 leaves out itself only; 20 has no partner of its length
+    assert got == [(0, 1, 0, 4096)] * 2 + [(0, 2, 1, 4096)] * 2
     assert topk.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
     assert topk.top_k(df.where("vec_id = 1"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_topk_counts_every_row_of_an_id(spark):
+    vecs = [(0, [1.0, 0.0]), (0, [0.5, 0.0]), (1, [1.0, 1.0]), (40, [0.0, 1.0])]
+    df = spark.createDataFrame(vecs, "vec_id bigint, embedding array<float>")
+    got = rows(topk.top_k(df, F.col("vec_id") == 0, k=5), "query_id", "rank", "vec_id", "score")
+    assert got == sorted([(0, 1, 1, 4096), (0, 2, 0, 2048), (0, 3, 40, 0), (0, 1, 0, 2048), (0, 2, 1, 2048), (0, 3, 40, 0)])
+
+
 def test_warc_edges(spark, workdir):
     pages = spark.createDataFrame(
         [(1, "http://a/x?q", "same"), (2, "http://b", "same"), (2, "http://b", "same"), (3, None, None), (4, "http://c", ""),
