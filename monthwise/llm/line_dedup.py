@@ -1,8 +1,9 @@
 """Cross-site boilerplate removal by the distinct-site spread of lines.
 
-Per line hash a HyperLogLog sketch of its sites is built with partial aggregation
-(sketches merge, so a line on a third of all rows reaches the reducer as one sketch
-per task).  Estimates clearly above or below the threshold decide at once; lines
+Lines with fewer rows than ``min_sites`` cannot be on so many sites; a count per line hash
+sets them aside.  For the others a HyperLogLog sketch of the sites is built per line hash with
+partial aggregation (sketches merge, so a line on a third of all rows reaches the reducer as
+one sketch per task).  Estimates clearly above or below the threshold decide at once; lines
 whose estimate is near it get an exact distinct count.  Lines on ``min_sites`` or
 more sites are boilerplate: of their copies only the first - smallest (doc_id,
 line number), NULL ids last - stays.
@@ -11,7 +12,9 @@ Lines are compared after trimming spaces, tabs and carriage returns.  Blank line
 are never removed.  A NULL site adds no site.  NULL text stays NULL, empty text
 stays empty, an empty table gives an empty result; repeated rows count their sites
 once, and both rows lose the line unless they hold the first copy (rows with
-equal ids at the same line number tie and both keep it).
+equal ids at the same line number tie and both keep it).  Rows are told apart by id and a
+128-bit hash of their text, which every scan gives alike.  A very long text is one array of
+lines in its own row, its work linear in them.
 """
 
 from __future__ import annotations
@@ -50,12 +53,11 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     """Hashes of the lines on at least ``min_sites`` sites, with the place of the
     copy that stays: (h1, h2, n_sites_estimate, first_doc, first_pos)."""
     every = lines(docs, site)
-    # Each (line, site) pair once per task before sketching: cheap hash aggregate.
-    pairs = every.groupBy("h1", "h2", "site").agg(F.min(F.struct("doc", "pos")).alias("first"))
-    spread = pairs.groupBy("h1", "h2").agg(
+    often = written(every.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_sites).select("h1", "h2"),
+                    "frequent-lines")
+    spread = every.join(often, ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("estimate"),
-        F.min("first").alias("first"))
-    # Lines far below the threshold are dropped before anything is written.
+        F.min(F.struct("doc", "pos")).alias("first"))
     spread = written(spread.where(F.col("estimate") >= min_sites * (1 - band)), "line-spread")
     near = spread.where(F.col("estimate") <= min_sites * (1 + band))
     exact = (
@@ -76,30 +78,35 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     ``n_lines`` (non-blank lines before) and ``n_removed``; clashing columns of the
     input are replaced.  Only line positions are shuffled to find what goes; texts
     move once, to meet their list of positions."""
-    row, dropped = fresh(docs, "row"), fresh(docs, "dropped")
-    base = docs.withColumn(row, F.monotonically_increasing_id())
+    dropped, who = fresh(docs, "dropped"), fresh(docs, "who")
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+    # A row's key: rows equal in it hold the same lines at the same places, so they lose the same.
+    key = F.struct(doc.alias("doc"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2"))
     marked = written(boilerplate(docs, site, min_sites, lg_k, band), "boilerplate")
     places = (
-        base.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),
-                    F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+        docs.select(key.alias("who"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
         .withColumn("line", line_key(F.col("line"))).where("line <> ''")
-        .select(row, "doc", "pos", F.xxhash64("line").alias("h1"),
-                F.xxhash64(F.lit(1), F.col("line")).alias("h2"))
+        .select("who", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2"))
     )
     gone = (
         places.join(marked, ["h1", "h2"])
-        .where("doc <> first_doc OR pos <> first_pos")
-        .groupBy(row).agg(F.collect_list("pos").alias(dropped))
+        .where("who.doc <> first_doc OR pos <> first_pos")
+        .groupBy("who").agg(F.collect_set("pos").alias(dropped)).withColumnRenamed("who", who)
     )
     drops = F.col(dropped)
     split = F.split(F.col("text"), "\n", -1)
-    rest = F.array_join(F.filter(split, lambda x, i: ~F.array_contains(drops, i)), "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), drops)
     counted = F.size(F.filter(split, lambda x: line_key(x) != ""))
     other = [c for c in docs.columns if c.lower() not in ("text", "n_lines", "n_removed")]
-    out = base.join(gone, row, "left")
+    out = docs.withColumn(who, key).join(gone, who, "left")
     return out.select(
         *[F.col(f"`{c}`") for c in other],
-        F.when(drops.isNull(), F.col("text")).otherwise(rest).alias("text"),
+        F.when(drops.isNull(), F.col("text")).otherwise(kept_lines(split, stay)).alias("text"),
         F.coalesce(counted, F.lit(0)).alias("n_lines"),
         F.coalesce(F.size(drops), F.lit(0)).alias("n_removed"),
     )
+
+
+def kept_lines(split: Column, stay: Column) -> Column:
+    """The lines at the places ``stay``, in order; the split is done once."""
+    return F.transform(F.array(split), lambda s: F.array_join(F.transform(stay, lambda i: F.get(s, i)), "\n"))[0]

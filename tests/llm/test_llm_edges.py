@@ -237,3 +237,22 @@ def test_labels_other_than_0_and_1_are_not_learned(spark):
     noisy = clean.union(spark.createDataFrame([(i, 0.7) for i in range(40)] + [(3, None), (None, 1.0)], clean.schema))
     one, two = (quality.train(docs, x, F.lit(True), bits=10) for x in (clean, noisy))
     assert (one == two).all() and one.any()
+
+
+def test_line_dedup_plan(spark, monkeypatch):
+    """Sites are only shuffled to recount the lines near the threshold; the rest goes through sketches."""
+    plans = {}
+    real = line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: plans.setdefault(
+        name, df._jdf.queryExecution().executedPlan().toString()) and real(df, name))
+    docs = spark.createDataFrame([(i, "shared\nown %d" % i, f"s{i % 30}") for i in range(60)], "doc_id bigint, text string, source string")
+    assert line_dedup.remove_boilerplate(docs).agg(F.sum("n_removed")).first()[0] == 59
+    for name in ("frequent-lines", "line-spread"):
+        assert all("site" not in line for line in plans[name].splitlines() if "Exchange hashpartitioning" in line)
+    assert "hll_sketch_agg" in plans["line-spread"]
+
+
+def test_line_dedup_does_not_depend_on_the_split(spark):
+    docs = spark.createDataFrame([(i // 2, f"shared\nown {i}\nshared", f"s{i % 30}") for i in range(60)], "doc_id bigint, text string, source string")
+    one, many = (sorted(map(tuple, line_dedup.remove_boilerplate(docs.repartition(n)).collect())) for n in (1, 9))
+    assert one == many and sum(r[-1] for r in one) == 118
