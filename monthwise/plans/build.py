@@ -19,7 +19,7 @@ from monthwise.operators.quality import gate, run_checks
 from monthwise.params import Params
 from monthwise.plans.reports import REPORT_COLUMNS
 from monthwise.session import default_parallelism, new_work_path, shared_dir
-from monthwise.sources.incremental import latest_by_key
+from monthwise.sources.incremental import latest_by_key, read_slots, write_slot
 from monthwise.sources.registry import Sources
 
 
@@ -45,8 +45,8 @@ CURRENT = ("schema_name string, table_name string, run_id string, path string, w
 def materialize_table(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str, target: str,
                       default_schema: str, run_id: str, bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
     """Full rebuild.  The rows go to a fresh folder (readers of the last build are not
-    disturbed), partitioned by ``month_start`` where there is one; then one row appended
-    to the ``_current`` log makes them the table's current version.
+    disturbed), partitioned by ``month_start`` where there is one; then one row written to
+    the ``_current`` log (two slots a table) makes them the table's current version.
 
     With ``bucket_by`` the rows are also dealt to ``buckets`` (default: the shuffle partitions)
     by that column, sorted by it in each file, and the version is a catalog table: whoever
@@ -65,7 +65,7 @@ def materialize_table(spark: SparkSession, df: DataFrame, root: str, layer: str,
         w = (df.hint("rebalance", monthly) if monthly else df).write
         (w.partitionBy(monthly) if monthly else w).parquet(path)
     log = [(schema, name, run_id, path, dt.datetime.now(dt.timezone.utc), bucket_by, buckets if bucket_by else None, monthly)]
-    spark.createDataFrame(log, CURRENT).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/_current")
+    write_slot(spark, spark.createDataFrame(log, CURRENT), f"{root.rstrip('/')}/_current", f"{schema}.{name}", "written_at")
     out = read_current(spark, root, schema, name, df.schema).select(*df.columns)
     out.createOrReplaceTempView(f"{schema}__{name}")
     return out
@@ -80,7 +80,7 @@ def read_current(spark: SparkSession, root: str, schema: str, name: str, columns
     needed only for a partitioned table without rows.  A bucketed version that the
     session's catalog does not know (another metastore, a new session) is entered there
     first, over its files."""
-    log = spark.read.schema(CURRENT).parquet(f"{root.rstrip('/')}/_current")
+    log = read_slots(spark, f"{root.rstrip('/')}/_current", CURRENT)
     mine = log.where((F.col("schema_name") == schema) & (F.col("table_name") == name))
     last = latest_by_key(mine, ["schema_name", "table_name"], ["written_at", "run_id"]).first()
     if last is None:
