@@ -53,3 +53,10 @@ def surrogate_key(*cols: str) -> str:
     """md5 of the string casts joined by '-', NULL replaced by a marker."""
     parts = ", ".join(f"coalesce(CAST({c} AS STRING), '{SURROGATE_NULL}')" for c in cols)
     return f"md5(concat_ws('-', {parts}))"
+
+
+def json_text(document: str, key: str) -> str:
+    """The value of a top-level key as text (H16); NULL for malformed documents.  Calls on one
+    document share its parse.  Numbers come in their shortest form, a repeated key makes the
+    document malformed."""
+    return f"try_variant_get(try_parse_json({document}), '$.{key}', 'string')"

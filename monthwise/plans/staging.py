@@ -34,9 +34,9 @@ def stg_subscriptions(src: Sources, p: Params) -> DataFrame:
         "customer_id": "customer",
         "plan_id": "plan_id",
         "subscription_status": "status",
-        "plan_type": "get_json_object(metadata, '$.plan_type')",
-        "billing_cycle": "get_json_object(metadata, '$.billing_cycle')",
-        "acquisition_channel": "get_json_object(metadata, '$.acquisition_channel')",
+        "plan_type": S.json_text("metadata", "plan_type"),
+        "billing_cycle": S.json_text("metadata", "billing_cycle"),
+        "acquisition_channel": S.json_text("metadata", "acquisition_channel"),
         "plan_amount_cents": "plan_amount",
         "plan_amount_dollars": S.cents_to_dollars("plan_amount"),
         "created_at": S.epoch_to_ntz("created"),
