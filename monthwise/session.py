@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,20 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@contextmanager
+def footer_counts(spark: SparkSession) -> Iterator[None]:
+    """Parquet read inside uses the v2 scan, whose aggregates may come from file footers.  The
+    choice of scan is made where a table is read, so the setting is put back at the end."""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")      # no effect on v1 scans
+    key = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ",".join(s for s in before.split(",") if s.strip().lower() != "parquet"))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and written tables.
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from monthwise.fixture import FIXTURE
 from monthwise.params import Params
+from monthwise.session import footer_counts
 from monthwise.sources import schemas
 
 Key = tuple[str, str]
@@ -36,6 +37,12 @@ class Sources:
             self._frames[key] = self._loaders[key]()
         return self._frames[key]
 
+    def counted(self, system: str, table: str) -> DataFrame:
+        """The table through Spark's v2 file scan, which answers ``count`` from the Parquet
+        footers (``PushedAggregation``) where no filter stands in between."""
+        with footer_counts(self.spark):
+            return self._loaders[(system, table)]()
+
     def register(self, system: str, table: str, loader: Callable[[], DataFrame]) -> None:
         self._loaders[(system, table)] = loader
         self._frames.pop((system, table), None)
