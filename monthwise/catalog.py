@@ -71,7 +71,8 @@ def queries(p: Params = FIXTURE) -> dict[str, Query]:
         "stale_sources": qs.stale_sources,
         "all_null_columns": qs.all_null_columns,
         "row_counts": qs.row_counts,
-        # incremental loads
+        # incremental loads
+        "fetch_parts": loads.fetch_parts,
         "incremental_extract": loads.incremental_extract,
         "watermark_upsert": loads.watermark_upsert,
         "load_latest_by_key": loads.load_latest_by_key,

@@ -561,6 +561,30 @@ def _quality_sql(p: Params) -> dict[str, str]:
 def _load_sql(p: Params) -> dict[str, str]:
     q = {}
     mark, ev_now, now = _ts(p.events_mark), _ts(p.clock("app_db", "events")), _ts(p.as_of)
+    # 16 fetches of nearly equal rows a table; a day above such a share is cut by its key
+    fetches, views = [], []
+    for t, mark_col, key in (("users", "updated_at", "id"), ("subscriptions", "updated_at", "id"),
+                             ("events", "occurred_at", "event_id"), ("sessions", "ended_at", None)):
+        views.append(f"raw_app_{t}")
+        cut = (lambda n: f"CASE WHEN {n} > 1 THEN abs(coalesce({key}, 0)) % {n} ELSE 0 END") if key else lambda n: "0"
+        fetches.append(f"""
+    SELECT '{t}' AS table_name, CAST(part AS INTEGER) AS part, count(*) AS n_rows, min(m) AS first_mark, max(m) AS last_mark
+    FROM (
+      WITH by_day AS (SELECT CAST({mark_col} AS DATE) AS d, count(*) AS n FROM raw_app_{t} GROUP BY 1),
+      shares AS (SELECT d, n, (coalesce(sum(n) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 16)
+                        // sum(n) OVER () AS share, (n * 16 + sum(n) OVER () - 1) // sum(n) OVER () AS slices
+                 FROM by_day WHERE d IS NOT NULL),
+      ranges AS (SELECT *, CASE WHEN slices = 1 AND share = lag(CASE WHEN slices = 1 THEN share END) OVER (ORDER BY d)
+                                THEN 0 ELSE slices END AS adds FROM shares),
+      days AS (SELECT d, slices, sum(adds) OVER (ORDER BY d) - slices AS first_part FROM ranges),
+      unmarked AS (SELECT greatest(1, (coalesce(sum(CASE WHEN d IS NULL THEN n END), 0) * 16 + sum(n) - 1) // sum(n)) AS slices
+                   FROM by_day)
+      SELECT r.{mark_col} AS m,
+             CASE WHEN r.{mark_col} IS NOT NULL THEN days.first_part + {cut('days.slices')}
+                  ELSE greatest((SELECT sum(adds) FROM ranges), 1) + {cut('(SELECT slices FROM unmarked)')} END AS part
+      FROM raw_app_{t} r LEFT JOIN days ON CAST(r.{mark_col} AS DATE) = days.d)
+    GROUP BY 2""")
+    q["fetch_parts"] = with_ctes("    UNION ALL".join(fetches), views, p)
     q["incremental_extract"] = with_ctes(f"""
     SELECT event_id AS "EVENT_ID", user_id AS "USER_ID", session_id AS "SESSION_ID", event_name AS "EVENT_NAME",
            event_properties AS "EVENT_PROPERTIES", occurred_at AS "OCCURRED_AT", {ev_now} AS "_LOADED_AT"

@@ -13,8 +13,8 @@ from monthwise.functions.scalar import ntz_lit
 from monthwise.params import CORRECTED, Params
 from monthwise.sources import schemas, seedgen
 from monthwise.session import new_work_path
-from monthwise.sources.incremental import (APP_TABLES, incremental_batch, latest_by_key, run_loads,
-                                           upper_case_columns, upsert_latest)
+from monthwise.sources.incremental import (APP_TABLES, fetch_predicates, incremental_batch, latest_by_key,
+                                           mark_histogram, run_loads, upper_case_columns, upsert_latest)
 from monthwise.sources.registry import Sources
 
 # The previous run's control state for the registered queries: only ``events``
@@ -33,6 +33,26 @@ def incremental_extract(src: Sources, p: Params) -> DataFrame:
     return upper_case_columns(batch)
 
 
+# The integer key by which a day too large for one fetch is sliced; sessions have none.
+FETCH_KEYS = {"users": "id", "subscriptions": "id", "events": "event_id", "sessions": None}
+FETCH_PARTS = 16
+
+
+def fetch_parts(src: Sources, p: Params) -> DataFrame:
+    """A4: the parts in which a partitioned fetch reads each app table: rows, first and last
+    mark of every part, rows dealt by the predicates the fetch hands to the database."""
+    out = []
+    for spec in APP_TABLES:
+        table, mark = src("app_db", spec.name), F.col(spec.watermark_col)
+        predicates = fetch_predicates(spec.watermark_col, mark_histogram(table, spec.watermark_col), FETCH_PARTS,
+                                      FETCH_KEYS[spec.name])
+        part = F.expr("CASE " + " ".join(f"WHEN {q} THEN {i}" for i, q in enumerate(predicates)) + " END")
+        out.append(table.groupBy(part.alias("part")).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min(mark).alias("first_mark"), F.max(mark).alias("last_mark"))
+            .select(F.lit(spec.name).alias("table_name"), "part", "n_rows", "first_mark", "last_mark"))
+    return _union(out)
+
+
 def _run_rows(src: Sources, p: Params) -> list[tuple[str, DataFrame, dt.datetime, str]]:
     out = []
     for spec in APP_TABLES:

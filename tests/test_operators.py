@@ -137,6 +137,68 @@ def test_jdbc_reads_are_partitioned():
         "upperBound": "10000", "numPartitions": "32", "user": "u"}
 
 
+def test_fetch_predicates_are_complete_disjoint_and_even(spark):
+    """A hot day, rows without a mark, marks before and after the histogram, a NULL key."""
+    day = dt.datetime(2024, 1, 1)
+    marks = [day + dt.timedelta(days=i % 40, hours=i % 24) for i in range(4000)]
+    marks += [day + dt.timedelta(days=7, seconds=i) for i in range(3000)] + [None] * 2000
+    df = spark.createDataFrame([(None if i == 4001 else i, m) for i, m in enumerate(marks)], "id long, at timestamp_ntz")
+    histogram = inc.mark_histogram(df, "at")
+    assert sum(n for _, n in histogram) == len(marks)
+    wider = df.unionByName(spark.createDataFrame([(-5, dt.datetime(1999, 1, 1)), (-6, dt.datetime(2030, 1, 1))], df.schema))
+    for key in ("id", None):
+        predicates = inc.fetch_predicates("at", histogram, 10, key)
+        hits = wider.select(*[F.expr(f"CAST(coalesce({q}, false) AS INT)").alias(f"p{i}") for i, q in enumerate(predicates)])
+        assert hits.where(" + ".join(hits.columns) + " <> 1").count() == 0
+        sizes = hits.agg(*[F.sum(c).alias(c) for c in hits.columns]).first()
+        if key:
+            assert max(sizes) <= 2 * len(marks) / 10 and len(predicates) <= 25
+    assert inc.fetch_predicates("at", [], 4) == ["at IS NOT NULL", "at IS NULL"]
+    assert inc.fetch_ranges([(None, 5)], 4) == []
+
+
+def test_jdbc_parts_ask_the_database_past_the_mark(spark):
+    source = inc.JdbcParts(spark, "jdbc:x", "app.users", 8, "id")
+    spec = inc.TableSpec("users", "updated_at", 1000)
+    assert source.histogram_query(spec, None) == (
+        "SELECT CAST(updated_at AS DATE) AS mark_day, COUNT(*) AS n_rows FROM app.users GROUP BY CAST(updated_at AS DATE)")
+    assert "WHERE updated_at > TIMESTAMP '2024-01-02 03:00:00' OR updated_at IS NULL" in source.histogram_query(
+        spec, dt.datetime(2024, 1, 2, 3))
+
+
+def test_latest_by_key_reads_and_moves_rows_once(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    plan = _plan(inc.latest_by_key(df, ["event_id"], "ts"))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("WindowGroupLimit") and "Partial" in plan          # a hot key is one row a task
+
+
+def test_row_counts_come_from_footers_and_freshness_from_the_newest_load(spark, workdir):
+    from monthwise.plans.quality_suite import newest_load, row_counts
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    df = row_counts(Sources.from_test_tables(spark, SF_SMALL, FIXTURE), FIXTURE)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    txt = df._jdf.queryExecution().executedPlan().treeString()
+    assert txt.count("PushedAggregation: [COUNT(*)]") == 3
+    raw = os.path.join(workdir, "raw")
+    for d in (1, 2, 3):
+        inc.append_load(spark.range(4).withColumn("_loaded_at", F.lit(dt.datetime(2024, 1, d)).cast("timestamp_ntz")),
+                        raw, inc.LOAD_DATE)
+    loaded = spark.read.parquet(raw)
+    newest = newest_load(loaded).agg(F.max("_LOADED_AT").alias("at"), F.count("*").alias("n"))
+    assert tuple(newest.first()) == (dt.datetime(2024, 1, 3), 4)
+    assert "PartitionFilters: [isnotnull(LOAD_DATE" in _plan(newest_load(loaded))
+    assert newest_load(loaded.where("LOAD_DATE IS NULL")).count() == 0
+    assert newest_load(spark.range(3)).count() == 3
+
+
+def test_json_text_parses_once_and_malformed_is_null(spark):
+    from monthwise.functions import sql as S
+    df = spark.createDataFrame([('{"a":"x","b":1}',), ("{bad",), ('{"a":null}',), ("[1]",), (None,), ("",)], "m string")
+    got = [tuple(r) for r in df.selectExpr(S.json_text("m", "a"), S.json_text("m", "b")).collect()]
+    assert got == [("x", "1")] + [(None, None)] * 5
+
+
 def test_unreadable_state_is_not_taken_for_missing(spark, workdir):
     with open(os.path.join(workdir, "part-0.parquet"), "w") as f:
         f.write("not parquet")
