@@ -15,7 +15,9 @@ is spent on them.  Edits are counted in UTF-8 bytes.
 
 The items are a query set: they are dealt by hash to blocks of about ``block_bytes``
 and sent to the executors block by block, one pass over the documents each.  Items without words match nothing, NULL text holds nothing, empty tables
-give empty results.  Repeated documents and repeated items are reported each.
+give empty results.  Repeated documents and repeated items are reported each.  A very long text is
+searched whole; an item's memory is its length times the height of its tree.  Only the columns
+asked for are read, and a document's own columns named like the result's clash: rename them first.
 """
 
 from __future__ import annotations
@@ -99,19 +101,26 @@ class Matcher:
         import ahocorasick
 
         self.items = [(item, p, int(len(p) * error_rate)) for item, text in items if (p := normal(text))]
-        # piece -> (item, its offset, the stretches above it: pattern, offset, budget, shreds).
+        # piece -> (item, its offset, the stretches above it: pattern, offset, budget; shreds).
+        # A stretch is made once per item and shared by the pieces below it.
         # Shreds: the rest of the lowest stretch, cut to budget + 1; one is unchanged too.
-        places: dict[str, list[tuple[int, int, list[tuple[str, int, int, list[str]]]]]] = {}
+        places: dict[str, list[tuple[int, int, list[tuple[str, int, int]], list[str]]]] = {}
         for i, (_, pattern, errors) in enumerate(self.items):
             cut = pieces(pattern, errors)
             ends = [offset for offset, _ in cut] + [len(pattern)]
+            made: dict[tuple[int, int], tuple[str, int, int]] = {}
             for (offset, piece), above in zip(cut, climbs(len(cut))):
-                stretches = [(pattern[ends[a]:ends[b]], ends[a], b - a - 1, []) for a, b in above]
+                stretches = []
+                for a, b in above:
+                    if (a, b) not in made:
+                        made[a, b] = (pattern[ends[a]:ends[b]], ends[a], b - a - 1)
+                    stretches.append(made[a, b])
+                shreds = []
                 if stretches:
-                    part, at, budget, shreds = stretches[0]
+                    part, at, budget = stretches[0]
                     rest = part[len(piece):] if offset == at else part[:len(part) - len(piece)]
-                    shreds += [shred for _, shred in pieces(rest, budget)]
-                places.setdefault(piece, []).append((i, offset, stretches))
+                    shreds = [shred for _, shred in pieces(rest, budget)]
+                places.setdefault(piece, []).append((i, offset, stretches, shreds))
         self.found = ahocorasick.Automaton()
         for piece, where in places.items():
             self.found.add_word(piece, (len(piece), where))
@@ -124,12 +133,21 @@ class Matcher:
         if not line or not self.items:
             return []
         starts: dict[int, set[int]] = {}      # item -> where its pattern would begin
+        fits: dict[tuple[int, int], bool] = {}   # (stretch, begin) -> checked; pieces of one copy share both
         for end, (length, where) in self.found.iter(line):
-            for i, offset, stretches in where:
+            for i, offset, stretches, shreds in where:
                 begin = end + 1 - length - offset
-                for part, at, errors, shreds in stretches:
-                    near = line[max(0, begin + at - errors):max(0, begin + at + len(part) + errors)]
-                    if shreds and not any(s in near for s in shreds) or not myers(part, near, errors):
+                if begin in starts.get(i, ()):
+                    continue
+                for lowest, stretch in enumerate(stretches):
+                    part, at, errors = stretch
+                    ok = fits.get((id(stretch), begin))
+                    if ok is None:
+                        near = line[max(0, begin + at - errors):max(0, begin + at + len(part) + errors)]
+                        if not lowest and not any(s in near for s in shreds):
+                            break
+                        ok = fits[id(stretch), begin] = myers(part, near, errors) is not None
+                    if not ok:
                         break
                 else:
                     starts.setdefault(i, set()).add(begin)
