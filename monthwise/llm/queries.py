@@ -54,7 +54,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC archives, read back and assembled to captures."""
     path = new_work_path(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path, min_bytes=0)
-    captures = warc.assemble(warc.read_records(spark, path)).select(
+    captures = warc.transactions(spark, path, payloads=False).select(
         "capture", "type", "digest", "refers_to", "response.bytes", F.col("response.digest").alias("computed"),
         F.size("requests").alias("n_requests"),
         F.regexp_extract(F.col("metadata")[0]["fields"], r"page-id: (-?\d+)", 1).try_cast("long").alias("page_id"))

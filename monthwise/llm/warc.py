@@ -5,7 +5,8 @@ metadata - tied together by ``WARC-Concurrent-To``.  Of records with equal paylo
 least ``min_bytes`` the one with the greatest page id is the response, the others
 revisit it.  A record is one row of text whose line separator is the CR LF CR LF
 that ends a WARC record, so Spark's own text writer makes the archives, on any file
-system, one file per task and ``records_per_file``.
+system.  Pages are written by size class, larger ones fewer to a file, so an archive holds about
+``archive_bytes`` before compression (and ``records_per_file`` records), or one capture that is larger.
 
 Reading: archives are parsed file by file with record lengths taken from
 ``Content-Length``, never from the content.  Transaction assembly joins the records:
@@ -16,7 +17,8 @@ are shuffled once, with their response.
 NULL html counts as an empty payload, NULL urls are left out of the records, NULL
 page ids are written without one; repeated rows are written as captures of their own,
 and of rows with equal ids and payloads one (the last read) is the response.  An
-empty table makes no captures.  Memory: a task holds one archive at a time.
+empty table makes no captures; columns besides page_id, url and html are not read, so none can
+clash.  Memory: a task holds one archive at a time, and its payloads only if they are asked for.
 """
 
 from __future__ import annotations
@@ -33,6 +35,10 @@ from monthwise.llm.common import fresh, written
 
 
 RECORDS_PER_FILE = 3000
+ARCHIVE_BYTES = 64 << 20
+SMALL_PAGE = 64 << 10      # payloads up to this size make the first class; each further class is 16 times larger
+CLASSES = 4
+BATCH_BYTES = 8 << 20      # payloads that go to Spark at once
 END = "\r\n\r\n"
 BASE32HEX, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "2024-01-01T00:00:00Z"      # captures carry no time of their own
@@ -60,7 +66,8 @@ def record(kind: str, headers: list[tuple[str, Column]], block: Column) -> Colum
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0,
-                   records_per_file: int = RECORDS_PER_FILE, codec: str = "gzip") -> None:
+                   records_per_file: int = RECORDS_PER_FILE, codec: str = "gzip",
+                   archive_bytes: int = ARCHIVE_BYTES) -> None:
     """``pages`` (page_id, url, html) as WARC archives below ``path``."""
     row = fresh(pages, "row")
     # Numbered once: a later scan of the same files may be split otherwise and number them anew.
@@ -99,10 +106,19 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0,
         ("WARC-Record-ID", record_id("metadata", F.col(row))), *common,
         ("WARC-Concurrent-To", record_id("request", F.col(row))), ("Content-Type", F.lit("application/warc-fields"))],
         F.concat_ws("", F.concat(F.lit("page-id: "), F.col("page_id").cast("string"), F.lit("\r\n"))))
-    (here.select(F.explode(F.array(F.when(F.col("to").isNull(), response).otherwise(revisit), request, metadata))
-                 .alias("value"))
-     .write.option("lineSep", END).option("compression", codec).option("maxRecordsPerFile", records_per_file)
-     .text(path))
+    records = F.explode(F.array(F.when(F.col("to").isNull(), response).otherwise(revisit), request, metadata))
+    in_use = {r[0] for r in base.select(size_class(F.col("bytes")).alias("class")).distinct().collect()}
+    for of in sorted(in_use | {0}):                  # four classes at most; an empty table writes an empty folder
+        captures = max(1, archive_bytes // (SMALL_PAGE * 16**of)) if of < CLASSES - 1 else 1
+        (here.where(size_class(F.col("bytes")) == of).select(records.alias("value"))
+         .write.mode("append").option("lineSep", END).option("compression", codec)
+         .option("maxRecordsPerFile", min(records_per_file, 3 * captures)).text(path))
+
+
+def size_class(size: Column) -> Column:
+    """0 for payloads up to ``SMALL_PAGE`` bytes, then one more for every factor of 16."""
+    bounds = [SMALL_PAGE * 16**i for i in range(CLASSES - 1)]
+    return sum((F.when(size > b, 1).otherwise(0) for b in bounds), F.lit(0))
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -121,18 +137,21 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 RECORD_SCHEMA = ("record_id string, type string, concurrent_to string, refers_to string, uri string, "
                  "digest string, payload binary, payload_digest string, fields string")
+SLIM_SCHEMA = RECORD_SCHEMA.replace("payload binary", "payload_bytes bigint")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records below ``path``.  ``payload``: of a response, what follows its HTTP
-    header, with ``payload_digest`` computed from it; ``fields``: a metadata block."""
+def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """All records below ``path``.  ``payload``: of a response, what follows its HTTP header (without
+    ``payloads`` its length only, as ``payload_bytes``), with ``payload_digest`` computed from
+    it; ``fields``: a metadata block."""
+    schema = RECORD_SCHEMA if payloads else SLIM_SCHEMA
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        names = [f.split()[0] for f in RECORD_SCHEMA.split(", ")]
-        types = [pa.binary() if n == "payload" else pa.string() for n in names]
+        names = [f.split()[0] for f in schema.split(", ")]
+        types = [{"payload": pa.binary(), "payload_bytes": pa.int64()}.get(n, pa.string()) for n in names]
         for batch in batches:
             for content in batch.column(0):
                 data = content.as_py()
@@ -143,31 +162,39 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                         parts.append(member.decompress(data))
                         data = member.unused_data
                     data = b"".join(parts)
-                rows = []
+                rows, held = [], 0
                 for head, block in parse(data):
                     payload = sha = fields = None
                     if head["warc-type"] == "response":
                         payload = block.partition(b"\r\n\r\n")[2]
                         sha = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+                        if payloads:
+                            held += len(payload)
+                        else:
+                            payload = len(payload)
                     elif head["warc-type"] == "metadata":
                         fields = block.decode("utf-8", "replace")
                     rows.append((head.get("warc-record-id"), head["warc-type"], head.get("warc-concurrent-to"),
                                  head.get("warc-refers-to"), head.get("warc-target-uri"),
                                  head.get("warc-payload-digest"), payload, sha, fields))
-                    if len(rows) == 1000:
+                    if len(rows) == 1000 or held > BATCH_BYTES:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return files.mapInArrow(run, RECORD_SCHEMA)
+    return files.mapInArrow(run, schema)
 
 
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: record_id, type, uri, digest, refers_to, response
-    (payload, its computed digest and size), requests and metadata as arrays of structs."""
+    (payload, its computed digest and size), requests and metadata as arrays of structs.  Of records
+    read without payloads the response has digest and size only."""
+    whole = "payload" in records.columns
+    response = [*(["payload"] if whole else []), F.col("payload_digest").alias("digest"),
+                (F.octet_length("payload").cast("long") if whole else F.col("payload_bytes")).alias("bytes")]
     request = records.where("type = 'request'").select(
         F.col("record_id").alias("request_id"), F.col("concurrent_to").alias("capture"), "uri")
     metadata = records.where("type = 'metadata'").select(
@@ -180,10 +207,14 @@ def assemble(records: DataFrame) -> DataFrame:
     about = metadata.groupBy("capture").agg(F.collect_list(F.struct("metadata_id", "fields")).alias("metadata"))
     captures = records.where("type IN ('response', 'revisit')").select(
         F.col("record_id").alias("capture"), "type", "uri", "digest", "refers_to",
-        F.when(F.col("type") == "response", F.struct(
-            "payload", F.col("payload_digest").alias("digest"),
-            F.octet_length("payload").cast("long").alias("bytes"))).alias("response"))
+        F.when(F.col("type") == "response", F.struct(*response)).alias("response"))
     return captures.join(requests, "capture", "left").join(about, "capture", "left")
 
 
-__all__ = ["write_archives", "read_records", "assemble", "parse", "base32"]
+def transactions(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """The captures of the archives below ``path`` (see :func:`assemble`).  Every archive is parsed
+    once: its records, without payloads unless they are asked for, are written as a table."""
+    return assemble(written(read_records(spark, path, payloads), "records"))
+
+
+__all__ = ["transactions", "write_archives", "read_records", "assemble", "parse", "base32"]
