@@ -340,3 +340,65 @@ def test_archives_of_many_gzip_members(spark, workdir):
         f.write(one.replace(b"<a>", b"<c>"))
     got = warc.read_records(spark, workdir).collect()
     assert sorted((r.record_id, bytes(r.payload)) for r in got) == [("<a>", b"body"), ("<b>", b"body"), ("<c>", b"body")]
+
+def test_a_long_item_needs_little_memory():
+    """50,000 characters, its copy in a longer text with edits in every part."""
+    import tracemalloc
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(7200)]
+    tracemalloc.start()
+    matcher = decontaminate.Matcher([(7, " ".join(words))], 0.1)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 20 << 20
+    copy = [w if i % 15 else w[:-1] + "x" for i, w in enumerate(words)]
+    edits = sum(w != c for w, c in zip(words, copy))
+    (item, distance, length, first), = matcher.matches("other words " + " ".join(copy) + " and more")
+    assert (item, distance, first) == (7, edits, 2) and length > 50_000
+    assert matcher.matches(" ".join(words[:3000])) == []
+
+
+def test_archives_are_bounded_by_bytes_and_parsed_once(spark, workdir):
+    """Pages of many sizes; the registered form reads each archive once."""
+    import glob
+    import gzip
+    sizes = [0, 10, 64 << 10, (64 << 10) + 1, 300 << 10, 2 << 20, 3 << 20, 17 << 20] + [200 << 10] * 20
+    pages = spark.createDataFrame([(i, "http://h/", chr(97 + i % 26) * n) for i, n in enumerate(sizes)],
+                                  "page_id bigint, url string, html string").coalesce(1)
+    warc.write_archives(pages, workdir + "/w", archive_bytes=4 << 20)
+    files = glob.glob(workdir + "/w/part-*")
+    whole = [len(gzip.open(f).read()) for f in files]
+    assert sum(n > (5 << 20) for n in whole) == 1 and max(whole) < 18 << 20          # one capture, larger itself
+    for payloads in (True, False):
+        got = warc.transactions(spark, workdir + "/w", payloads).collect()
+        assert len(got) == len(sizes)
+        if payloads:
+            assert all(len(r.response.payload) == r.response.bytes for r in got if r.type == "response")
+        else:
+            assert "payload" not in got[0].response
+    plan = warc.transactions(spark, workdir + "/w", False)._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "MapInArrow" not in plan
+
+
+def test_tokens_of_a_warm_key_spread_and_other_pretokenizers_are_refused(spark, workdir):
+    import json
+
+    from monthwise.llm import token_counts
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(path)
+    texts = [f"word{i} zyxwvut" if i % 10 < 5 else f"other{i}" for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    got = token_counts.token_counts(docs, path, hot_docs=8, block_docs=10)
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in got.collect()} == {
+        i: (len(t), len(library.encode(t).ids)) for i, t in enumerate(texts)}
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+                   {"pre_tokenizer": {**spec["pre_tokenizer"], "add_prefix_space": True}}):
+        with open(workdir + "/t.json", "w", encoding="utf-8") as f:
+            json.dump({**spec, "model": {}, **change}, f)
+        with pytest.raises(ValueError):
+            token_counts.token_counts(docs, workdir + "/t.json")
