@@ -52,6 +52,32 @@ def movement_classify(df: DataFrame, key: list[str], period: str | list[str], va
     return add_movement(out, value, prior_col, change_col, type_col, mode, change_type)
 
 
+def prior_in_runs(df: DataFrame, key: list[str], first: str, last: str, order: list[str], value: str,
+                  prior_first: str, prior_rest: str) -> DataFrame:
+    """The ``lag`` of :func:`movement_classify` for rows that stand for runs of months (``first``
+    to ``last``, ``value`` the same in all of them), without a row per month.
+
+    Runs are cut where any run of the key begins or ends, so the runs of one stretch cover the
+    same months.  There a row's prior value is that of the row before it in ``order``; the first
+    row's is that of the last row, one month earlier, or in the stretch's first month that of
+    the stretch before.  A key has no more stretches than the calendar has months, so there
+    are never more rows than months would give, and mostly far fewer.  ``prior_first`` is the
+    prior value in the first month of a (cut) run, ``prior_rest`` that in its later months."""
+    cuts = F.expr(f"array_sort(array_distinct(flatten(array(collect_set({first}) OVER k, collect_set(add_months({last}, 1)) OVER k))))"
+                  .replace("OVER k", f"OVER (PARTITION BY {', '.join(key)})"))
+    own = f"filter(__cuts, c -> c >= {first} AND c <= add_months({last}, 1))"
+    cut = (df.withColumn("__cuts", cuts).withColumn("__cuts", F.expr(own))
+           .selectExpr("*", "posexplode(slice(__cuts, 1, size(__cuts) - 1)) AS (__at, __start)")
+           .withColumns({first: F.col("__start"), last: F.expr("add_months(__cuts[__at + 1], -1)")}).drop("__cuts", "__at", "__start"))
+    rows = Window.partitionBy(*key).orderBy(first, *order)
+    stretch = Window.partitionBy(*key, first).orderBy(*order)
+    out = cut.withColumns({
+        prior_first: F.lag(value).over(rows), "__before": F.lag(first).over(rows),
+        "__last_value": F.last(value).over(stretch.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    return out.withColumn(prior_rest, F.expr(f"CASE WHEN __before = {first} THEN {prior_first} ELSE __last_value END")).drop(
+        "__before", "__last_value")
+
+
 def add_movement(out: DataFrame, value: str, prior_col: str, change_col: str = "value_change",
                  type_col: str = "movement", mode: str = EXACT, change_type: str | None = None) -> DataFrame:
     """Change and movement class from a value and its (already known) prior."""

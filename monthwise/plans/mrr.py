@@ -8,15 +8,15 @@ Plan shape (the fact is ~months x subscriptions, by far the largest table):
    is the same as joining the fact, but the join moves one row per subscription.
    AQE broadcasts the dimension when its measured size is small and keeps a
    shuffle join (with skew splitting) otherwise.
-2. subscription rows are hash-partitioned by ``subscription_id``; the month
-   expansion keeps that partitioning, so nothing downstream shuffles the
-   expanded rows.
+2. nothing sorts, groups or shuffles the expanded rows: all work is done on runs of
+   months (``mrr_runs``), and the expansion is the last step.
 3. ``lag`` is per subscription id, over all its rows before accounts are joined (as
    in the reference).  An id with one source row expands into consecutive months, so
    its prior month follows from the position in the expansion (no sort).  Ids with
    several source rows (a broken unique key upstream, or a subscription handed to
-   another customer) go through the ``lag`` window instead; a count per id decides,
-   and where there are none, adaptive execution drops that branch altogether.
+   another customer) go through ``lag`` windows over their runs (``prior_in_runs``); a
+   count per id decides, and where there are none, adaptive execution drops that
+   branch altogether.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from monthwise.functions import sql as S
 from monthwise.functions.scalar import MONEY
-from monthwise.operators.movement import add_movement, movement_classify
+from monthwise.operators.movement import add_movement, prior_in_runs
 from monthwise.operators.range_expand import expand_months
 from monthwise.params import CORRECTED, Params
 
@@ -38,14 +38,29 @@ UNASSIGNED = "Unassigned"   # corrected mode: segment of subscriptions without a
 
 def fct_mrr_transfers(src: Sources, p: Params) -> DataFrame:
     """The fact over subscriptions of which two share an id, mostly across customers
-    (order keys 2k and 2k + 1): every row goes through the ``lag`` window."""
+    (order keys 2k and 2k + 1): every run goes through the ``lag`` windows."""
     subs = src("stripe", "subscriptions")
     shared = subs.withColumn("id", F.expr("concat('sub_', CAST(substring(id, 5) AS BIGINT) div 2)"))
     return fct_mrr(src.replaced("stripe", "subscriptions", shared), p)
 
 
-def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
-    subs = billable_subscriptions(src, p)
+def active_subscriptions(src: Sources, p: Params) -> DataFrame:
+    """Billable subscriptions with their months within the calendar, ``__from`` to ``__to``."""
+    first, last = f"greatest(__lo, {S.date(p.spine_start)})", f"least(add_months(__hi, -1), {S.date(p.spine_end)})"
+    return billable_subscriptions(src, p).withColumns({"__from": F.expr(first), "__to": F.expr(last)}).where("__from <= __to")
+
+
+def fact_months(src: Sources, p: Params) -> int:
+    """Rows of the fact (before accounts that share a customer fan out), from one narrow scan."""
+    months = "(year(__to) - year(__from)) * 12 + month(__to) - month(__from) + 1"
+    return active_subscriptions(src, p).agg(F.expr(f"coalesce(sum(CAST({months} AS BIGINT)), 0L)")).first()[0]
+
+
+def mrr_runs(src: Sources, p: Params, dim: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+    """The fact before its month expansion: a row per subscription and run of months
+    (``__from`` to ``__to``, within the calendar) with its accounts.  ``__prior_first`` is the
+    prior MRR in the run's first month, ``__prior_rest`` that in all later ones."""
+    subs = active_subscriptions(src, p)
     if dim is None:
         # The fact uses only account columns, and dim_accounts carries the CRM
         # staging rows one-to-one (its app-user rollup matches at most one row
@@ -54,8 +69,6 @@ def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
         dim = stg_accounts(src, p)
     d = dim.selectExpr("account_id", "account_name", "account_segment", "industry", "billing_country",
                        "stripe_customer_id AS __dim_key")
-    kw = dict(prior_col="prior_month_mrr", change_col="mrr_change", type_col="mrr_type", mode=p.mode,
-              change_type=MONEY)
 
     def accounts(rows: DataFrame) -> DataFrame:
         out = rows.join(d, F.expr("customer_id = __dim_key"), "left").drop("__dim_key")
@@ -64,22 +77,37 @@ def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
             out = out.withColumn("account_segment", F.expr(f"coalesce(account_segment, '{UNASSIGNED}')"))
         return out
 
-    def expanded(rows: DataFrame) -> DataFrame:
-        ex = expand_months(rows, "__lo", "__hi", p.spine_start, p.spine_end, position="__pos")
-        return with_month_flags(ex.withColumn("__base_mrr", F.col("mrr")), p)
-
-    # One row per subscription moves here; the expansion keeps these partitions.
-    subs = subs.repartition("subscription_id")
+    # a fixed number is not coalesced at run time
+    subs = subs.repartition(parts, "subscription_id") if parts else subs.repartition("subscription_id")
     shared = subs.groupBy("subscription_id").agg(F.expr("count(1)").alias("__n")).where(
         "__n > 1 AND subscription_id IS NOT NULL").select("subscription_id")
-    # One source row: the previous row of month k is month k-1 of the same expansion.
-    single = expanded(accounts(subs.join(shared, "subscription_id", "left_anti"))).withColumn(
-        "prior_month_mrr", F.expr("CASE WHEN __pos > 0 THEN __base_mrr END"))
-    single = add_movement(single, "mrr", **kw)
-    # Several: the lag() window over the id's rows; accounts join after it.
-    multi = accounts(movement_classify(expanded(subs.join(shared, "subscription_id", "left_semi")),
-                                       key=["subscription_id"], period=["month_start", "customer_id", "period_start_at"], value="mrr", **kw))
-    m = single.unionByName(multi)
+    # One run: the previous row of month k is month k-1 of the same run.
+    single = accounts(subs.join(shared, "subscription_id", "left_anti")).withColumns(
+        {"__prior_first": F.expr(f"CAST(NULL AS {MONEY})"), "__prior_rest": F.col("mrr")})
+    # Several: the lag() windows over the id's runs; accounts join after them.
+    multi = subs.join(shared, "subscription_id", "left_semi")
+    if p.mode == CORRECTED:
+        # the churn month is a run of its own, of zero MRR
+        multi = multi.selectExpr(*[f"`{c}`" for c in multi.columns if c not in ("mrr", "__from", "__to")],
+                                 "inline(filter(array(named_struct('mrr', mrr, '__from', __from, '__to', CASE WHEN __cancel_month <= __to "
+                                 f"THEN add_months(__cancel_month, -1) ELSE __to END), named_struct('mrr', CAST(0 AS {MONEY}), '__from', "
+                                 "CASE WHEN __cancel_month <= __to THEN __cancel_month END, '__to', __to)), r -> r.__from <= r.__to))")
+    multi = accounts(prior_in_runs(multi, ["subscription_id"], "__from", "__to", ["customer_id", "period_start_at"], "mrr",
+                                   "__prior_first", "__prior_rest"))
+    return single.unionByName(multi)
+
+
+def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+    """``parts``: the runs are dealt to that many partitions by subscription id before they are
+    expanded."""
+    runs = mrr_runs(src, p, dim, parts)
+    if parts:
+        # again, in case the accounts were joined by a shuffle (if not, Spark drops this one)
+        runs = runs.repartition(parts, "subscription_id")
+    m = with_month_flags(expand_months(runs, "__from", "add_months(__to, 1)", p.spine_start, p.spine_end, position="__pos"), p)
+    m = m.withColumn("prior_month_mrr", F.expr("CASE WHEN __pos > 0 THEN __prior_rest ELSE __prior_first END"))
+    m = add_movement(m, "mrr", prior_col="prior_month_mrr", change_col="mrr_change", type_col="mrr_type", mode=p.mode,
+                     change_type=MONEY)
     return m.selectExpr(
         f"{S.surrogate_key('subscription_id', 'month_start')} AS mrr_id",
         "month_start", "subscription_id", "customer_id", "plan_id", "plan_type", "billing_cycle",
