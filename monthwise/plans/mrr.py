@@ -16,7 +16,8 @@ Plan shape (the fact is ~months x subscriptions, by far the largest table):
    source rows (a broken unique key upstream, or a subscription handed to another
    customer) go through ``lag`` windows over their runs (``prior_in_runs``).  Which they are
    is found first, from the ids alone, so other rows are not moved by id; where there are
-   none, adaptive execution drops that branch altogether.
+   none, adaptive execution drops that branch altogether.  If they are many (``FEW_SHARED``),
+   all rows go through the windows, which treat an id of one row the same.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from monthwise.session import new_work_path
 from monthwise.sources.registry import Sources
 
 SUBSCRIPTIONS_PER_TASK = 100_000     # bounds what a task of the windows and of the customer models orders
+FEW_SHARED = 100_000                 # so many ids of several rows are sent to all tasks
 UNASSIGNED = "Unassigned"   # corrected mode: segment of subscriptions without a CRM account
 
 def fct_mrr_transfers(src: Sources, p: Params) -> DataFrame:
@@ -66,13 +68,15 @@ def fact_months(src: Sources, p: Params) -> int:
     return active_subscriptions(src, p).agg(F.expr(f"coalesce(sum(CAST({months} AS BIGINT)), 0L)")).first()[0]
 
 
-def shared_ids(subs: DataFrame) -> DataFrame:
-    """The ids of several rows, written, from a shuffle of ids alone."""
+def shared_ids(subs: DataFrame) -> DataFrame | None:
+    """The ids of several rows, written, from a shuffle of ids alone; None if they are more than
+    ``FEW_SHARED``."""
     ids = subs.where("subscription_id IS NOT NULL").select("subscription_id").repartition("subscription_id")
     several = ids.groupBy("subscription_id").agg(F.expr("count(1)").alias("__n")).where("__n > 1").select("subscription_id")
     path = new_work_path(subs.sparkSession, "shared-ids")
-    several.write.parquet(path)
-    return subs.sparkSession.read.schema(several.schema).parquet(path)
+    several.limit(FEW_SHARED + 1).write.parquet(path)           # enough to see that they are more
+    shared = subs.sparkSession.read.schema(several.schema).parquet(path)
+    return shared if shared.count() <= FEW_SHARED else None
 
 
 def mrr_runs(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
@@ -101,11 +105,18 @@ def mrr_runs(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame
     moved = subs.select("subscription_id", "customer_id", "plan_id", "plan_type", "billing_cycle", "subscription_status", "mrr",
                         "__lo", "__cancel_month", "period_start_at")
     shared = shared_ids(subs)
-    # One run an id: the previous row of month k is month k-1 of the same run.
-    single = accounts(moved.drop("period_start_at").join(shared, "subscription_id", "left_anti")).withColumns(
-        bounds | {"__prior_first": F.expr(f"CAST(NULL AS {MONEY})"), "__prior_rest": F.col("mrr")})
+    if shared is not None:
+        # One run an id: the previous row of month k is month k-1 of the same run.
+        single = accounts(moved.drop("period_start_at").join(F.broadcast(shared), "subscription_id", "left_anti")).withColumns(
+            bounds | {"__prior_first": F.expr(f"CAST(NULL AS {MONEY})"), "__prior_rest": F.col("mrr")})
+        moved = moved.join(F.broadcast(shared), "subscription_id", "left_semi")
     # Several: the lag() windows over the id's runs; accounts join after them.
-    runs = moved.join(shared, "subscription_id", "left_semi").repartition("subscription_id").withColumns(bounds)
+    if shared is None:
+        tasks = -(-subs.count() // SUBSCRIPTIONS_PER_TASK) or 1          # a narrow scan; a fixed number is not coalesced at run time
+        moved = moved.repartition(tasks, "subscription_id")
+    else:
+        moved = moved.repartition("subscription_id")
+    runs = moved.withColumns(bounds)
     # rows without an id stay apart
     runs = runs.withColumn("__lone", F.expr("CASE WHEN subscription_id IS NULL THEN monotonically_increasing_id() END"))
     if p.mode == CORRECTED:
@@ -117,7 +128,7 @@ def mrr_runs(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame
     runs = prior_in_runs(runs, ["subscription_id", "__lone"], "__from", "__to", ["customer_id", "period_start_at"], "mrr",
                          "__prior_first", "__prior_rest")
     multi = accounts(runs.drop("__lone", "period_start_at"))
-    return single.unionByName(multi)
+    return multi if shared is None else single.unionByName(multi)
 
 
 def fct_mrr(src: Sources, p: Params, dim: DataFrame | None = None, parts: int | None = None, blocks: int = 1) -> DataFrame:
