@@ -79,6 +79,12 @@ def shared_ids(subs: DataFrame) -> DataFrame | None:
     return shared if shared.count() <= FEW_SHARED else None
 
 
+def may_broadcast(df: DataFrame) -> bool:
+    """Whether a join may send ``df`` to all tasks by its estimated size, or by that of some of its columns."""
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= 4 * most
+
+
 def mrr_runs(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame:
     """The fact before its month expansion: a row per subscription and run of months
     (``__from`` to ``__to``, within the calendar) with its accounts.  ``__prior_first`` is the
@@ -105,6 +111,8 @@ def mrr_runs(src: Sources, p: Params, dim: DataFrame | None = None) -> DataFrame
     moved = subs.select("subscription_id", "customer_id", "plan_id", "plan_type", "billing_cycle", "subscription_status", "mrr",
                         "__lo", "__cancel_month", "period_start_at")
     shared = shared_ids(subs)
+    if shared is not None and may_broadcast(d):
+        moved = moved.repartition("subscription_id")         # the join would leave the rows in the tasks of the scan
     if shared is not None:
         # One run an id: the previous row of month k is month k-1 of the same run.
         single = accounts(moved.drop("period_start_at").join(F.broadcast(shared), "subscription_id", "left_anti")).withColumns(
